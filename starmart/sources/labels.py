@@ -36,7 +36,8 @@ LINE_BREAKS = "\\r\\n|[\\n\\r\\u000B\\u000C\\u001C\\u001D\\u001E\\u0085\\u2028\\
 def read_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per file: ``(source, text)``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return (spark.read.option("wholetext", True).text(paths)
+    # ``text()`` sets ``wholetext`` itself, so it must be its argument, not an option.
+    return (spark.read.text(paths, wholetext=True)
             .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text")))
 
 
