@@ -1,29 +1,42 @@
-"""Duplicate keys, without putting a key's rows into one task.
+"""Duplicate keys, without putting a hot key's rows into one task.
 
 ``duplicate_rows`` returns every row of a key set except the first by a given
-order (pandas ``df[df[keys].duplicated()]``). The obvious plan is
-``row_number() over (partition by keys order by ...) > 1``, but a window puts
-all rows of one key into one task, and one key may hold a third of the table.
-Here only aggregations and joins on whole rows are used:
-
-1. copies collapse: ``groupBy(all columns).count()`` (partial aggregation in
-   every map task, so a group of identical rows shuffles one row per task);
-2. the first row of each key: ``groupBy(keys).min(struct(order))``, again
-   partial-aggregated;
-3. the first rows are matched back on *all* columns, which are unique after
-   step 1, so no join key is hot;
-4. every distinct row is emitted ``count - is_first`` times. A row repeated more
-   than ``chunk`` times is first cut into pieces of at most ``chunk`` copies and
-   the pieces are spread over tasks before they are expanded.
+order (pandas ``df[df[keys].duplicated()]``). The direct plan is
+``row_number() over (partition by keys order by ...) > 1``: fast, but a window
+holds each key's rows in one task, and one key may hold a third of the table.
+So the keys are split by size first:
+
+* a grouped count (partially aggregated, so cheap and skew-free) finds the keys
+  with more than ``hot_key_rows`` rows. There are at most ``rows / hot_key_rows``
+  of them, and their set is broadcast only after its size is checked;
+* the other keys take the window, whose groups are now bounded;
+* the hot keys take a path made only of aggregations and a union:
+
+  1. copies collapse: ``groupBy(all columns).count()`` (partial aggregation in
+     every map task, so a group of identical rows shuffles one row per task);
+  2. the first row of each key: ``groupBy(keys).min(struct(order))`` over the
+     collapsed rows, again partially aggregated;
+  3. each first row is added once more with count -1 and the counts are summed
+     per distinct row (no join, no hot key, NULLs group like any value);
+  4. every distinct row is emitted as often as its summed count says. A row
+     repeated more than ``chunk`` times is cut into pieces of at most ``chunk``
+     copies that are spread over tasks before they are expanded.
+
+If the hot keys are too many to broadcast, every key takes the second path.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# A key with more rows than this is "hot" and never held by one task.
+DEFAULT_HOT_KEY_ROWS = 1_000_000
+# At most this many hot keys are broadcast to split the input (a hot key has
+# more than ``hot_key_rows`` rows, so the set is small by construction).
+DEFAULT_MAX_HOT_KEYS = 100_000
 DEFAULT_CHUNK = 100_000
 
 
@@ -45,7 +58,31 @@ def replicate_rows(df: DataFrame, count_col: str, chunk: int = DEFAULT_CHUNK) ->
     return small.unionByName(large)
 
 
+def _duplicates_by_window(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") > 1).drop("__rn")
+
+
+def _duplicates_by_aggregation(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                               chunk: int) -> DataFrame:
+    cols = df.columns
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    firsts = (counted.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first"))
+              .select(*keys, *[F.col(f"__first.{c}").alias(c) for c in order], F.lit(-1).cast("long").alias("__n")))
+    marked = counted.unionByName(firsts).groupBy(*cols).agg(F.sum("__n").alias("__m"))
+    return replicate_rows(marked, "__m", chunk=chunk).select(*cols)
+
+
+def _key_match(df: DataFrame, hot: DataFrame, keys: Sequence[str]):
+    cond = None
+    for k in keys:
+        eq = df[k].eqNullSafe(hot[f"__hot_{k}"])  # a NULL key can be hot too
+        cond = eq if cond is None else cond & eq
+    return cond
+
+
 def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
+                   hot_key_rows: int = DEFAULT_HOT_KEY_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
                    chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """All rows whose key occurred before, by ``order`` (ascending, NULLs first).
 
@@ -55,18 +92,21 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] | No
     cols = df.columns
     order = list(order or [])
     order += [c for c in cols if c not in keys and c not in order]
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    firsts = (df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first"))
-              .select(*keys, *[F.col(f"__first.{c}").alias(c) for c in order])
-              .withColumn("__is_first", F.lit(1)))
-    cond = None
-    for c in cols:
-        eq = counted[c].eqNullSafe(firsts[c])
-        cond = eq if cond is None else cond & eq
-    marked = (counted.join(firsts, cond, "left")
-              .select(*[counted[c] for c in cols],
-                      (counted["__n"] - F.coalesce(firsts["__is_first"], F.lit(0))).alias("__m")))
-    return replicate_rows(marked, "__m", chunk=chunk)
+    if hot_key_rows <= 0:
+        return _duplicates_by_aggregation(df, keys, order, chunk)
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+           .filter(F.col("__rows") > hot_key_rows)
+           .select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
+    n_hot = hot.limit(max_hot_keys + 1).count()
+    if n_hot == 0:
+        return _duplicates_by_window(df, keys, order)
+    if n_hot > max_hot_keys:
+        return _duplicates_by_aggregation(df, keys, order, chunk)
+    hot = F.broadcast(hot)
+    normal = df.join(hot, _key_match(df, hot, keys), "left_anti")
+    heavy = df.join(hot, _key_match(df, hot, keys), "left_semi")
+    return _duplicates_by_window(normal, keys, order).unionByName(
+        _duplicates_by_aggregation(heavy, keys, order, chunk))
 
 
 def duplicate_key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

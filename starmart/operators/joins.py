@@ -18,26 +18,32 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
+    """Does ``df`` have at most ``max_rows`` rows? Reads at most ``max_rows + 1``."""
+    return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
-    if max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def lookup_join(df: DataFrame, codes: DataFrame, key: str, add: Mapping[str, str],
                 code_col: str = "code", how: str = "inner",
-                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, broadcast: bool | None = None) -> DataFrame:
     """Join a code table on ``df[key] = codes[code_col]`` and add its columns.
 
     ``add`` maps code-table columns to new names. With ``how='inner'`` rows whose
     code is unknown are dropped, as in the original star build. The same code
     table can be joined again for a second role (another ``key``).
+    ``broadcast`` gives a size decision made earlier (``fits_broadcast``);
+    when it is None the code table is checked here.
     """
     tmp = f"__code_{key}"
     right = codes.select(F.col(code_col).alias(tmp), *[F.col(src).alias(dst) for src, dst in add.items()])
-    right = bounded_broadcast(right, broadcast_max_rows)
+    if broadcast is None:
+        broadcast = fits_broadcast(right, broadcast_max_rows)
+    right = F.broadcast(right) if broadcast else right
     return df.join(right, df[key] == right[tmp], how).drop(tmp)
 
 

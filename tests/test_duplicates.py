@@ -28,18 +28,25 @@ def test_hot_key_and_large_copy_groups(spark):
     rows += [(k, rng.randint(0, 3), "y") for k in range(2, 40)]
     rows += [(None, 1, "n"), (None, 1, "n"), (None, 2, "n")]           # NULL keys are equal keys
     df = spark.createDataFrame(rows, "k int, v int, s string")
-    got = Counter(tuple(r) for r in DU.duplicate_rows(df, ["k"], chunk=7).collect())
-    assert got == brute_force(rows, [0], [0, 1, 2])
-    assert sum(got.values()) == len(rows) - len({r[0] for r in rows})
+    expected = brute_force(rows, [0], [0, 1, 2])
+    assert sum(expected.values()) == len(rows) - len({r[0] for r in rows})
+    # hot keys split off (0, 1 and NULL have more than 2 rows), every key on the
+    # aggregation path, and no key hot (window only)
+    for hot_rows, max_hot in [(2, 100), (0, 100), (10_000, 100), (2, 1)]:
+        got = Counter(tuple(r) for r in DU.duplicate_rows(df, ["k"], hot_key_rows=hot_rows,
+                                                          max_hot_keys=max_hot, chunk=7).collect())
+        assert got == expected, (hot_rows, max_hot)
 
 
 @settings(max_examples=15, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2), st.sampled_from(["a", "b"])), max_size=40),
-       st.integers(1, 5))
-def test_matches_brute_force(spark, rows, chunk):
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 2), st.sampled_from(["a", "b"])),
+                max_size=40),
+       st.integers(1, 5), st.integers(0, 6))
+def test_matches_brute_force(spark, rows, chunk, hot_rows):
     df = spark.createDataFrame(rows, "k int, v int, s string") if rows else \
         spark.createDataFrame([], "k int, v int, s string")
-    got = Counter(tuple(r) for r in DU.duplicate_rows(df, ["k", "s"], order=["v"], chunk=chunk).collect())
+    got = Counter(tuple(r) for r in DU.duplicate_rows(df, ["k", "s"], order=["v"], hot_key_rows=hot_rows,
+                                                      chunk=chunk).collect())
     assert got == brute_force(rows, [0, 2], [0, 2, 1])
 
 
@@ -59,7 +66,9 @@ def test_check_unique_key(spark):
     assert (empty.row_count, empty.distinct_keys, empty.is_unique) == (0, 0, True)
 
 
-def test_no_window_in_plan(spark):
-    df = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")
-    plan = DU.duplicate_rows(df, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
+def test_hot_keys_never_reach_the_window(spark):
+    df = spark.createDataFrame([(1, i) for i in range(20)] + [(2, 1), (2, 2)], "k int, v int")
+    plan = DU.duplicate_rows(df, ["k"], hot_key_rows=5)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+    only_agg = DU.duplicate_rows(df, ["k"], hot_key_rows=0)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in only_agg
