@@ -231,6 +231,15 @@ def _coverage_sql(fact: str, fact_keys: list[str], dims: dict[str, tuple[str, li
     return " UNION ALL ".join(parts)
 
 
+def _schema_rows_sql(table: str) -> str:
+    """Spark's type names for the parquet columns, from DuckDB's catalog."""
+    spark_type = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+      WHEN 'FLOAT' THEN 'float' WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date'
+      WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'BOOLEAN' THEN 'boolean' ELSE lower(data_type) END"""
+    return f"""SELECT CAST(ordinal_position AS INTEGER) AS position, column_name, {spark_type} AS data_type,
+  is_nullable = 'YES' AS nullable FROM information_schema.columns WHERE table_name = {_q(table)}"""
+
+
 # ---------------------------------------------------------------- the twins
 
 ORACLE: dict[str, str] = {}
@@ -250,6 +259,10 @@ kv AS (SELECT page_id, string_split(item, '=') AS parts FROM items)
 SELECT page_id, {trim_code('parts[1]')} AS code, {trim_value('parts[2]')} AS value FROM kv WHERE len(parts) = 2""",
     "label_dictionary_pair": """SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS value1, r_name AS value2
 FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 <> 0""",
+    "schema_report": _schema_rows_sql("orders"),
+    "table_stats": " UNION ALL ".join(
+        f"SELECT {_q(t)} AS table_name, s.*, (SELECT count(*) FROM {t}) AS row_count FROM ({_schema_rows_sql(t)}) s"
+        for t in ("orders", "lineitem")),
     "register_view": "SELECT o_orderpriority, count(*) AS order_count FROM orders GROUP BY o_orderpriority",
     "preview": """SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
 ORDER BY o_orderkey LIMIT 10""",

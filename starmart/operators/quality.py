@@ -20,13 +20,14 @@ def _status(ok: Column) -> Column:
     return F.when(ok, F.lit(PASSED)).otherwise(F.lit(FAILED))
 
 
-def check_nulls(df: DataFrame, table_name: str, nan_fails: bool = False) -> DataFrame:
+def check_nulls(df: DataFrame, table_name: str, nan_fails: bool = False,
+                profile: DataFrame | None = None) -> DataFrame:
     """Per column: NULL count (and NaN count for floats); failed when NULLs exist.
 
     The original fails a column on ``IS NULL`` only; ``nan_fails=True`` also
-    fails it on NaN.
+    fails it on NaN. ``profile`` reuses a ``null_profile`` of ``df``.
     """
-    p = null_profile(df)
+    p = null_profile(df) if profile is None else profile
     bad = F.col("missing_count") if nan_fails else F.col("null_count")
     return p.select(F.lit(table_name).alias("table_name"), "position", "column_name",
                     "null_count", "nan_count", _status(bad == 0).alias("status"))
@@ -117,8 +118,12 @@ def check_all(tables: Mapping[str, DataFrame], fact_name: str, fact_keys: Sequen
     nulls = None
     counts = None
     for name, df in tables.items():
-        n = check_nulls(df, name)
-        c = check_row_count(df, name)
+        # One scan per table: the profile carries the row count as well.
+        profile = null_profile(df)
+        n = check_nulls(df, name, profile=profile)
+        c = (profile.agg(F.max("row_count").alias("row_count"))
+             .select(F.lit(name).alias("table_name"), F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count"),
+                     F.lit(PASSED).alias("status")))
         nulls = n if nulls is None else nulls.unionByName(n)
         counts = c if counts is None else counts.unionByName(c)
     coverage = check_key_coverage(tables[fact_name], fact_keys,

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions.columns import ColumnLike, col_of
 from starmart.operators.aggregates import group_avg
+from starmart.operators.joins import bounded_broadcast
 
 
 def window_avg_distinct(df: DataFrame, keys: Sequence[ColumnLike], measures: dict[str, ColumnLike],
@@ -29,11 +30,14 @@ def with_group_avg(df: DataFrame, keys: Sequence[str], measures: dict[str, Colum
                    digits: int | None = None, decimals: int | None = None) -> DataFrame:
     """Every row with its group's means (the window without DISTINCT).
 
-    The means are aggregated first and joined back on the keys; adaptive
-    execution splits a hot key's partition on the row side.
+    The means are aggregated first (one row per key) and joined back on the
+    keys: broadcast when the number of keys is checked to be small, else a
+    shuffle join in which adaptive execution splits a hot key's partition on
+    the row side.
     """
     means = group_avg(df, [col_of(k).alias(f"__k{i}") for i, k in enumerate(keys)], measures, digits=digits,
                       decimals=decimals)
+    means = bounded_broadcast(means)
     cond = None
     for i, k in enumerate(keys):
         eq = df[k].eqNullSafe(means[f"__k{i}"])  # NULL keys form a group, as in a window

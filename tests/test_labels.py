@@ -77,3 +77,54 @@ def test_read_texts_from_files(spark, scratch, tmp_path):
     texts = L.read_texts(spark, str(path))
     got = sorted(r.code for r in L.label_dictionary(texts, "TAGA").collect())
     assert got == ["101", "9", "AAA"]
+
+
+SAS_LIKE = """/* I94CIT & I94RES - countries, valid or not */
+  value cntry
+   582 =  'ALBION (sea, air, no land)'
+   236 =  'BOREA'
+   999 =  'INVALID: NOWHERE'
+;
+/* I94PORT - ports of entry */
+  value $ports
+   'SPV'\t=\t'SPRINGVILLE, OR        '
+   'HBR'\t=\t'HARBOR AZ             '
+   'XYZ'\t=\t'SOMEWHERE, ON, CANADA'
+   'TOR'\t=\t'TORONTO, CANADA'
+;
+/* I94MODE - travel modes */
+  value modes
+   1 = 'Air'
+   9 = 'Not reported' ;
+/* I94ADDR - states */
+  value states
+   'OR'='OREGON'
+   '99'='Other'
+;
+/* I94BIR - age */
+/* I94VISA - visa classes:
+   1 = Business
+   2 = Pleasure
+   3 = Student
+*/
+"""
+
+
+def test_code_tables_from_one_text(spark, scratch):
+    from starmart.plans import codes
+    tables = codes.code_tables(_texts(spark, SAS_LIKE))
+    assert sorted(tuple(r) for r in tables["i94_country"].collect()) == [
+        (236, "BOREA"), (582, "ALBION (sea, air, no land)"),
+        (999, "INVALID: NOWHERE")]
+    assert sorted(tuple(r) for r in tables["i94_port"].collect()) == [("SPV", "SPRINGVILLE", "OR"),
+                                                                       ("TOR", "TORONTO", "CANADA")]
+    assert [tuple(r) for r in tables["i94_model"].orderBy("code").collect()] == [(1, "Air"), (9, "Not reported")]
+    assert sorted(tuple(r) for r in tables["i94_state_addrl"].collect()) == [("99", "Other"),
+                                                                              ("OR", "OREGON")]
+    # the age search text runs on to the next ';' and so picks up the visa list
+    assert tables["i94_visa"].count() == 0  # no ';' after it in this text
+    out = scratch("codes")
+    paths = codes.write_code_tables(_texts(spark, SAS_LIKE + ";\n"), out)
+    assert set(paths) == {"i94_country", "i94_port", "i94_model", "i94_state_addrl", "i94_visa"}
+    visa = spark.read.option("header", True).csv(paths["i94_visa"])
+    assert sorted(tuple(r) for r in visa.collect()) == [("1", "Business"), ("2", "Pleasure"), ("3", "Student")]
