@@ -114,10 +114,9 @@ def group_avg(df: DataFrame, keys: Sequence[ColumnLike], measures: dict[str, Col
 def category_percent(df: DataFrame, key: str, name: str = COUNT, percent: str = "percent") -> DataFrame:
     """Share of each non-NULL category in % of all rows (NULL rows included in the total).
 
-    The total is a scalar subquery over the same grouped plan, so the input is
-    aggregated once; no window over the whole table and no cross join.
+    The total is a scalar subquery (``COUNT(*)``, which reads no column), so
+    there is no window over the whole table and no cross join.
     """
-    grouped = group_count(df, key, name=name)
-    total = grouped.agg(F.sum(name)).scalar()
-    return (grouped.filter(F.col(key).isNotNull())
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return (group_count(df.filter(F.col(key).isNotNull()), key, name=name)
             .withColumn(percent, F.col(name) * F.lit(100.0) / total))
