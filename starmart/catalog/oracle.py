@@ -66,6 +66,9 @@ EVENTS_N_COLS = [("event_id", False), ("day", False), ("user_id", False), ("even
 ORDERS_COLS = [("o_orderkey", False), ("o_custkey", False), ("o_orderstatus", False), ("o_totalprice", True),
                ("o_orderdate", False), ("o_orderpriority", False)]
 
+ORDERS_STORED = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate
+FROM orders"""
+
 PAIR_KEYS = "SELECT l_partkey, nullif(l_suppkey, 5) AS l_suppkey, l_returnflag, l_linestatus FROM lineitem"
 
 MARKER_DAYS = """SELECT l_orderkey, l_linenumber, l_partkey,
@@ -246,19 +249,20 @@ ORACLE: dict[str, str] = {}
 
 ORACLE.update({
     "scan_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders",
-    "scan_csv": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
-    "scan_csv_delimited": "SELECT r_regionkey, r_name FROM region",
-    "typed_frame": "SELECT n_nationkey AS nation_key, n_name AS nation_name, n_regionkey AS region_key FROM nation",
-    "write_code_csv": COUNTRY,
-    "write_parquet": "SELECT * FROM nation",
-    "append_parquet": "SELECT * FROM nation",
-    "append_increments_stream": "SELECT * FROM nation",
+    "scan_csv": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "scan_csv_delimited": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
+    "typed_frame": """SELECT c_custkey AS customer_key, c_name AS customer_name, c_nationkey AS nation_key,
+  c_acctbal AS balance, c_mktsegment AS segment FROM customer""",
+    "write_code_csv": "SELECT c_custkey AS code, c_name AS country_name FROM customer",
+    "write_parquet": ORDERS_STORED,
+    "append_parquet": ORDERS_STORED,
+    "append_increments_stream": ORDERS_STORED,
     "label_dictionary": f"""WITH q AS (SELECT page_id, CASE WHEN strpos(url, '?') > 0 THEN substr(url, strpos(url, '?') + 1) END AS qs FROM pages),
 items AS (SELECT page_id, unnest(string_split(qs, '&')) AS item FROM q WHERE qs IS NOT NULL),
 kv AS (SELECT page_id, string_split(item, '=') AS parts FROM items)
 SELECT page_id, {trim_code('parts[1]')} AS code, {trim_value('parts[2]')} AS value FROM kv WHERE len(parts) = 2""",
-    "label_dictionary_pair": """SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS value1, r_name AS value2
-FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 <> 0""",
+    "label_dictionary_pair": """SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS value1, c_mktsegment AS value2
+FROM customer WHERE c_mktsegment <> 'BUILDING'""",
     "schema_report": _schema_rows_sql("orders"),
     "table_stats": " UNION ALL ".join(
         f"SELECT {_q(t)} AS table_name, s.*, (SELECT count(*) FROM {t}) AS row_count FROM ({_schema_rows_sql(t)}) s"

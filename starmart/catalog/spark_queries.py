@@ -81,60 +81,69 @@ def q_scan_parquet(spark, sf):
 
 @query("scan_csv")
 def q_scan_csv(spark, sf):
-    path = scratch_path(spark, "nation-csv")
-    SK.write_code_csv(t(spark, sf, "nation"), path)
-    return R.scan_csv(spark, path, SC.NATION)
+    path = scratch_path(spark, "customer-csv")
+    SK.write_code_csv(t(spark, sf, "customer"), path)
+    return R.scan_csv(spark, path, SC.CUSTOMER)
 
 
 @query("scan_csv_delimited")
 def q_scan_csv_delimited(spark, sf):
-    path = scratch_path(spark, "region-csv")
-    t(spark, sf, "region").write.option("header", True).option("sep", ";").csv(path)
-    return R.scan_csv_delimited(spark, path, SC.REGION)
+    path = scratch_path(spark, "supplier-csv")
+    t(spark, sf, "supplier").write.option("header", True).option("sep", ";").csv(path)
+    return R.scan_csv_delimited(spark, path, SC.SUPPLIER)
 
 
 @query("typed_frame")
 def q_typed_frame(spark, sf):
-    path = scratch_path(spark, "nation-text")
-    SK.write_code_csv(t(spark, sf, "nation"), path)
+    path = scratch_path(spark, "customer-text")
+    SK.write_code_csv(t(spark, sf, "customer"), path)
     raw = spark.read.option("header", True).csv(path)  # every column is text
-    return R.typed_frame(raw, SC.NATION_RENAMED)
+    return R.typed_frame(raw, SC.CUSTOMER_RENAMED)
 
 
 @query("write_code_csv")
 def q_write_code_csv(spark, sf):
-    path = scratch_path(spark, "country-codes")
-    SK.write_code_csv(S.build_country_codes(A.country_codes(spark, sf)), path)
+    path = scratch_path(spark, "customer-codes")
+    codes = t(spark, sf, "customer").select(F.col("c_custkey").alias("code"), F.col("c_name").alias("country_name"))
+    SK.write_code_csv(codes, path)
     return R.scan_csv(spark, path, SC.COUNTRY_CODES)
 
 
+def _orders_for_storage(spark, sf) -> DataFrame:
+    return orders_d(spark, sf).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+
+
 @query("write_parquet")
 def q_write_parquet(spark, sf):
-    path = scratch_path(spark, "nation-parquet")
-    SK.write_parquet(t(spark, sf, "nation"), path)
+    path = scratch_path(spark, "orders-parquet")
+    SK.write_parquet(_orders_for_storage(spark, sf), path)
     return spark.read.parquet(path)
 
 
 @query("append_parquet")
 def q_append_parquet(spark, sf):
-    path = scratch_path(spark, "nation-append")
-    nation = t(spark, sf, "nation")
-    SK.write_parquet(nation.filter(F.col("n_nationkey") < 15), path)
-    SK.append_parquet(spark, nation, path, keys=["n_nationkey"])
-    SK.append_parquet(spark, nation, path, keys=["n_nationkey"])  # a replay adds nothing
+    path = scratch_path(spark, "orders-append")
+    orders = _orders_for_storage(spark, sf)
+    SK.write_parquet(orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("date")), path)
+    SK.append_parquet(spark, orders, path, keys=["o_orderkey"])
+    SK.append_parquet(spark, orders, path, keys=["o_orderkey"])  # a replay adds nothing
     return spark.read.parquet(path)
 
 
 @query("append_increments_stream")
 def q_append_increments_stream(spark, sf):
-    base = scratch_path(spark, "nation-stream")
-    nation = t(spark, sf, "nation")
-    for region in range(5):  # one increment per region; region 2 arrives twice
-        part = nation.filter(F.col("n_regionkey") == region)
+    base = scratch_path(spark, "orders-stream")
+    orders = _orders_for_storage(spark, sf)
+    # the orders arrive as one increment per year of the data's range; 1997 arrives twice
+    for year in range(1995, 2002):
+        part = orders.filter(F.year("o_orderdate") == year)
         part.write.mode("append").parquet(f"{base}/incoming")
-        if region == 2:
+        if year == 1997:
             part.write.mode("append").parquet(f"{base}/incoming")
-    ST.append_increments(spark, f"{base}/incoming", nation.schema, f"{base}/table", keys=["n_nationkey"],
+    # orders outside that range (or without a date) arrive together as a last increment
+    outside = F.coalesce(~F.year("o_orderdate").between(1995, 2001), F.lit(True))
+    orders.filter(outside).write.mode("append").parquet(f"{base}/incoming")
+    ST.append_increments(spark, f"{base}/incoming", orders.schema, f"{base}/table", keys=["o_orderkey"],
                          checkpoint=f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/table")
 
@@ -149,15 +158,14 @@ def q_label_dictionary(spark, sf):
 
 @query("label_dictionary_pair")
 def q_label_dictionary_pair(spark, sf):
-    n = t(spark, sf, "nation")
-    r = t(spark, sf, "region")
-    nr = n.join(r, n.n_regionkey == r.r_regionkey)
-    sep = F.when(F.col("n_nationkey") % 5 == 0, F.lit(" ")).otherwise(F.lit(", "))
-    text = F.concat(F.lit("/* NATIONS - nation and region */\n  value nation\n   '"),
-                    F.col("n_nationkey").cast("string"), F.lit("'\t=\t'"), F.col("n_name"), sep,
-                    F.col("r_name"), F.lit("   '\n;\n/* OTHER */ 1 = 'x, y' ;"))
-    texts = nr.select(F.col("n_nationkey").alias("row_id"), text.alias("text"))
-    return L.label_dictionary_pair(texts, "NATIONS", keep=["row_id"]).select("code", "value1", "value2")
+    c = t(spark, sf, "customer")
+    # customers rendered as label sections; building-segment lines lack the comma and are dropped
+    sep = F.when(F.col("c_mktsegment") == "BUILDING", F.lit(" ")).otherwise(F.lit(", "))
+    text = F.concat(F.lit("/* CUSTOMERS - name and segment */\n  value cust\n   '"),
+                    F.col("c_custkey").cast("string"), F.lit("'\t=\t'"), F.col("c_name"), sep,
+                    F.col("c_mktsegment"), F.lit("   '\n;\n/* OTHER */ 1 = 'x, y' ;"))
+    texts = c.select(F.col("c_custkey").alias("row_id"), text.alias("text"))
+    return L.label_dictionary_pair(texts, "CUSTOMERS", keep=["row_id"]).select("code", "value1", "value2")
 
 
 @query("register_view")

@@ -39,3 +39,7 @@ VISA_CODES = _s(("code", LONG), ("VISA_Type", STR))
 NATION = _s(("n_nationkey", INT), ("n_name", STR), ("n_regionkey", INT))
 NATION_RENAMED = _s(("nation_key", INT), ("nation_name", STR), ("region_key", INT))
 REGION = _s(("r_regionkey", INT), ("r_name", STR))
+CUSTOMER = _s(("c_custkey", LONG), ("c_name", STR), ("c_nationkey", INT), ("c_acctbal", DBL), ("c_mktsegment", STR))
+CUSTOMER_RENAMED = _s(("customer_key", LONG), ("customer_name", STR), ("nation_key", INT), ("balance", DBL),
+                      ("segment", STR))
+SUPPLIER = _s(("s_suppkey", LONG), ("s_name", STR), ("s_nationkey", INT), ("s_acctbal", DBL))
