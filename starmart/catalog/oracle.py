@@ -403,7 +403,7 @@ FROM ({failed_columns_sql('SELECT * FROM orders', ORDERS_COLS)})""",
 })
 
 ORACLE.update({
-    "build_country_codes": COUNTRY,
+    "build_country_codes": "SELECT c_custkey AS code, c_name AS country_name FROM customer",
     "build_port_codes": PORTS,
     "build_fact": FACT,
     "explore_fact": EXPLORE,

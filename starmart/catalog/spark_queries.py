@@ -595,7 +595,9 @@ def q_check_key_coverage(spark, sf):
 
 @query("build_country_codes")
 def q_build_country_codes(spark, sf):
-    return S.build_country_codes(A.country_codes(spark, sf))
+    # a code table that grows with the data: customers as codes, their names as labels
+    codes = t(spark, sf, "customer").select(F.col("c_custkey").alias("code"), F.col("c_name").alias("country_name"))
+    return S.build_country_codes(codes)
 
 
 @query("build_port_codes")
