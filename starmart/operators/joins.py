@@ -23,6 +23,19 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) ->
     return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
 
 
+def fits_broadcast_all(dfs: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> list[bool]:
+    """``fits_broadcast`` for several tables in one Spark job (a union of the
+    limited row counts, at most ``len(dfs)`` rows come back)."""
+    if max_rows <= 0 or not dfs:
+        return [False] * len(dfs)
+    parts = [df.limit(max_rows + 1).select(F.lit(i).alias("__table")) for i, df in enumerate(dfs)]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    counts = {r["__table"]: r["n"] for r in union.groupBy("__table").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df

@@ -19,6 +19,8 @@ whole query can be restated in SQL for the oracle:
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table, registered once per session as a temporary view.
+
+    Later calls are catalog lookups: the view keeps the file index, so the
+    files are not listed and their footers not read again for every query.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    view = f"starmart_{name}_{hashlib.sha1(path.encode()).hexdigest()[:10]}"
+    if not spark.catalog.tableExists(view):
+        spark.read.parquet(path).createOrReplaceTempView(view)
+    return spark.table(view)
 
 
 def _days_since_1960(c) -> F.Column:

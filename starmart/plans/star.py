@@ -17,7 +17,7 @@ from starmart.functions import columns as C
 from starmart.functions import constants as K
 from starmart.functions import predicates as P
 from starmart.operators.aggregates import group_avg
-from starmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast, lookup_join
+from starmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast_all, lookup_join
 from starmart.operators.profile import table_stats
 from starmart.sources.sinks import write_parquet
 
@@ -67,8 +67,7 @@ def build_fact(immigration: DataFrame, country_codes: DataFrame, port_codes: Dat
     """
     im = clean_immigration(immigration, marker, require_valid_stay)
     # One size check per code table; the country table serves two roles.
-    small_countries = fits_broadcast(country_codes, broadcast_max_rows)
-    small_ports = fits_broadcast(port_codes, broadcast_max_rows)
+    small_countries, small_ports = fits_broadcast_all([country_codes, port_codes], broadcast_max_rows)
     im = lookup_join(im, country_codes, "i94cit", {"country_name": "citizenship_country"},
                      broadcast=small_countries)
     im = lookup_join(im, country_codes, "i94res", {"country_name": "residence_country"},

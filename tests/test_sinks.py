@@ -86,3 +86,8 @@ def test_bounded_broadcast_checks_size(spark):
     small = J.bounded_broadcast(spark.range(10), max_rows=10)
     plan = fact.join(small, fact.k == small.id)._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan.lower()
+
+
+def test_size_checks_in_one_job(spark):
+    assert J.fits_broadcast_all([spark.range(5), spark.range(50), spark.range(0)], max_rows=10) == [True, False, True]
+    assert J.fits_broadcast_all([spark.range(5)], max_rows=0) == [False]
