@@ -11,32 +11,39 @@ from pyspark.sql import types as T
 _FLOATS = (T.FloatType, T.DoubleType)
 
 
+def sql_ident(name: str) -> str:
+    """A column name as a quoted SQL identifier (blanks, dots and backticks are safe)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_string(text: str) -> str:
+    """A text as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Missing values of every column in one pass over the table.
 
     One aggregate computes, per column, the NULL count and (for float/double
     columns) the NaN count; the one-row result is turned into one row per
     column: ``position, column_name, null_count, nan_count, missing_count, row_count``.
+    Both steps are given as SQL expressions (quoted names), which keeps plan
+    construction cheap for wide tables.
     """
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, field in enumerate(df.schema.fields):
-        c = F.col(f"`{field.name}`")
-        aggs.append(F.count_if(c.isNull()).alias(f"__null{i}"))
-        if isinstance(field.dataType, _FLOATS):
-            aggs.append(F.count_if(F.isnan(c)).alias(f"__nan{i}"))
-    one_row = df.agg(*aggs)
+    aggs = ["count(1) AS __rows"]
     entries = []
     for i, field in enumerate(df.schema.fields):
-        nan = F.col(f"__nan{i}") if isinstance(field.dataType, _FLOATS) else F.lit(0).cast("long")
-        entries.append(F.struct(
-            F.lit(i + 1).alias("position"),
-            F.lit(field.name).alias("column_name"),
-            F.col(f"__null{i}").alias("null_count"),
-            nan.alias("nan_count"),
-            (F.col(f"__null{i}") + nan).alias("missing_count"),
-            F.col("__rows").alias("row_count"),
-        ))
-    return one_row.select(F.inline(F.array(*entries)))
+        c = sql_ident(field.name)
+        aggs.append(f"count_if({c} IS NULL) AS __null{i}")
+        if isinstance(field.dataType, _FLOATS):
+            aggs.append(f"count_if(isnan({c})) AS __nan{i}")
+            nan = f"__nan{i}"
+        else:
+            nan = "CAST(0 AS BIGINT)"
+        entries.append(f"named_struct('position', {i + 1}, 'column_name', {sql_string(field.name)}, "
+                       f"'null_count', __null{i}, 'nan_count', {nan}, 'missing_count', __null{i} + {nan}, "
+                       f"'row_count', __rows)")
+    return df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def null_percent(df: DataFrame) -> DataFrame:

@@ -95,3 +95,10 @@ def test_group_counts(spark):
     assert AG.count_distinct_pair(df, "t", "n").collect()[0][0] == 3
     assert AG.distinct_rows_count(df, ["t"]).collect()[0][0] == 3
     assert tuple(AG.min_max(df, "n").collect()[0]) == (1, 3)
+
+
+def test_null_profile_handles_awkward_names(spark):
+    names = ["we`ird", "it's", "a\\b.c"]
+    df = spark.createDataFrame([(None, 1, "x"), ("a", None, None)], "a string, b int, c string").toDF(*names)
+    got = {r.column_name: r.null_count for r in PR.null_profile(df).collect()}
+    assert got == {"we`ird": 1, "it's": 1, "a\\b.c": 1}
