@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starmart.functions.columns import ColumnLike, col_of
 from starmart.operators.aggregates import group_avg

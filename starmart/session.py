@@ -23,6 +23,40 @@ RECOMMENDED_CONF = {
 }
 
 
+# Settings for a large cluster reading ~100 TB. The initial shuffle partition
+# count is high and adaptive execution coalesces it to the advisory size, so
+# every shuffle partition fits an executor's memory whatever the input size;
+# skewed join partitions above the threshold are split; input splits stay at
+# 256 MB; a broadcast is allowed up to 64 MB of estimated size (code tables
+# are checked by row count before they are broadcast in any case).
+CLUSTER_CONF = {
+    **{k: v for k, v in RECOMMENDED_CONF.items() if k != "spark.ui.enabled"},
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str] | None = None, only_unset: bool = True) -> dict[str, str]:
+    """Set runtime SQL settings (``CLUSTER_CONF`` by default) on a session.
+
+    With ``only_unset`` a value the cluster already configured is kept.
+    Returns the settings that were changed.
+    """
+    configured = spark.sparkContext.getConf()
+    changed = {}
+    for key, value in (CLUSTER_CONF if conf is None else conf).items():
+        if key == "spark.ui.enabled" or (only_unset and configured.contains(key)):
+            continue
+        spark.conf.set(key, value)
+        changed[key] = value
+    return changed
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
                   app: str = "starmart") -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)

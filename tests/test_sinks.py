@@ -91,3 +91,14 @@ def test_bounded_broadcast_checks_size(spark):
 def test_size_checks_in_one_job(spark):
     assert J.fits_broadcast_all([spark.range(5), spark.range(50), spark.range(0)], max_rows=10) == [True, False, True]
     assert J.fits_broadcast_all([spark.range(5)], max_rows=0) == [False]
+
+
+def test_apply_conf_sets_runtime_settings(spark):
+    from starmart.session import apply_conf
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key, None)
+    try:
+        changed = apply_conf(spark, {key: "128m"})
+        assert changed == {key: "128m"} and spark.conf.get(key) == "128m"
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
