@@ -145,3 +145,19 @@ def test_run_etl_writes_and_checks(spark, scratch, sources):
     verdict = {r.table_name: r.status for r in res["verdicts"].collect()}
     assert verdict["fact_immigration"] == "failed"  # NULL departure and age
     assert verdict["dim_temperature"] == "passed"
+
+
+def test_run_etl_partitions_the_fact(spark, scratch, sources):
+    im, countries, ports = sources
+    empty_t = spark.createDataFrame([], SC.TEMPERATURE)
+    empty_a = spark.createDataFrame([], SC.AIRPORTS)
+    empty_d = spark.createDataFrame([], SC.DEMOGRAPHICS)
+    src = {"immigration": im, "country_codes": countries, "port_codes": ports, "temperature": empty_t,
+           "airports": empty_a, "demographics": empty_d}
+    out = scratch("etl-part")
+    star.run_etl(spark, src, out, partition_fact_by=["arrival_date"])
+    fact = spark.read.parquet(f"{out}/fact_immigration")
+    assert fact.count() == 6
+    pruned = fact.filter(fact.arrival_date == day(20546))
+    assert pruned.count() == 1
+    assert "PartitionFilters: [isnotnull(arrival_date" in pruned._jdf.queryExecution().executedPlan().toString()
