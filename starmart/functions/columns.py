@@ -36,7 +36,7 @@ def decode(c: ColumnLike, mapping: Mapping[object, str], default: str | None = "
 
 
 def cast_int(c: ColumnLike) -> Column:
-    """double → int; Spark truncates toward zero (the reference relies on this)."""
+    """double → int; Spark truncates toward zero (the original ETL relies on this)."""
     return col_of(c).cast("int")
 
 
@@ -50,7 +50,7 @@ def epoch_day_to_date_or_marker(days: ColumnLike, marker: str | None = "N/A",
     """Day ≥ 1 → date, NULL → NULL, anything else → ``marker``.
 
     With a marker the result is STRING (``yyyy-MM-dd`` or the marker), as the
-    reference's CASE yields outside ANSI mode. ``marker=None`` gives a DATE.
+    original CASE yields outside ANSI mode. ``marker=None`` gives a DATE.
     """
     d = col_of(days)
     as_date = epoch_day_to_date(d, epoch)
@@ -62,7 +62,7 @@ def epoch_day_to_date_or_marker(days: ColumnLike, marker: str | None = "N/A",
 
 
 def age_at_year(birth_year: ColumnLike, year: int) -> Column:
-    """``year - birth_year``; the reference fixes the year at 2016."""
+    """``year - birth_year``; the original fixes the year at 2016."""
     return F.lit(year) - col_of(birth_year)
 
 
