@@ -607,8 +607,7 @@ def q_build_port_codes(spark, sf):
 
 @query("build_fact")
 def q_build_fact(spark, sf):
-    return S.build_fact(A.immigration(spark, sf), S.build_country_codes(A.country_codes(spark, sf)),
-                        S.build_port_codes(A.port_codes(spark, sf)))
+    return _fact(spark, sf)
 
 
 @query("explore_fact")
@@ -632,10 +631,6 @@ def q_build_dim_demographics(spark, sf):
     return S.build_dim_demographics(A.demographics(spark, sf))
 
 
-def _star(spark, sf) -> dict[str, DataFrame]:
-    return S.build_star(A.sources(spark, sf))
-
-
 def _written_star(spark, sf) -> dict[str, DataFrame]:
     out = scratch_path(spark, "star")
     S.run_etl(spark, A.sources(spark, sf), out)
@@ -663,29 +658,31 @@ def q_check_all(spark, sf):
     return verdicts.unionByName(counts).unionByName(coverage)
 
 
+def _fact(spark, sf) -> DataFrame:
+    return S.build_fact(A.immigration(spark, sf), S.build_country_codes(A.country_codes(spark, sf)),
+                        S.build_port_codes(A.port_codes(spark, sf)))
+
+
 @query("arrivals_by_month")
 def q_arrivals_by_month(spark, sf):
-    return I.arrivals_by_month(_star(spark, sf)["fact_immigration"])
+    return I.arrivals_by_month(_fact(spark, sf))
 
 
 @query("arrivals_by_port")
 def q_arrivals_by_port(spark, sf):
-    return I.arrivals_by_port(_star(spark, sf)["fact_immigration"])
+    return I.arrivals_by_port(_fact(spark, sf))
 
 
 @query("arrivals_by_demographics")
 def q_arrivals_by_demographics(spark, sf):
-    s = _star(spark, sf)
-    return I.arrivals_by_demographics(s["fact_immigration"], s["dim_demographics"])
+    return I.arrivals_by_demographics(_fact(spark, sf), S.build_dim_demographics(A.demographics(spark, sf)))
 
 
 @query("arrivals_by_temperature")
 def q_arrivals_by_temperature(spark, sf):
-    s = _star(spark, sf)
-    return I.arrivals_by_temperature(s["fact_immigration"], s["dim_temperature"])
+    return I.arrivals_by_temperature(_fact(spark, sf), S.build_dim_temperature(A.temperature(spark, sf)))
 
 
 @query("airports_per_city")
 def q_airports_per_city(spark, sf):
-    s = _star(spark, sf)
-    return I.airports_per_city(s["fact_immigration"], s["dim_airports"])
+    return I.airports_per_city(_fact(spark, sf), S.build_dim_airports(A.airports(spark, sf)))
