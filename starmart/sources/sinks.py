@@ -32,11 +32,41 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not yet stored at ``path`` (NULL-safe left-anti join)."""
+def _partition_filter(cols: Sequence[str], values) -> F.Column:
+    """``(c1 <=> v1 AND c2 <=> v2) OR ...`` over the given partition values."""
+    cond = F.lit(False)
+    for row in values:
+        match = F.lit(True)
+        for c in cols:
+            match = match & F.col(c).eqNullSafe(F.lit(row[c]))
+        cond = cond | match
+    return cond
+
+
+def new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
+             within_partitions: Sequence[str] | None = None, max_partitions: int = 10_000) -> DataFrame:
+    """Rows of ``df`` whose key is not yet stored at ``path`` (NULL-safe left-anti join).
+
+    ``within_partitions`` names partition columns of the stored table that
+    follow from the key (e.g. the arrival date of an arrival). Then only the
+    stored partitions the increment touches are compared, so a monthly append
+    reads one month of keys, not the whole table's: the increment's distinct
+    partition values (partition metadata, at most ``max_partitions`` of them,
+    checked) become a partition filter that the scan prunes on. Beyond that
+    bound a semi join with those values limits the comparison instead.
+    """
     if not _exists(spark, path):
         return df
-    stored = spark.read.parquet(path).select(*[F.col(k).alias(f"__s_{k}") for k in keys])
+    stored = spark.read.parquet(path)
+    if within_partitions:
+        cols = list(within_partitions)
+        touched = df.select(*cols).distinct()
+        values = touched.limit(max_partitions + 1).collect()
+        if len(values) <= max_partitions:
+            stored = stored.filter(_partition_filter(cols, values))
+        else:
+            stored = stored.join(touched, cols, "left_semi")
+    stored = stored.select(*[F.col(k).alias(f"__s_{k}") for k in keys])
     cond = None
     for k in keys:
         eq = df[k].eqNullSafe(stored[f"__s_{k}"])
@@ -45,10 +75,15 @@ def new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str])
 
 
 def append_parquet(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str] | None = None,
-                   partition_by: Sequence[str] | None = None) -> str:
+                   partition_by: Sequence[str] | None = None, keys_within_partitions: bool = False) -> str:
     """Add an increment to a stored table; with ``keys``, rows whose key is
-    already stored are skipped, so re-running the same increment adds nothing."""
-    rows = new_rows(spark, df, path, keys) if keys else df
+    already stored are skipped, so re-running the same increment adds nothing.
+
+    ``keys_within_partitions`` (with ``partition_by``) compares keys only in
+    the partitions the increment touches; see ``new_rows``.
+    """
+    within = partition_by if (keys_within_partitions and partition_by) else None
+    rows = new_rows(spark, df, path, keys, within_partitions=within) if keys else df
     return write_parquet(rows, path, mode="append", partition_by=partition_by)
 
 

@@ -24,8 +24,13 @@ from starmart.sources.sinks import append_parquet
 def append_increments(spark: SparkSession, source_dir: str, schema: T.StructType, target: str,
                       keys: Sequence[str], checkpoint: str, available_now: bool = True,
                       max_files_per_trigger: int | None = None, partition_by: Sequence[str] | None = None,
-                      timeout_seconds: float | None = None):
-    """Append every new file of ``source_dir`` to the parquet table ``target``."""
+                      keys_within_partitions: bool = False, timeout_seconds: float | None = None):
+    """Append every new file of ``source_dir`` to the parquet table ``target``.
+
+    With ``partition_by`` and ``keys_within_partitions`` each micro-batch
+    compares keys only in the stored partitions it touches (see
+    ``starmart.sources.sinks.new_rows``).
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -33,7 +38,7 @@ def append_increments(spark: SparkSession, source_dir: str, schema: T.StructType
 
     def append_batch(batch: DataFrame, _epoch: int) -> None:
         append_parquet(batch.sparkSession, batch.dropDuplicates(list(keys)), target, keys=keys,
-                       partition_by=partition_by)
+                       partition_by=partition_by, keys_within_partitions=keys_within_partitions)
 
     writer = stream.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

@@ -102,3 +102,19 @@ def test_apply_conf_sets_runtime_settings(spark):
         assert changed == {key: "128m"} and spark.conf.get(key) == "128m"
     finally:
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
+def test_append_compares_keys_only_in_touched_partitions(spark, scratch):
+    path = scratch("monthly")
+    base = spark.range(300).selectExpr("id", "CAST(id % 30 AS INT) AS day", "id * 2 AS v")
+    SK.write_parquet(base, path, partition_by=["day"])
+    inc = spark.range(280, 320).selectExpr("id", "CAST(id % 30 AS INT) AS day", "id * 2 AS v")
+    new = SK.new_rows(spark, inc, path, keys=["id"], within_partitions=["day"])
+    assert sorted(r.id for r in new.collect()) == list(range(300, 320))
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    beyond = SK.new_rows(spark, inc, path, keys=["id"], within_partitions=["day"], max_partitions=3)
+    assert sorted(r.id for r in beyond.collect()) == list(range(300, 320))
+    SK.append_parquet(spark, inc, path, keys=["id"], partition_by=["day"], keys_within_partitions=True)
+    SK.append_parquet(spark, inc, path, keys=["id"], partition_by=["day"], keys_within_partitions=True)
+    assert spark.read.parquet(path).count() == 320
