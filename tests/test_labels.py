@@ -1,5 +1,8 @@
 """Label-file parsing (FIXTURES A2, A3)."""
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from starmart.plans import star
 from starmart.sources import labels as L
 
@@ -128,3 +131,48 @@ def test_code_tables_from_one_text(spark, scratch):
     assert set(paths) == {"i94_country", "i94_port", "i94_model", "i94_state_addrl", "i94_visa"}
     visa = spark.read.option("header", True).csv(paths["i94_visa"])
     assert sorted(tuple(r) for r in visa.collect()) == [("1", "Business"), ("2", "Pleasure"), ("3", "Student")]
+
+
+def _model(text, tag, pair=False):
+    """The parsing rules, stated directly in Python: cut from the tag to the
+    next ';', keep lines with exactly one '=', trim blanks, then single and
+    double quotes (values: blanks again); for pairs, exactly one comma."""
+    start = text.find(tag)
+    if start < 0:
+        return []
+    end = text.find(";", start)
+    if end < 0:
+        return []
+    out = []
+    for line in text[start:end].splitlines():
+        parts = line.split("=")
+        if len(parts) != 2:
+            continue
+        code = parts[0].strip().strip("'").strip('"')
+        value = parts[1].strip().strip("'").strip('"').strip()
+        if pair:
+            halves = value.split(",")
+            if len(halves) != 2:
+                continue
+            out.append((code, halves[0].strip(), halves[1].strip()))
+        else:
+            out.append((code, value))
+    return out
+
+
+LINE = st.builds(lambda a, q, b: f"{a}{q}{b}{q}",
+                 st.text(alphabet=" \t'\"=abc,1", max_size=6), st.sampled_from(["", "'", '"']),
+                 st.text(alphabet=" \t'\"=xyz,2", max_size=8))
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(LINE, st.sampled_from(["\n", "\r\n", "\r"])), max_size=8), st.booleans(), st.booleans())
+def test_parser_matches_the_rules(spark, lines, closed, pair):
+    body = "".join(line + brk for line, brk in lines)
+    text = "head = 'x'\n/* TAG list */\n" + body + (";\nafter = 'y'" if closed else "")
+    texts = _texts(spark, text)
+    if pair:
+        got = sorted((r.code, r.value1, r.value2) for r in L.label_dictionary_pair(texts, "TAG").collect())
+    else:
+        got = sorted((r.code, r.value) for r in L.label_dictionary(texts, "TAG").collect())
+    assert got == sorted(_model(text, "TAG", pair))
