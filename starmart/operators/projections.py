@@ -38,9 +38,19 @@ def qualified_star(left: DataFrame, right: DataFrame, on: Column, take: Mapping[
         "l.*", *[F.col(f"r.{src}").alias(dst) for src, dst in take.items()])
 
 
-def order_by(df: DataFrame, *keys: ColumnLike) -> DataFrame:
-    """Ascending order on one or more keys (range-partitioned global sort)."""
-    return df.orderBy(*[col_of(k).asc() for k in keys])
+def order_by(df: DataFrame, *keys: ColumnLike, spread_ties: bool = True) -> DataFrame:
+    """Ascending order on one or more keys (range-partitioned global sort).
+
+    A range partitioner cannot split rows with equal sort keys, so one value
+    holding a third of the table would be sorted by one task. ``spread_ties``
+    adds a hash of the whole row as the last sort key: the requested order is
+    unchanged, ties get a deterministic order and are spread over ranges
+    (identical copies of a row still share one).
+    """
+    order = [col_of(k).asc() for k in keys]
+    if spread_ties:
+        order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc())
+    return df.orderBy(*order)
 
 
 def limit_rows(df: DataFrame, n: int, order: Sequence[ColumnLike] | None = None) -> DataFrame:

@@ -102,3 +102,19 @@ def test_null_profile_handles_awkward_names(spark):
     df = spark.createDataFrame([(None, 1, "x"), ("a", None, None)], "a string, b int, c string").toDF(*names)
     got = {r.column_name: r.null_count for r in PR.null_profile(df).collect()}
     assert got == {"we`ird": 1, "it's": 1, "a\\b.c": 1}
+
+
+def test_order_by_spreads_a_hot_sort_key(spark):
+    from pyspark.sql import functions as F
+    from starmart.operators import projections as PJ
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), "id")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # keep the range partitions of this tiny input apart
+    try:
+        rows = PJ.order_by(df, "k").withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(key, old)
+    keys = [r.k for r in rows]
+    assert keys == sorted(keys)
+    assert len({r.part for r in rows if r.k == 0}) > 1  # the hot value is sorted by several tasks
