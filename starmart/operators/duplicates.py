@@ -7,7 +7,8 @@ holds each key's rows in one task, and one key may hold a third of the table.
 So the keys are split by size first:
 
 * a grouped count (partially aggregated, so cheap and skew-free) finds the keys
-  with more than ``hot_key_rows`` rows. There are at most ``rows / hot_key_rows``
+  with more than ``hot_key_rows`` rows (skipped when the whole input has no more
+  rows than that, which a count that stops early shows). There are at most ``rows / hot_key_rows``
   of them, and their set is broadcast only after its size is checked;
 * the other keys take the window, whose groups are now bounded;
 * the hot keys take a path made only of aggregations and a union:
@@ -94,6 +95,9 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] | No
     order += [c for c in cols if c not in keys and c not in order]
     if hot_key_rows <= 0:
         return _duplicates_by_aggregation(df, keys, order, chunk)
+    if df.limit(hot_key_rows + 1).count() <= hot_key_rows:
+        # the whole input is within the bound, so no key can be hot
+        return _duplicates_by_window(df, keys, order)
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
            .filter(F.col("__rows") > hot_key_rows)
            .select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
