@@ -428,8 +428,9 @@ def q_lookup_join(spark, sf):
 def q_lookup_join_second_role(spark, sf):
     im = A.immigration(spark, sf).select("cicid", "i94mode", "i94cit", "i94res")
     codes = A.country_codes(spark, sf)
-    im = J.lookup_join(im, codes, "i94cit", {"country_name": "citizenship_country"})
-    im = J.lookup_join(im, codes, "i94res", {"country_name": "residence_country"})
+    small = J.fits_broadcast(codes)  # one size check for both roles
+    im = J.lookup_join(im, codes, "i94cit", {"country_name": "citizenship_country"}, broadcast=small)
+    im = J.lookup_join(im, codes, "i94res", {"country_name": "residence_country"}, broadcast=small)
     return im.select("cicid", "i94mode", "citizenship_country", "residence_country")
 
 
