@@ -37,11 +37,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = False  # compare floats bit for bit (set by ``tools/oracle_check.py --exact``)
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.9g}")
     if isinstance(v, dt.datetime):

@@ -17,7 +17,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 
 @pytest.fixture(scope="module")
 def con():
-    return duck(SF)
+    import starmart.catalog.check as check
+    check.EXACT = True  # floats must match bit for bit
+    yield duck(SF)
+    check.EXACT = False
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

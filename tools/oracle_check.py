@@ -1,6 +1,6 @@
 """Run every registered query against its DuckDB twin and print a table.
 
-Usage: python tools/oracle_check.py [sf_dir] [name ...]
+Usage: python tools/oracle_check.py [--exact] [sf_dir] [name ...]
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from starmart.session import local_session  # noqa: E402
 
 
 def main(argv: list[str]) -> int:
+    if "--exact" in argv:
+        import starmart.catalog.check as check
+        check.EXACT = True
+        argv = [a for a in argv if a != "--exact"]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or sorted(QUERIES)
     spark = local_session()
