@@ -98,13 +98,15 @@ def group_avg(df: DataFrame, keys: Sequence[ColumnLike], measures: dict[str, Col
     ``measures`` maps output names to columns. ``digits`` rounds the means.
     ``decimals`` declares how many decimals the measures carry: they are then
     summed as DECIMAL, so the mean is exact and the same for any partitioning
-    or summation order (a double sum is not), and returned as DOUBLE.
+    or summation order (a double sum is not), and returned as DOUBLE. A NaN
+    reading counts as missing there (a value too large for DECIMAL(30, n)
+    still fails loudly).
     """
     aggs = []
     for out, m in measures.items():
         m = col_of(m)
         if decimals is not None:
-            m = m.cast(f"decimal(30,{decimals})")
+            m = F.when(F.isnan(m), F.lit(None)).otherwise(m).cast(f"decimal(30,{decimals})")
         a = F.avg(m)
         a = F.round(a, digits) if digits is not None else a
         aggs.append((a.cast("double") if decimals is not None else a).alias(out))

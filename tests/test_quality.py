@@ -118,3 +118,9 @@ def test_order_by_spreads_a_hot_sort_key(spark):
     keys = [r.k for r in rows]
     assert keys == sorted(keys)
     assert len({r.part for r in rows if r.k == 0}) > 1  # the hot value is sorted by several tasks
+
+
+def test_exact_means_treat_nan_as_missing(spark):
+    df = spark.createDataFrame([("a", 1.25), ("a", float("nan")), ("a", 2.5), ("b", None)], "k string, x double")
+    got = {r.k: r.m for r in AG.group_avg(df, ["k"], {"m": "x"}, digits=4, decimals=2).collect()}
+    assert got == {"a": 1.875, "b": None}
