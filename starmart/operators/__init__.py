@@ -40,6 +40,7 @@ from starmart.operators.profile import null_percent, null_profile, schema_report
 from starmart.operators.projections import (
     add_column,
     add_columns,
+    insert_columns,
     limit_rows,
     order_by,
     preview,

@@ -20,6 +20,14 @@ def add_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
     return df.withColumns(dict(exprs))
 
 
+def insert_columns(df: DataFrame, position: int, exprs: Mapping[str, Column]) -> DataFrame:
+    """All columns with ``exprs`` inserted at a 0-based ``position`` (pandas ``insert``),
+    e.g. longitude and latitude split from the coordinates at positions 12 and 13."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    new = [e.alias(n) for n, e in exprs.items()]
+    return df.select(*cols[:position], *new, *cols[position:])
+
+
 def project_rename(df: DataFrame, columns: Mapping[str, ColumnLike] | Sequence[tuple[str, ColumnLike]]) -> DataFrame:
     """Column subset with new names in a fixed order: ``{new_name: source}``.
 

@@ -86,3 +86,13 @@ def test_is_missing_counts_nan_only_when_asked(spark):
     assert df.filter(P.is_missing("x")).count() == 1
     assert df.filter(P.is_missing("x", numeric_nan=True)).count() == 2
     assert df.filter(F.col("x").isNull()).count() == 1
+
+
+def test_insert_coordinates_at_positions(spark):
+    from starmart.operators.projections import insert_columns
+    cols = [f"c{i}" for i in range(12)] + ["coordinates"]
+    df = spark.createDataFrame([tuple(["x"] * 12 + ["-122.5, 45.25"])], ", ".join(f"{c} string" for c in cols))
+    lon, lat = C.split_coordinates("coordinates")
+    out = insert_columns(df, 12, {"longitude": lon, "latitude": lat})
+    assert out.columns[12:] == ["longitude", "latitude", "coordinates"]
+    assert tuple(out.collect()[0])[12:14] == (-122.5, 45.25)
