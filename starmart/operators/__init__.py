@@ -35,7 +35,14 @@ from starmart.operators.filters import (
     filter_range_ge,
     filter_text_eq,
 )
-from starmart.operators.joins import bounded_broadcast, distinct_pair_join, in_subquery, lookup_join
+from starmart.operators.joins import (
+    bounded_broadcast,
+    distinct_pair_join,
+    fits_broadcast,
+    fits_broadcast_all,
+    in_subquery,
+    lookup_join,
+)
 from starmart.operators.profile import null_percent, null_profile, schema_report, table_stats
 from starmart.operators.projections import (
     add_column,
