@@ -33,6 +33,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.operators.joins import at_most
+
 # A key with more rows than this is "hot" and never held by one task.
 DEFAULT_HOT_KEY_ROWS = 1_000_000
 # At most this many hot keys are broadcast to split the input (a hot key has
@@ -95,16 +97,15 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] | No
     order += [c for c in cols if c not in keys and c not in order]
     if hot_key_rows <= 0:
         return _duplicates_by_aggregation(df, keys, order, chunk)
-    if df.limit(hot_key_rows + 1).count() <= hot_key_rows:
+    if at_most(df, hot_key_rows):
         # the whole input is within the bound, so no key can be hot
         return _duplicates_by_window(df, keys, order)
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
            .filter(F.col("__rows") > hot_key_rows)
            .select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
-    n_hot = hot.limit(max_hot_keys + 1).count()
-    if n_hot == 0:
+    if at_most(hot, 0):
         return _duplicates_by_window(df, keys, order)
-    if n_hot > max_hot_keys:
+    if not at_most(hot, max_hot_keys):
         return _duplicates_by_aggregation(df, keys, order, chunk)
     hot = F.broadcast(hot)
     normal = df.join(hot, _key_match(df, hot, keys), "left_anti")

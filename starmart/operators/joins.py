@@ -18,9 +18,23 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 
 
+# ``limit`` takes a 32-bit count.
+_MAX_LIMIT = 2**31 - 1
+
+
+def at_most(df: DataFrame, n: int) -> bool:
+    """Does ``df`` have at most ``n`` rows? Reads at most ``n + 1`` rows (a
+    count that stops early); beyond the largest limit Spark takes, the answer
+    is "no" unless the table is smaller than that limit."""
+    if n < 0:
+        return False
+    probe = min(n + 1, _MAX_LIMIT)
+    return df.limit(probe).count() < probe
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
     """Does ``df`` have at most ``max_rows`` rows? Reads at most ``max_rows + 1``."""
-    return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
+    return max_rows > 0 and at_most(df, max_rows)
 
 
 def fits_broadcast_all(dfs: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> list[bool]:
@@ -28,12 +42,13 @@ def fits_broadcast_all(dfs: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCA
     limited row counts, at most ``len(dfs)`` rows come back)."""
     if max_rows <= 0 or not dfs:
         return [False] * len(dfs)
-    parts = [df.limit(max_rows + 1).select(F.lit(i).alias("__table")) for i, df in enumerate(dfs)]
+    probe = min(max_rows + 1, _MAX_LIMIT)
+    parts = [df.limit(probe).select(F.lit(i).alias("__table")) for i, df in enumerate(dfs)]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
     counts = {r["__table"]: r["n"] for r in union.groupBy("__table").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+    return [counts.get(i, 0) < probe for i in range(len(dfs))]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:

@@ -61,7 +61,7 @@ def new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
     if within_partitions:
         cols = list(within_partitions)
         touched = df.select(*cols).distinct()
-        values = touched.limit(max_partitions + 1).collect()
+        values = touched.limit(min(max_partitions + 1, 2**31 - 1)).collect()
         if len(values) <= max_partitions:
             stored = stored.filter(_partition_filter(cols, values))
         else:

@@ -118,3 +118,12 @@ def test_append_compares_keys_only_in_touched_partitions(spark, scratch):
     SK.append_parquet(spark, inc, path, keys=["id"], partition_by=["day"], keys_within_partitions=True)
     SK.append_parquet(spark, inc, path, keys=["id"], partition_by=["day"], keys_within_partitions=True)
     assert spark.read.parquet(path).count() == 320
+
+
+def test_size_checks_accept_bounds_beyond_int_range(spark):
+    assert J.at_most(spark.range(5), 10**12) and not J.at_most(spark.range(5), 4) and J.at_most(spark.range(5), 5)
+    assert J.fits_broadcast(spark.range(5), 10**12)
+    assert J.fits_broadcast_all([spark.range(5)], 10**12) == [True]
+    from starmart.operators import duplicates as DU
+    df = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")
+    assert DU.duplicate_rows(df, ["k"], hot_key_rows=10**12).count() == 1

@@ -7,7 +7,10 @@ Usage: python tools/skew_check.py [sf_dir]
 plain window (every row of a key in one task), on the aggregation-only path,
 and in its default hybrid form. For each run the event log gives the wall
 time, the largest number of shuffle records one task read, and that task's
-share of all shuffle records read in the run.
+share of all shuffle records read in its stage. A second experiment joins
+the same hot key to a code table by shuffle (no broadcast), with adaptive
+skew-join splitting off and on; the skew thresholds are scaled down to the
+test data size.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from starmart.operators import duplicates as DU  # noqa: E402
+from starmart.operators import joins as J  # noqa: E402
 from starmart.session import RECOMMENDED_CONF  # noqa: E402
 
 
@@ -56,9 +60,14 @@ def main(argv: list[str]) -> None:
                .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
                .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false")
                # keep partitions as they are, so the per-task numbers show the placement
-               .config("spark.sql.adaptive.coalescePartitions.enabled", "false"))
+               .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+               # no broadcast by size estimate, and skew thresholds scaled down to this data size
+               .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+               .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+               .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256KB")
+               .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB"))
     for k, v in RECOMMENDED_CONF.items():
-        if k != "spark.sql.adaptive.coalescePartitions.enabled":
+        if k not in ("spark.sql.adaptive.coalescePartitions.enabled",):
             builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -72,6 +81,18 @@ def main(argv: list[str]) -> None:
         "aggregation only": lambda: DU.duplicate_rows(skewed, keys, hot_key_rows=0),
         "hybrid (default split)": lambda: DU.duplicate_rows(skewed, keys, hot_key_rows=10_000),
     }
+    # the shuffle fallback of a lookup: part keys as codes, the hot third on code 0
+    codes = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("code"), "p_brand")
+    fact = li.withColumn("code", F.when(hot, F.lit(0).cast("bigint")).otherwise(F.col("l_partkey")))
+
+    def lookup(skew_split: bool):
+        def build():
+            spark.conf.set("spark.sql.adaptive.skewJoin.enabled", str(skew_split).lower())
+            return J.lookup_join(fact, codes, "code", {"p_brand": "brand"}, broadcast=False)
+        return build
+
+    runs["lookup by shuffle, skew split off"] = lookup(False)
+    runs["lookup by shuffle, skew split on"] = lookup(True)
     results = {}
     for name, build in runs.items():
         for attempt in range(2):  # the second run is measured
