@@ -58,7 +58,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
 
 def lookup_join(df: DataFrame, codes: DataFrame, key: str, add: Mapping[str, str],
                 code_col: str = "code", how: str = "inner",
-                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, broadcast: bool | None = None) -> DataFrame:
+                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, broadcast: bool | None = None,
+                salt_buckets: int | None = None) -> DataFrame:
     """Join a code table on ``df[key] = codes[code_col]`` and add its columns.
 
     ``add`` maps code-table columns to new names. With ``how='inner'`` rows whose
@@ -66,12 +67,30 @@ def lookup_join(df: DataFrame, codes: DataFrame, key: str, add: Mapping[str, str
     table can be joined again for a second role (another ``key``).
     ``broadcast`` gives a size decision made earlier (``fits_broadcast``);
     when it is None the code table is checked here.
+
+    A code table too large to broadcast is joined by shuffle. Adaptive
+    execution splits a hot code's partition when the joined rows are the end
+    of a stage (written or returned), but not when an aggregation follows in
+    the same stage. ``salt_buckets`` then spreads every code over that many
+    partitions: each row draws a salt in ``[0, salt_buckets)`` and each code
+    row is repeated once per salt (a generator, not a cross join). The result
+    does not depend on the draws, since every row meets exactly one copy of
+    its code; ``rand`` marks the stage nondeterministic, so Spark re-runs it
+    as a whole on a retry.
     """
     tmp = f"__code_{key}"
     right = codes.select(F.col(code_col).alias(tmp), *[F.col(src).alias(dst) for src, dst in add.items()])
     if broadcast is None:
         broadcast = fits_broadcast(right, broadcast_max_rows)
-    right = F.broadcast(right) if broadcast else right
+    if broadcast:
+        right = F.broadcast(right)
+        return df.join(right, df[key] == right[tmp], how).drop(tmp)
+    if salt_buckets and salt_buckets > 1:
+        salt, rsalt = f"__salt_{key}", f"__rsalt_{key}"
+        left = df.withColumn(salt, (F.rand(seed=17) * salt_buckets).cast("int"))
+        right = right.withColumn(rsalt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        cond = (left[key] == right[tmp]) & (left[salt] == right[rsalt])
+        return left.join(right, cond, how).drop(tmp, salt, rsalt)
     return df.join(right, df[key] == right[tmp], how).drop(tmp)
 
 

@@ -40,3 +40,24 @@ def test_lookup_join_without_broadcast_splits_hot_key(spark):
     assert len(rows) == 200_000 and sum(r.label == "label-7" for r in rows) == 180_000
     assert "isFinalPlan=true" in plan
     assert "SortMergeJoin" in plan and "skew=true" in plan
+
+
+def test_salted_lookup_spreads_a_hot_code_before_an_aggregation(spark):
+    fact = spark.range(100_000).select(
+        F.when(F.col("id") % 10 != 0, F.lit(7)).otherwise(F.col("id") % 500).alias("code_id"), F.col("id"))
+    codes = spark.range(500).select(F.col("id").alias("code"), F.concat(F.lit("L"), F.col("id")).alias("label"))
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                        "spark.sql.shuffle.partitions": "16"}):
+        plain = J.lookup_join(fact, codes, "code_id", {"label": "label"}, broadcast=False)
+        salted = J.lookup_join(fact, codes, "code_id", {"label": "label"}, broadcast=False, salt_buckets=8)
+        assert salted.columns == plain.columns
+        per_label = lambda d: {r.label: r.n for r in d.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        assert per_label(salted) == per_label(plain)
+        # rows of the hot code land in one partition without salt and in several with it
+        hot_parts = lambda d: d.filter("code_id = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert hot_parts(plain) == 1 and hot_parts(salted) > 1
+        left = J.lookup_join(fact, codes.filter("code < 100"), "code_id", {"label": "label"}, how="left",
+                             broadcast=False, salt_buckets=8)
+        assert left.count() == 100_000
