@@ -58,22 +58,25 @@ def clean_immigration(immigration: DataFrame, marker: str | None = K.UNKNOWN_LAB
 def build_fact(immigration: DataFrame, country_codes: DataFrame, port_codes: DataFrame,
                reference_year: int = K.REFERENCE_YEAR, marker: str | None = K.UNKNOWN_LABEL,
                require_valid_stay: bool = False,
-               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+               salt_buckets: int | None = None) -> DataFrame:
     """Arrivals by air of travellers with a known gender, decoded and looked up.
 
     The three lookups are inner joins, so unknown citizenship, residence or port
     codes drop the row. Code tables are broadcast after a size check; the
-    fact side is never shuffled for them.
+    fact side is never shuffled for them. A code table over the bound is
+    joined by shuffle, salted over ``salt_buckets`` if given (for a fact that
+    is aggregated right away; see ``lookup_join``).
     """
     im = clean_immigration(immigration, marker, require_valid_stay)
     # One size check per code table; the country table serves two roles.
     small_countries, small_ports = fits_broadcast_all([country_codes, port_codes], broadcast_max_rows)
     im = lookup_join(im, country_codes, "i94cit", {"country_name": "citizenship_country"},
-                     broadcast=small_countries)
+                     broadcast=small_countries, salt_buckets=salt_buckets)
     im = lookup_join(im, country_codes, "i94res", {"country_name": "residence_country"},
-                     broadcast=small_countries)
+                     broadcast=small_countries, salt_buckets=salt_buckets)
     im = lookup_join(im, port_codes, "i94port", {"port": "entry_port", "state_code": "entry_port_state"},
-                     broadcast=small_ports)
+                     broadcast=small_ports, salt_buckets=salt_buckets)
     return im.select(
         "cicid", "citizenship_country", "residence_country", "arrival_date", "departure_date",
         C.age_at_year("biryear", reference_year).alias("age"), "gender",

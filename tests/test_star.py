@@ -161,3 +161,9 @@ def test_run_etl_partitions_the_fact(spark, scratch, sources):
     pruned = fact.filter(fact.arrival_date == day(20546))
     assert pruned.count() == 1
     assert "PartitionFilters: [isnotnull(arrival_date" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fact_with_shuffled_salted_lookups_is_unchanged(sources):
+    expected = sorted(tuple(r) for r in star.build_fact(*sources).collect())
+    salted = star.build_fact(*sources, broadcast_max_rows=1, salt_buckets=4)  # code tables "too large"
+    assert sorted(tuple(r) for r in salted.collect()) == expected
