@@ -56,10 +56,48 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
+# A code with more fact rows than this is "hot" on the shuffle path of a lookup.
+DEFAULT_HOT_CODE_ROWS = 1_000_000
+# At most this many hot codes are isolated (a hot code has more than
+# ``hot_code_rows`` rows, so the set is small by construction).
+DEFAULT_MAX_HOT_CODES = 10_000
+
+
+def _isolate_hot_codes(df: DataFrame, right: DataFrame, key: str, tmp: str, how: str,
+                       hot_code_rows: int, max_hot_codes: int) -> DataFrame | None:
+    """Shuffle join in which hot codes never reach the shuffle, or None if none is hot.
+
+    The hot codes (a grouped count on the fact side) and their few code rows
+    are broadcast: rows with a hot code join that broadcast in place, all
+    other rows take the shuffle join. NULL keys of a left join bypass the join.
+    """
+    if at_most(df, hot_code_rows):
+        return None
+    hot = (df.groupBy(F.col(key).alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
+           .filter(F.col("__hot").isNotNull() & (F.col("__n") > hot_code_rows)).select("__hot"))
+    if at_most(hot, 0) or not at_most(hot, max_hot_codes):
+        return None
+    hot = F.broadcast(hot)
+    hot_rows = df.join(hot, df[key] == hot["__hot"], "left_semi")
+    cold_rows = df.filter(F.col(key).isNotNull()).join(hot, df[key] == hot["__hot"], "left_anti")
+    hot_codes = right.join(hot, right[tmp] == hot["__hot"], "left_semi")
+    if not fits_broadcast(hot_codes):
+        return None
+    hot_codes = F.broadcast(hot_codes)
+    out = (cold_rows.join(right, cold_rows[key] == right[tmp], how)
+           .unionByName(hot_rows.join(hot_codes, hot_rows[key] == hot_codes[tmp], how)))
+    if how == "left":
+        nulls = df.filter(F.col(key).isNull()).select(
+            "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
+        out = out.unionByName(nulls)
+    return out.drop(tmp)
+
+
 def lookup_join(df: DataFrame, codes: DataFrame, key: str, add: Mapping[str, str],
                 code_col: str = "code", how: str = "inner",
                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, broadcast: bool | None = None,
-                salt_buckets: int | None = None) -> DataFrame:
+                salt_buckets: int | None = None, hot_code_rows: int = DEFAULT_HOT_CODE_ROWS,
+                max_hot_codes: int = DEFAULT_MAX_HOT_CODES) -> DataFrame:
     """Join a code table on ``df[key] = codes[code_col]`` and add its columns.
 
     ``add`` maps code-table columns to new names. With ``how='inner'`` rows whose
@@ -68,15 +106,18 @@ def lookup_join(df: DataFrame, codes: DataFrame, key: str, add: Mapping[str, str
     ``broadcast`` gives a size decision made earlier (``fits_broadcast``);
     when it is None the code table is checked here.
 
-    A code table too large to broadcast is joined by shuffle. Adaptive
-    execution splits a hot code's partition when the joined rows are the end
-    of a stage (written or returned), but not when an aggregation follows in
-    the same stage. ``salt_buckets`` then spreads every code over that many
-    partitions: each row draws a salt in ``[0, salt_buckets)`` and each code
-    row is repeated once per salt (a generator, not a cross join). The result
-    does not depend on the draws, since every row meets exactly one copy of
-    its code; ``rand`` marks the stage nondeterministic, so Spark re-runs it
-    as a whole on a retry.
+    A code table too large to broadcast is joined by shuffle. Codes with
+    more than ``hot_code_rows`` fact rows are found first (a grouped count)
+    and joined in place against a broadcast of their few code rows, so a hot
+    code never reaches the shuffle (``hot_code_rows=0`` turns this off).
+    Adaptive execution also splits a skewed partition when the joined rows
+    end a stage, but not when an aggregation follows in the same stage.
+    ``salt_buckets`` instead spreads every code over that many partitions:
+    each row draws a salt in ``[0, salt_buckets)`` and each code row is
+    repeated once per salt (a generator, not a cross join). The result does
+    not depend on the draws, since every row meets exactly one copy of its
+    code; ``rand`` marks the stage nondeterministic, so Spark re-runs it as a
+    whole on a retry.
     """
     tmp = f"__code_{key}"
     right = codes.select(F.col(code_col).alias(tmp), *[F.col(src).alias(dst) for src, dst in add.items()])
@@ -85,6 +126,10 @@ def lookup_join(df: DataFrame, codes: DataFrame, key: str, add: Mapping[str, str
     if broadcast:
         right = F.broadcast(right)
         return df.join(right, df[key] == right[tmp], how).drop(tmp)
+    if hot_code_rows > 0 and not salt_buckets and how in ("inner", "left"):
+        isolated = _isolate_hot_codes(df, right, key, tmp, how, hot_code_rows, max_hot_codes)
+        if isolated is not None:
+            return isolated
     if salt_buckets and salt_buckets > 1:
         salt, rsalt = f"__salt_{key}", f"__rsalt_{key}"
         left = df.withColumn(salt, (F.rand(seed=17) * salt_buckets).cast("int"))

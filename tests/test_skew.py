@@ -61,3 +61,18 @@ def test_salted_lookup_spreads_a_hot_code_before_an_aggregation(spark):
         left = J.lookup_join(fact, codes.filter("code < 100"), "code_id", {"label": "label"}, how="left",
                              broadcast=False, salt_buckets=8)
         assert left.count() == 100_000
+
+
+def test_hot_codes_join_in_place(spark):
+    from collections import Counter
+    rows = [(7 if i % 10 else (i % 50 if i % 20 else None), i) for i in range(20_000)]
+    fact = spark.createDataFrame(rows, "code_id long, id long")
+    codes = spark.range(40).select(F.col("id").alias("code"), F.concat(F.lit("L"), F.col("id")).alias("label"))
+    for how in ["inner", "left"]:
+        plain = J.lookup_join(fact, codes, "code_id", {"label": "label"}, how=how, broadcast=False, hot_code_rows=0)
+        isolated = J.lookup_join(fact, codes, "code_id", {"label": "label"}, how=how, broadcast=False,
+                                 hot_code_rows=1_000)
+        assert isolated.columns == plain.columns
+        assert Counter(tuple(r) for r in isolated.collect()) == Counter(tuple(r) for r in plain.collect()), how
+        plan = isolated._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "LeftAnti" in plan
