@@ -67,8 +67,9 @@ def test_hot_codes_join_in_place(spark):
     from collections import Counter
     rows = [(7 if i % 10 else (i % 50 if i % 20 else None), i) for i in range(20_000)]
     fact = spark.createDataFrame(rows, "code_id long, id long")
-    codes = spark.range(40).select(F.col("id").alias("code"), F.concat(F.lit("L"), F.col("id")).alias("label"))
-    for how in ["inner", "left"]:
+    all_codes = spark.range(40).select(F.col("id").alias("code"), F.concat(F.lit("L"), F.col("id")).alias("label"))
+    # the hot code 7 known, and unknown (inner drops its rows, left keeps them with NULLs)
+    for codes, how in [(c, h) for c in (all_codes, all_codes.filter("code != 7")) for h in ("inner", "left")]:
         plain = J.lookup_join(fact, codes, "code_id", {"label": "label"}, how=how, broadcast=False, hot_code_rows=0)
         isolated = J.lookup_join(fact, codes, "code_id", {"label": "label"}, how=how, broadcast=False,
                                  hot_code_rows=1_000)
