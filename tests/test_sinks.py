@@ -127,3 +127,10 @@ def test_size_checks_accept_bounds_beyond_int_range(spark):
     from starmart.operators import duplicates as DU
     df = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")
     assert DU.duplicate_rows(df, ["k"], hot_key_rows=10**12).count() == 1
+
+
+def test_apply_conf_keeps_cluster_settings(spark):
+    from starmart.session import apply_conf
+    before = spark.conf.get("spark.sql.shuffle.partitions")  # set when the session was built
+    assert apply_conf(spark, {"spark.sql.shuffle.partitions": "999"}) == {}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
