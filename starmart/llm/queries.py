@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from starmart.llm import packing
+from starmart.llm import language, packing, toxicity
 
 QUERIES = {
+    "op2_language": language.op2_language,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op8_packing": packing.op8_packing,
 }
 
