@@ -13,7 +13,7 @@ import os
 import numpy as np
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 19
 _LOADED: dict[str, "WordTokenizer"] = {}
 
 
@@ -30,27 +30,42 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}  # ids of " " + word, little-endian unsigned 32-bit
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        names = (self.tokenizer.id_to_token(i) or "" for i in range(size))
+        self.after_space = np.array([name.startswith("\u0120") for name in names])  # how byte 0x20 is written
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, missing: list[str]) -> None:
+        """Encode new words in one text. Each begins with the only id of its ids that starts with a space."""
+        ids = self._ids(" " + " ".join(missing))
+        starts = (4 * np.flatnonzero(self.after_space[ids])).tolist()
+        data = ids.tobytes()
+        self.words.update(zip(missing, [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])], strict=True))
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         if "  " in text:
-            return self._library([text])[0]
+            return self._ids(text).tobytes()
         first, *rest = text.split(" ")
-        words = self.words
-        missing = [w for w in dict.fromkeys(rest) if w not in words]
-        if len(words) + len(missing) > CACHED_WORDS:
-            words.clear()
-            missing = list(dict.fromkeys(rest))
-        if missing:
-            words.update(zip(missing, self._library([" " + w for w in missing])))
-        head = self._library([first])[0] if first else b""
-        return head + b"".join([words[w] for w in rest])
+        found = list(map(self.words.get, rest))
+        if None in found:
+            missing = list(dict.fromkeys([w for w, ids in zip(rest, found) if ids is None]))
+            if len(self.words) + len(missing) > CACHED_WORDS:
+                self.words.clear()
+                missing = list(dict.fromkeys(rest))
+            # an empty last word is the space that ends the text
+            if "" in missing:
+                missing.remove("")
+                self.words[""] = self._ids(" ").tobytes()
+            if missing:
+                self._learn(missing)
+            found = [self.words[w] for w in rest]
+        head = self._ids(first).tobytes() if first else b""
+        return head + b"".join(found)
 
 
 def tokenizer(path: str) -> WordTokenizer:
