@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from starmart.llm import language, packing, toxicity
+from starmart.llm import language, packing, simhash, toxicity
 
 QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
     "op2_language": language.op2_language,
     "op4_toxicity": toxicity.op4_toxicity,
     "op8_packing": packing.op8_packing,
