@@ -1,0 +1,120 @@
+import random
+import re
+
+import duckdb
+
+from starmart.llm import decontamination as D
+
+STOP = {".", "!", "?", "\n"}
+
+
+def plain_tokens(text):
+    raw = re.findall(r"[^\W\d_]+|[0-9]+(?:[.,][0-9]+)*|[.!?\n]", text or "")
+    out = []
+    for i, t in enumerate(raw):
+        before = raw[i - 1] if i else None
+        low = t.lower()
+        if t in STOP:
+            continue
+        if t[0].isdigit():
+            out.append((D.NUMBER, low))
+        elif before and before[0].isdigit() and low in D.UNITS:
+            out.append((D.UNIT, low))
+        elif t[0] != low[0] and i and before not in STOP:
+            out.append((D.NAME, low))
+        else:
+            out.append((low, None))
+    return out
+
+
+def brute(docs, items):
+    found = {}
+    for doc_id, text in docs:
+        a = plain_tokens(text)
+        for item_id, item in items:
+            if item is None or text is None:
+                continue
+            b = plain_tokens(item)
+            shifts, total = {}, 0
+            for j in range(len(b) - D.WINDOW + 1):
+                w = b[j:j + D.WINDOW]
+                if sum(x[1] is None for x in w) < D.MIN_WORDS:
+                    continue
+                total += 1
+                for i in range(len(a) - D.WINDOW + 1):
+                    v = a[i:i + D.WINDOW]
+                    if [x[0] for x in v] == [x[0] for x in w]:
+                        s = shifts.setdefault(i - j, (set(), set()))
+                        s[0].add(j)
+                        s[1].update((x[1], y[1]) for x, y in zip(w, v) if x[1] is not None)
+            good = [s for s in shifts.values()
+                    if len({p for p, _ in s[1]}) == len(s[1]) == len({q for _, q in s[1]})]
+            matched = set().union(*(s[0] for s in good)) if good else set()
+            if matched and len(matched) >= min(D.MIN_WINDOWS, total):
+                exact = all(p == q for s in good for p, q in s[1])
+                found[(doc_id, item_id)] = (len(matched), total, exact)
+    return found
+
+
+ITEM = ("A train from Springfield to Shelbyville travels 120 km in 3 hours and then returns to Springfield at half "
+        "the speed. How long does the whole trip take?")
+OTHER = ITEM.replace("Springfield", "Boston").replace("Shelbyville", "Dover").replace("120", "90").replace("3 ", "2 ")
+WRONG = ITEM.replace("to Springfield", "to Ogden")
+
+
+def rows(got):
+    return {(r.doc_id, r.item_id): (r.matched_windows, r.item_windows, r.exact) for r in got.collect()}
+
+
+def test_parameters_are_slots(spark):
+    docs = [(1, f"Some words before. {ITEM} And after."), (2, OTHER), (3, WRONG), (4, "Nothing of the kind."), (5, None),
+            (6, ""), (None, OTHER), (1, f"Some words before. {ITEM} And after."), (7, ITEM.upper()),
+            (8, "x y " * 20000 + OTHER), (9, ITEM[:40])]
+    items = [(10, ITEM), (11, None), (12, "too short"), (13, ""), (10, ITEM)]
+    got = rows(D.contaminated(spark.createDataFrame([(i, t, 1, "q") for i, t in docs], "doc_id long, text string, item_id int, hash string"),
+                              spark.createDataFrame([(i, t, 5) for i, t in items], "item_id long, text string, pos int")))
+    want = brute(docs, items)
+    assert got == want
+    assert {k[0] for k in got} >= {1, 2, None, 8} and 4 not in {k[0] for k in got}
+    assert got[(1, 10)][2] and not got[(2, 10)][2]
+    # returning elsewhere contradicts the slot of the start: fewer windows are consistent
+    assert got.get((3, 10), (0,))[0] < got[(2, 10)][0]
+
+
+def test_random_texts_against_brute_force(spark):
+    rng = random.Random(3)
+    words = ["red", "blue", "Paris", "Rome", "7", "3.5", "kg", "runs", "Éa", "was", "the", "of", ".", "\n"]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(5, 40)))) for i in range(12)]
+    docs = []
+    for d in range(60):
+        text = " ".join(rng.choice(words) for _ in range(20))
+        if d % 2:
+            part = rng.choice(items)[1]
+            text = f"{text} . {part} . {text}"
+        docs.append((d, text.replace("Paris", "Oslo") if d % 3 == 0 else text))
+    got = rows(D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                              spark.createDataFrame(items, "item_id long, text string")))
+    assert got == brute(docs, items) and got
+
+
+def test_without_broadcast_and_empty(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, ITEM), (2, OTHER)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    want = rows(D.contaminated(docs, items))
+    monkeypatch.setattr(D, "BROADCAST_WINDOWS", 0)
+    assert rows(D.contaminated(docs, items)) == want and len(want) == 2
+    assert D.contaminated(docs.limit(0), items).count() == 0
+    assert D.contaminated(docs, items.limit(0)).count() == 0
+
+
+def test_plan_is_native(spark):
+    docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
+    plan = D.contaminated(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
+    assert "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_given_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet'").fetchall()
+    items = duckdb.sql(f"SELECT item_id, text FROM '{sf}/benchmark.parquet'").fetchall()
+    assert rows(D.op7_decontamination(spark, sf)) == brute(docs, items)
