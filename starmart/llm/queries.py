@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from starmart.llm import language, packing, simhash, toxicity
+from starmart.llm import decontamination, language, packing, pii, simhash, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_language": language.op2_language,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_pii": pii.op5_pii,
+    "op7_decontamination": decontamination.op7_decontamination,
     "op8_packing": packing.op8_packing,
 }
 
