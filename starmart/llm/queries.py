@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from starmart.llm import decontamination, language, packing, pii, simhash, toxicity
+from starmart.llm import decontamination, language, packing, pii, simhash, topk, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_language": language.op2_language,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_pii": pii.op5_pii,
+    "op6_topk": topk.op6_topk,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_packing": packing.op8_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_topk": topk.ORACLE}
