@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starmart.llm import decontamination, language, packing, pii, rollups, simhash, topk, toxicity
+from starmart.llm import decontamination, language, lm, packing, pii, rollups, simhash, topk, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_topk": topk.op6_topk,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_packing": packing.op8_packing,
+    "op10_lm_scores": lm.op10_lm_scores,
     "op9_token_rollups": rollups.op9_token_rollups,
 }
 
