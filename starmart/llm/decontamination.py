@@ -115,13 +115,8 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return rows.join(totals, "item_key")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Contaminated documents: ``doc_id, item_id, matched_windows, item_windows, exact``.
-
-    ``exact`` is true when all matched slots have the item's own values. NULL and empty texts, and documents or
-    items shorter than a window, are never contaminated; rows with a NULL id are matched like others; repeated rows
-    give one result; extra columns are ignored; empty tables give no rows.
-    """
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``contaminated`` by text: ``doc_id, text_hash, item_id, matched_windows, item_windows, exact``."""
     spark = docs.sparkSession
     items = written(spark, benchmark_windows(benchmark), "benchmark-windows")
     hashes = items.select("hash").distinct()
@@ -158,10 +153,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             .groupBy("doc_id", "text_hash", "item_key", "item_id", "item_windows")
             .agg(F.count_distinct("item_pos").alias("matched_windows"), F.min("same").alias("exact")))
     enough = F.col("matched_windows") >= F.least(F.lit(MIN_WINDOWS), F.col("item_windows"))
-    return (each.where(enough).groupBy("doc_id", "item_id")
+    return each.where(enough).select("doc_id", "text_hash", "item_id", "matched_windows", "item_windows", "exact")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Contaminated documents: ``doc_id, item_id, matched_windows, item_windows, exact``.
+
+    ``exact`` is true when all matched slots have the item's own values. NULL and empty texts, and documents or
+    items shorter than a window, are never contaminated; rows with a NULL id are matched like others; repeated rows
+    give one result; extra columns are ignored; empty tables give no rows.
+    """
+    return (matches(docs, benchmark).groupBy("doc_id", "item_id")
             .agg(F.max("matched_windows").alias("matched_windows"), F.max("item_windows").alias("item_windows"),
                  F.max("exact").alias("exact")))
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) that no benchmark item contaminates."""
+    found = written(docs.sparkSession, matches(docs, benchmark).select(
+        F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).distinct(), "contaminated")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["found_id"])
+                     & (F.xxhash64(docs["text"]) == found["found_hash"]), "left_anti")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -295,5 +295,19 @@ def redacted(text: Column, spans: Column) -> Column:
         let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), build))
 
 
+def without_pii(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """``docs`` (all columns) with every span in ``text`` replaced by its kind in brackets and ``n_chars``, where there
+    is one, set to the new length. NULL texts stay NULL."""
+    columns = docs.columns
+    packed = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in columns)).alias("pii_row"))
+    df = with_spans(packed, ["pii_row"], model or fit(docs))
+    clean = F.when(F.col("pii_row.text").isNotNull(), redacted(F.col("pii_text"), F.col("all_spans")))
+    df = df.select("pii_row", clean.alias("pii_clean"))
+    return df.select(*(
+        F.col("pii_clean").alias("text") if c == "text" else
+        F.length("pii_clean").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
+        F.col(f"pii_row.`{c}`").alias(c) for c in columns))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))

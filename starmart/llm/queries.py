@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from starmart.llm import decontamination, language, lm, packing, pii, rollups, simhash, topk, toxicity
 
 QUERIES = {
@@ -13,6 +14,7 @@ QUERIES = {
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_packing": packing.op8_packing,
     "op10_lm_scores": lm.op10_lm_scores,
+    "pipeline": corpus_pipeline.run,
     "op9_token_rollups": rollups.op9_token_rollups,
 }
 

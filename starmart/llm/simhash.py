@@ -55,11 +55,13 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprinted(batches: Iterator) -> Iterator:
+    """Replaces the last column, the text, with its fingerprint."""
     import pyarrow as pa
 
     for batch in batches:
-        found = np.array([fingerprint(text.as_py()) for text in batch.column(1)], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["row", "fingerprint"])
+        *others, texts = batch.columns
+        found = np.array([fingerprint(text.as_py()) for text in texts], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([*others, pa.array(found)], names=[*batch.schema.names[:-1], "fingerprint"])
 
 
 def keys(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +147,19 @@ def links(fingerprints: DataFrame, full_key: int = FULL_KEY) -> DataFrame:
     return direct
 
 
+def fingerprint_classes(prints: DataFrame, full_key: int = FULL_KEY) -> DataFrame:
+    """``fingerprint, component, component_id`` of the different fingerprints of ``prints`` (``row, fingerprint``):
+    the smallest fingerprint and the smallest row id of the component."""
+    spark = prints.sparkSession
+    groups = written(spark, prints.groupBy("fingerprint").agg(F.min("row").alias("first")), "simhash-groups")
+    members = connected_components(links(groups, full_key)).withColumnRenamed("node", "fingerprint")
+    smallest = (members.join(groups, "fingerprint").groupBy("component").agg(F.min("first").alias("smallest")))
+    joined = written(spark, members.join(smallest, "component"), "simhash-members")
+    return written(spark, groups.join(joined, "fingerprint", "left").select(
+        "fingerprint", F.coalesce("component", "fingerprint").alias("component"),
+        F.coalesce("smallest", "first").alias("component_id")), "simhash-classes")
+
+
 def simhash_components(docs: DataFrame, full_key: int = FULL_KEY) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs`` (``doc_id``, ``text``).
 
@@ -152,19 +167,38 @@ def simhash_components(docs: DataFrame, full_key: int = FULL_KEY) -> DataFrame:
     ``doc_id`` of the component; a NULL ``doc_id`` is never the smallest, and a component of such rows alone has
     NULL. Repeated rows stay; extra columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    prints = written(spark, docs.select(F.col("doc_id").cast("long").alias("row"), "text")
+    prints = written(docs.sparkSession, docs.select(F.col("doc_id").cast("long").alias("row"), "text")
                      .mapInArrow(fingerprinted, "row long, fingerprint long"), "simhash-prints")
-    groups = written(spark, prints.groupBy("fingerprint").agg(F.min("row").alias("first")), "simhash-groups")
-    members = connected_components(links(groups, full_key)).withColumnRenamed("node", "fingerprint")
-    smallest = (members.join(groups, "fingerprint").groupBy("component").agg(F.min("first").alias("smallest")))
-    joined = written(spark, members.join(smallest, "component").select("fingerprint", "smallest"), "simhash-members")
-    of_group = written(spark, groups.join(joined, "fingerprint", "left")
-                       .select("fingerprint", F.coalesce("smallest", "first").alias("component_id")), "simhash-classes")
-    return (prints.join(of_group, "fingerprint", "left")
+    return (prints.join(fingerprint_classes(prints, full_key), "fingerprint", "left")
             .select(F.col("row").alias("doc_id"),
                     F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def without_near_duplicates(docs: DataFrame, full_key: int = FULL_KEY) -> DataFrame:
+    """The rows of ``docs`` (all columns) with one row for each component: that of the smallest ``doc_id`` (NULL last;
+    of several rows with that id the one with the smallest row hash).
+
+    Rows are told apart by id and a hash of all columns. The texts are shuffled once, to meet the chosen rows.
+    """
+    spark = docs.sparkSession
+    row_hash = F.xxhash64(*(docs[f"`{c}`"] for c in docs.columns))
+    prints = written(spark, docs.select(F.col("doc_id").cast("long").alias("row"), row_hash.alias("hash"), "text")
+                     .mapInArrow(fingerprinted, "row long, hash long, fingerprint long"), "simhash-prints")
+    rows = prints.groupBy("fingerprint", "row", "hash").agg(F.count(F.lit(1)).alias("times"))
+    chosen = (rows.join(fingerprint_classes(prints, full_key), "fingerprint").groupBy("component")
+              .agg(F.min(F.struct(F.col("row").isNull().alias("last"), "row", "hash", "times")).alias("c"))
+              .select(F.col("c.row").alias("kept_row"), F.col("c.hash").alias("kept_hash"), "c.times"))
+    chosen = written(spark, chosen, "simhash-kept")
+
+    def rows_of(which: DataFrame) -> DataFrame:
+        return docs.join(which, docs["doc_id"].cast("long").eqNullSafe(which["kept_row"])
+                         & (row_hash == which["kept_hash"]), "left_semi")
+
+    repeated = chosen.where("times > 1")
+    if not repeated.take(1):
+        return rows_of(chosen)
+    return rows_of(chosen.where("times = 1")).unionByName(rows_of(repeated).dropDuplicates())
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
