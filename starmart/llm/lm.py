@@ -25,7 +25,7 @@ from starmart.llm.common import fold, table, written
 
 FOLDS = 10
 EM_FOLD = 9  # of the training folds 1 to 9, the one the mixture weights are learned on
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 2_000_000
 LEAST_SHARDS = 128
 SHARD_TOKENS = 2_000_000
 SMOOTHING = 0.1
