@@ -8,7 +8,24 @@ and means are rounded to 4 digits on both sides.
 
 from __future__ import annotations
 
-from starmart.functions import constants as K
+
+class K:
+    """Fixed values, stated a second time so that a wrong one in the package shows."""
+
+    SAS_EPOCH = "1960-01-01"
+    REFERENCE_YEAR = 2016
+    VISA_LABELS = {1: "Business", 2: "Pleasure", 3: "Student"}
+    MODE_LABELS = {1: "Air", 2: "Sea", 3: "Land", 9: "Not reported"}
+    UNKNOWN_LABEL = "N/A"
+    KEPT_GENDERS = ["F", "M"]
+    AIR_MODE = 1
+    # of the fixed non-US states, those that the test ports have
+    NON_US_STATES = ["CANADA", "MX"]
+    EXCLUDED_AIRPORT_TYPES = ["closed", "heliport", "seaplane_base", "balloonport"]
+    TEMPERATURE_COUNTRY = "United States"
+    TEMPERATURE_AFTER = "1950-01-01"
+    REGION_CODE_LENGTH = 5
+    AIRPORT_COUNTRY_TEXT = "US"
 
 
 def _q(text: str) -> str:
@@ -72,7 +89,7 @@ FROM orders"""
 PAIR_KEYS = "SELECT l_partkey, nullif(l_suppkey, 5) AS l_suppkey, l_returnflag, l_linestatus FROM lineitem"
 
 MARKER_DAYS = """SELECT l_orderkey, l_linenumber, l_partkey,
-  CASE WHEN l_linenumber = 2 THEN NULL WHEN l_linenumber = 3 THEN 0 ELSE l_partkey END AS days FROM lineitem"""
+  CASE WHEN l_linenumber = 2 THEN NULL WHEN l_linenumber IN (3, 4) THEN 0 ELSE l_partkey END AS days FROM lineitem"""
 
 SHIP_VS_ORDER = """SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_shipdate AS DATE) AS l_shipdate,
   CAST(o.o_orderdate AS DATE) AS o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
@@ -81,11 +98,13 @@ SHIP_VS_ORDER = """SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_shipdate AS DAT
 
 IMMIGRATION = f"""SELECT CAST(l.l_orderkey AS DOUBLE) AS cicid, CAST(c.c_nationkey AS DOUBLE) AS i94cit,
   CAST(s.s_nationkey AS DOUBLE) AS i94res, p.p_brand AS i94port,
-  CAST(date_diff('day', DATE '{K.SAS_EPOCH}', CAST(o.o_orderdate AS DATE)) AS DOUBLE) AS arrdate,
+  CASE WHEN l.l_suppkey % 11 = 5 THEN CAST('NaN' AS DOUBLE)
+       ELSE CAST(date_diff('day', DATE '{K.SAS_EPOCH}', CAST(o.o_orderdate AS DATE)) AS DOUBLE) END AS arrdate,
   CAST(l.l_linenumber AS DOUBLE) AS i94mode, c.c_mktsegment AS i94addr,
   CASE WHEN l.l_suppkey % 7 = 2 THEN NULL WHEN l.l_suppkey % 7 = 3 THEN 0.0
+       WHEN l.l_suppkey % 7 = 4 THEN CAST('NaN' AS DOUBLE)
        ELSE CAST(date_diff('day', DATE '{K.SAS_EPOCH}', CAST(l.l_shipdate AS DATE)) AS DOUBLE) END AS depdate,
-  CAST(66 - p.p_size AS DOUBLE) AS i94bir, CAST(l.l_linenumber AS DOUBLE) AS i94visa,
+  CAST(66 - p.p_size AS DOUBLE) AS i94bir, CAST(l.l_partkey % 5 AS DOUBLE) AS i94visa,
   CAST(1950 + p.p_size AS DOUBLE) AS biryear,
   CASE l.l_returnflag WHEN 'R' THEN 'F' WHEN 'A' THEN 'M' WHEN 'N' THEN 'U' END AS gender,
   l.l_linestatus AS visatype
@@ -104,7 +123,11 @@ FROM (SELECT DISTINCT p_brand FROM part)"""
 PORTS = f"""SELECT code, port, state_code FROM ({PORT_RAW})
 WHERE state_code IS NOT NULL AND state_code NOT IN ({_in_list(K.NON_US_STATES)})"""
 
-CLEAN_IMMIGRATION = f"""SELECT *, CAST(trunc(arrdate) AS INTEGER) AS arr_i, CAST(trunc(depdate) AS INTEGER) AS dep_i
+def as_int(x: str) -> str:
+    return f"CASE WHEN isnan({x}) THEN 0 ELSE CAST(trunc({x}) AS INTEGER) END"
+
+
+CLEAN_IMMIGRATION = f"""SELECT *, {as_int('arrdate')} AS arr_i, {as_int('depdate')} AS dep_i
 FROM ({IMMIGRATION}) WHERE i94mode = {K.AIR_MODE} AND gender IN ({_in_list(K.KEPT_GENDERS)})"""
 
 FACT = f"""WITH cl AS ({CLEAN_IMMIGRATION}), cc AS ({COUNTRY}), pc AS ({PORTS})
@@ -119,7 +142,8 @@ EXPLORE = f"""SELECT cicid, {epoch_date('arr_i')} AS arrival_date, {date_or_mark
   {decode_sql('i94visa', K.VISA_LABELS)} AS visa_type, {decode_sql('i94mode', K.MODE_LABELS)} AS arrival_modes
 FROM ({CLEAN_IMMIGRATION}) WHERE dep_i >= 1 AND {epoch_date('dep_i')} >= {epoch_date('arr_i')}"""
 
-TEMPERATURE_RAW = """SELECT strftime(ts, '%Y-%m-%d') AS dt, value AS AverageTemperature,
+TEMPERATURE_RAW = """SELECT strftime(CASE WHEN user_id % 5 = 0 THEN CAST(ts AS DATE) - 27042 ELSE CAST(ts AS DATE) END,
+    '%Y-%m-%d') AS dt, value AS AverageTemperature,
   CASE WHEN event_type = 'error' THEN NULL ELSE value / 10 END AS AverageTemperatureUncertainty,
   ' brand#' || CAST(user_id % 25 + 1 AS VARCHAR) || ' ' AS City,
   CASE WHEN user_id % 10 = 3 THEN 'Canada' ELSE 'United States' END AS Country FROM events"""
@@ -157,7 +181,7 @@ WHERE contains(upper(coalesce(iso_country, '')), {_q(K.AIRPORT_COUNTRY_TEXT)})
 
 DEMOGRAPHICS_RAW = """SELECT '  brand#' || CAST(s_nationkey + 1 AS VARCHAR) || ' ' AS City, n_name AS State,
   CAST(s_suppkey % 50 + 20 AS DOUBLE) AS "Median Age", s_acctbal AS "Male Population",
-  s_acctbal * 2 AS "Female Population", CAST(s_suppkey * 1000 + 65000 AS INTEGER) AS "Total Population",
+  s_acctbal * 2 AS "Female Population", CASE WHEN s_nationkey % 5 = 1 THEN 0 ELSE CAST(s_suppkey * 1000 + 65000 AS INTEGER) END AS "Total Population",
   CAST(s_suppkey % 100 AS VARCHAR) AS "Number of Veterans", CAST(s_suppkey * 37 % 1000 AS VARCHAR) AS "Foreign-born",
   s_suppkey % 30 / 10 + 1 AS "Average Household Size",
   ' ' || CAST(s_nationkey + 1 AS VARCHAR) || ' ' AS "State Code",
@@ -245,28 +269,54 @@ def _schema_rows_sql(table: str) -> str:
 
 # ---------------------------------------------------------------- the twins
 
+def awkward(key: str, name: str) -> str:
+    return (f"CASE {key} % 8 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' || {name} || ' ' "
+            f"WHEN 3 THEN 'He said \"' || {name} || '\", there' WHEN 4 THEN {name} || chr(10) || 'next; line' "
+            f"WHEN 5 THEN 'a,b;' || {name} WHEN 6 THEN '\"' ELSE {name} END")
+
+
+def sample_sql(table: str, cols: list[str]) -> str:
+    """Schema rows, row count and the smallest row of a table."""
+    order = ", ".join(f"{c} NULLS FIRST" for c in cols)
+    values = " UNION ALL ".join(f"SELECT {_q(c)} AS column_name, CAST({c} AS VARCHAR) AS sample_value FROM one" for c in cols)
+    return f"""SELECT {_q(table)} AS table_name, s.*, (SELECT count(*) FROM {table}) AS row_count, v.sample_value
+FROM ({_schema_rows_sql(table)}) s JOIN (WITH one AS (SELECT * FROM {table} ORDER BY {order} LIMIT 1) {values}) v
+ON s.column_name = v.column_name"""
+
+
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                 "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
 ORACLE: dict[str, str] = {}
 
 ORACLE.update({
     "scan_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders",
-    "scan_csv": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
-    "scan_csv_delimited": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
+    "scan_csv": f"""SELECT c_custkey, {awkward('c_custkey', 'c_name')} AS c_name, c_nationkey, c_acctbal, c_mktsegment
+FROM customer""",
+    "scan_csv_delimited": f"""SELECT s_suppkey, {awkward('s_suppkey', 's_name')} AS s_name, s_nationkey, s_acctbal
+FROM supplier""",
     "typed_frame": """SELECT c_custkey AS customer_key, c_name AS customer_name, c_nationkey AS nation_key,
   c_acctbal AS balance, c_mktsegment AS segment FROM customer""",
-    "write_code_csv": "SELECT c_custkey AS code, c_name AS country_name FROM customer",
+    "write_code_csv": f"SELECT c_custkey AS code, {awkward('c_custkey', 'c_name')} AS country_name FROM customer",
     "write_parquet": ORDERS_STORED,
     "append_parquet": ORDERS_STORED,
     "append_increments_stream": ORDERS_STORED,
-    "label_dictionary": f"""WITH q AS (SELECT page_id, CASE WHEN strpos(url, '?') > 0 THEN substr(url, strpos(url, '?') + 1) END AS qs FROM pages),
+    "label_dictionary": "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS value FROM customer",
+    "code_tables": f"""SELECT 'i94_country' AS table_name, CAST(n_nationkey AS VARCHAR) AS code, n_name AS value1,
+  CAST(NULL AS VARCHAR) AS value2 FROM nation WHERE n_nationkey % 2 = 0
+UNION ALL SELECT 'i94_port', p_brand, lower(p_brand), CASE {BRAND_NUMBER} WHEN '2' THEN 'CANADA' WHEN '3' THEN 'MX'
+  ELSE {BRAND_NUMBER} END FROM (SELECT DISTINCT p_brand FROM part) WHERE {BRAND_NUMBER} <> '1'
+UNION ALL SELECT 'i94_model', CAST(r_regionkey AS VARCHAR), r_name, NULL FROM region
+UNION ALL SELECT 'i94_state_addrl', 'S' || CAST(n_nationkey AS VARCHAR), n_name, NULL FROM nation
+UNION ALL SELECT 'i94_visa', CAST(r_regionkey AS VARCHAR), lower(r_name), NULL FROM region""",
+    "parse_pairs": f"""WITH q AS (SELECT page_id, CASE WHEN strpos(url, '?') > 0 THEN substr(url, strpos(url, '?') + 1) END AS qs FROM pages),
 items AS (SELECT page_id, unnest(string_split(qs, '&')) AS item FROM q WHERE qs IS NOT NULL),
 kv AS (SELECT page_id, string_split(item, '=') AS parts FROM items)
 SELECT page_id, {trim_code('parts[1]')} AS code, {trim_value('parts[2]')} AS value FROM kv WHERE len(parts) = 2""",
     "label_dictionary_pair": """SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS value1, c_mktsegment AS value2
 FROM customer WHERE c_mktsegment <> 'BUILDING'""",
-    "schema_report": _schema_rows_sql("orders"),
-    "table_stats": " UNION ALL ".join(
-        f"SELECT {_q(t)} AS table_name, s.*, (SELECT count(*) FROM {t}) AS row_count FROM ({_schema_rows_sql(t)}) s"
-        for t in ("orders", "lineitem")),
+    "table_stats": " UNION ALL ".join([sample_sql("orders", [c for c, _ in ORDERS_COLS]),
+                                       sample_sql("lineitem", LINEITEM_COLS)]),
     "register_view": "SELECT o_orderpriority, count(*) AS order_count FROM orders GROUP BY o_orderpriority",
     "preview": """SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
 ORDER BY o_orderkey LIMIT 10""",
@@ -281,11 +331,13 @@ ORACLE.update({
   CAST(year(o_orderdate) AS BIGINT) AS order_year FROM orders""",
     "qualified_star": """SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, CAST(o.o_orderdate AS DATE) AS o_orderdate,
   c.c_name AS customer_name, c.c_mktsegment AS segment FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
-    "cast_int": "SELECT o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS total_int FROM orders",
+    "cast_int": """SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN 0 ELSE CAST(trunc(o_totalprice) AS INTEGER) END
+  AS total_int FROM orders""",
     "age_at_year": f"SELECT o_orderkey, CAST({K.REFERENCE_YEAR} - year(o_orderdate) AS BIGINT) AS age FROM orders",
     "difference": f"""SELECT o_orderkey, CAST(({K.REFERENCE_YEAR} - year(o_orderdate)) - o_custkey % 10 AS BIGINT) AS difference
 FROM orders""",
-    "epoch_day_to_date": f"SELECT l_orderkey, l_linenumber, l_partkey, {epoch_date('l_partkey')} AS day FROM lineitem",
+    "epoch_day_to_date": f"""SELECT l_orderkey, l_linenumber, l_partkey,
+  {epoch_date('CASE WHEN l_linenumber = 4 THEN 0 ELSE l_partkey END')} AS day FROM lineitem""",
     "epoch_day_to_date_or_marker": f"""SELECT l_orderkey, l_linenumber, l_partkey, {date_or_marker('days')} AS day
 FROM ({MARKER_DAYS})""",
     "count_marker": f"""SELECT count(*) FILTER (WHERE day = {_q(K.UNKNOWN_LABEL)}) AS marker_count
@@ -432,18 +484,25 @@ def _check_all_sql() -> str:
         f"{_status('failed_columns = 0')} AS status FROM ({failed_columns_sql(f'SELECT * FROM {t}', STAR_SCHEMAS[t])})"
         for t in STAR_SQL)
     counts = " UNION ALL ".join(
-        f"SELECT 'row_count', {_q(t)}, count(*), {_status('count(*) >= 0')} FROM {t}" for t in STAR_SQL)
+        f"SELECT 'row_count', {_q(t)}, count(*), {_status('count(*) >= 1')} FROM {t}" for t in STAR_SQL)
+    columns = " UNION ALL ".join(
+        f"SELECT 'null_column', {_q(f'{t}.{c}')}, count(*) FILTER (WHERE {t}.{c} IS NULL), "
+        f"{_status(f'count(*) FILTER (WHERE {t}.{c} IS NULL) = 0')} FROM {t}" for t in STAR_SQL for c, _ in STAR_SCHEMAS[t])
     coverage = _coverage_sql("SELECT * FROM fact_immigration", ["city", "state"], {
         "dim_airports": ("SELECT * FROM dim_airports", ["municipality", "state"]),
         "dim_demographics": ("SELECT * FROM dim_demographics", ["city", "state_code"]),
     })
     return f"""WITH {star_with()}
-{nulls} UNION ALL {counts} UNION ALL
+{nulls} UNION ALL {columns} UNION ALL {counts} UNION ALL
 SELECT 'coverage', dimension, matched_keys, {_status('fact_keys = matched_keys')} FROM ({coverage})"""
 
 
 ORACLE.update({
     "run_etl": _run_etl_sql(),
+    "run_etl_from_files": _run_etl_sql(),
+    "update_star": f"""WITH {star_with()} SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY cicid
+  ORDER BY citizenship_country, residence_country, arrival_date, departure_date NULLS FIRST, age, gender, city, state,
+  visa_type, detailed_visa_type) AS rn FROM fact_immigration) WHERE rn = 1""",
     "check_all": _check_all_sql(),
     "arrivals_by_month": f"""WITH {star_with()}
 SELECT CAST(year(arrival_date) AS INTEGER) AS arrival_year, CAST(month(arrival_date) AS INTEGER) AS arrival_month,
@@ -453,7 +512,7 @@ SELECT CAST(year(arrival_date) AS INTEGER) AS arrival_year, CAST(month(arrival_d
 c AS (SELECT city, state_code, max(total_population) AS total_population,
         max(TRY_CAST(foreign_born AS DOUBLE)) AS foreign_born FROM dim_demographics GROUP BY 1, 2)
 SELECT v.city, v.state, v.visitors, c.total_population,
-  round(c.foreign_born * 100.0 / c.total_population, 4) AS foreign_born_percent
+  round(c.foreign_born * 100.0 / nullif(c.total_population, 0), 4) AS foreign_born_percent
 FROM v JOIN c ON v.city = c.city AND v.state = c.state_code""",
     "arrivals_by_temperature": f"""WITH {star_with()},
 v AS (SELECT city, CAST(month(arrival_date) AS INTEGER) AS month, count(*) AS visitors FROM fact_immigration GROUP BY 1, 2),

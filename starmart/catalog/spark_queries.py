@@ -24,6 +24,7 @@ from starmart.operators import projections as PJ
 from starmart.operators import quality as Q
 from starmart.operators import windows as W
 from starmart.plans import adapters as A
+from starmart.plans import codes as CO
 from starmart.plans import insights as I
 from starmart.plans import star as S
 from starmart.session import scratch_path
@@ -79,18 +80,26 @@ def q_scan_parquet(spark, sf):
     return df.withColumn("o_orderdate", F.to_date("o_orderdate"))
 
 
+def _awkward(key: str, name: str) -> F.Column:
+    """NULL, empty, padded, quoted, broken over lines, with separators, a lone quote, or as it is."""
+    k, n = F.col(key) % 8, F.col(name)
+    return (F.when(k == 0, F.lit(None).cast("string")).when(k == 1, F.lit("")).when(k == 2, F.concat(F.lit("  "), n, F.lit(" ")))
+            .when(k == 3, F.concat(F.lit('He said "'), n, F.lit('", there'))).when(k == 4, F.concat(n, F.lit("\nnext; line")))
+            .when(k == 5, F.concat(F.lit("a,b;"), n)).when(k == 6, F.lit('"')).otherwise(n))
+
+
 @query("scan_csv")
 def q_scan_csv(spark, sf):
     path = scratch_path(spark, "customer-csv")
-    SK.write_code_csv(t(spark, sf, "customer"), path)
-    return R.scan_csv(spark, path, SC.CUSTOMER)
+    SK.write_code_csv(t(spark, sf, "customer").withColumn("c_name", _awkward("c_custkey", "c_name")), path)
+    return R.scan_csv(spark, path, SC.CUSTOMER, multi_line=True)
 
 
 @query("scan_csv_delimited")
 def q_scan_csv_delimited(spark, sf):
     path = scratch_path(spark, "supplier-csv")
-    t(spark, sf, "supplier").write.option("header", True).option("sep", ";").csv(path)
-    return R.scan_csv_delimited(spark, path, SC.SUPPLIER)
+    SK.write_code_csv(t(spark, sf, "supplier").withColumn("s_name", _awkward("s_suppkey", "s_name")), path, sep=";")
+    return R.scan_csv_delimited(spark, path, SC.SUPPLIER, multi_line=True)
 
 
 @query("typed_frame")
@@ -104,9 +113,10 @@ def q_typed_frame(spark, sf):
 @query("write_code_csv")
 def q_write_code_csv(spark, sf):
     path = scratch_path(spark, "customer-codes")
-    codes = t(spark, sf, "customer").select(F.col("c_custkey").alias("code"), F.col("c_name").alias("country_name"))
+    codes = t(spark, sf, "customer").select(F.col("c_custkey").alias("code"),
+                                            _awkward("c_custkey", "c_name").alias("country_name"))
     SK.write_code_csv(codes, path)
-    return R.scan_csv(spark, path, SC.COUNTRY_CODES)
+    return R.scan_csv(spark, path, SC.COUNTRY_CODES, multi_line=True)
 
 
 def _orders_for_storage(spark, sf) -> DataFrame:
@@ -125,8 +135,11 @@ def q_append_parquet(spark, sf):
     path = scratch_path(spark, "orders-append")
     orders = _orders_for_storage(spark, sf)
     SK.write_parquet(orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("date")), path)
-    SK.append_parquet(spark, orders, path, keys=["o_orderkey"])
-    SK.append_parquet(spark, orders, path, keys=["o_orderkey"])  # a replay adds nothing
+    # the increment repeats every tenth key with another price, and every key as it is; the lower price comes first
+    repeated = orders.filter(F.col("o_orderkey") % 10 == 0).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    increment = orders.unionByName(orders).unionByName(repeated)
+    SK.append_parquet(spark, increment, path, keys=["o_orderkey"])
+    SK.append_parquet(spark, increment, path, keys=["o_orderkey"])  # a replay adds nothing
     return spark.read.parquet(path)
 
 
@@ -150,12 +163,39 @@ def q_append_increments_stream(spark, sf):
 
 @query("label_dictionary")
 def q_label_dictionary(spark, sf):
+    # customers as label files of 500 codes each, read back as whole texts
+    c = t(spark, sf, "customer")
+    line = F.concat(F.lit("   '"), F.col("c_custkey").cast("string"), F.lit("'\t=\t\""), F.col("c_name"), F.lit("   \""))
+    body = F.array_join(F.array_sort(F.collect_list(line)), "\n")
+    files = c.groupBy(F.floor(F.col("c_custkey") / 500).alias("file")).agg(F.concat(
+        F.lit("/* OTHER */ 1 = 'x' ;\n/* CUSTOMERS - codes */\n  value cust\n"), body,
+        F.lit("\n no pair here\n a = b = c\n;\n 9 = 'after the end' ;")).alias("value"))
+    path = scratch_path(spark, "labels")
+    files.write.partitionBy("file").text(path)  # one text, so one file, for each value
+    return L.label_dictionary(L.read_texts(spark, path), "CUSTOMERS").select("code", "value")
+
+
+@query("parse_pairs")
+def q_parse_pairs(spark, sf):
     pages = t(spark, sf, "pages")
     qs = F.when(F.instr("url", "?") > 0, F.substr(F.col("url"), F.instr("url", "?") + 1, F.length("url")))
     items = L.parse_pairs(pages.select("page_id", qs.alias("qs")), "qs", keep=["page_id"], item_sep="&")
     return items.select("page_id", "code", "value")
 
 
+@query("code_tables")
+def q_code_tables(spark, sf):
+    path = A.write_label_file(spark, sf, scratch_path(spark, "label-file"))
+    out = None
+    for name, df in CO.code_tables(L.read_texts(spark, path)).items():
+        code, *values = df.columns
+        rows = df.select(F.lit(name).alias("table_name"), F.col(code).cast("string").alias("code"),
+                         F.col(values[0]).alias("value1"),
+                         (F.col(values[1]) if len(values) > 1 else F.lit(None).cast("string")).alias("value2"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("label_dictionary_pair")
 def q_label_dictionary_pair(spark, sf):
     c = t(spark, sf, "customer")
@@ -174,14 +214,9 @@ def q_register_view(spark, sf):
     return spark.sql("SELECT o_orderpriority, COUNT(*) AS order_count FROM orders_view GROUP BY o_orderpriority")
 
 
-@query("schema_report")
-def q_schema_report(spark, sf):
-    return PR.schema_report(spark, t(spark, sf, "orders"))
-
-
 @query("table_stats")
 def q_table_stats(spark, sf):
-    return PR.table_stats(spark, {"orders": t(spark, sf, "orders"), "lineitem": t(spark, sf, "lineitem")})
+    return PR.table_stats(spark, {"orders": t(spark, sf, "orders"), "lineitem": t(spark, sf, "lineitem")}, sample=True)
 
 
 @query("preview")
@@ -221,7 +256,8 @@ def q_qualified_star(spark, sf):
 
 @query("cast_int")
 def q_cast_int(spark, sf):
-    return t(spark, sf, "orders").select("o_orderkey", C.cast_int("o_totalprice").alias("total_int"))
+    price = F.when(F.col("o_orderkey") % 10 == 3, F.lit(float("nan"))).otherwise(F.col("o_totalprice"))
+    return t(spark, sf, "orders").select("o_orderkey", C.cast_int(price).alias("total_int"))
 
 
 @query("age_at_year")
@@ -239,15 +275,17 @@ def q_difference(spark, sf):
 
 def _marker_days(spark, sf) -> DataFrame:
     l = t(spark, sf, "lineitem")
-    days = (F.when(F.col("l_linenumber") == 2, F.lit(None).cast("bigint"))
-            .when(F.col("l_linenumber") == 3, F.lit(0).cast("bigint")).otherwise(F.col("l_partkey")))
+    days = (F.when(F.col("l_linenumber") == 2, F.lit(None).cast("double"))
+            .when(F.col("l_linenumber") == 3, F.lit(0.0)).when(F.col("l_linenumber") == 4, F.lit(float("nan")))
+            .otherwise(F.col("l_partkey").cast("double")))
     return l.select("l_orderkey", "l_linenumber", "l_partkey", days.alias("days"))
 
 
 @query("epoch_day_to_date")
 def q_epoch_day_to_date(spark, sf):
     l = t(spark, sf, "lineitem")
-    return l.select("l_orderkey", "l_linenumber", "l_partkey", C.epoch_day_to_date("l_partkey").alias("day"))
+    days = F.when(F.col("l_linenumber") == 4, F.lit(float("nan"))).otherwise(F.col("l_partkey") + 0.75)
+    return l.select("l_orderkey", "l_linenumber", "l_partkey", C.epoch_day_to_date(days).alias("day"))
 
 
 @query("epoch_day_to_date_or_marker")
@@ -543,7 +581,7 @@ def q_window_avg_distinct(spark, sf):
 
 @query("duplicate_rows")
 def q_duplicate_rows(spark, sf):
-    return DU.duplicate_rows(lineitem_d(spark, sf), ["l_orderkey", "l_linenumber"])
+    return DU.duplicate_rows(lineitem_d(spark, sf), ["l_orderkey", "l_linenumber"], order=["l_partkey", "l_suppkey"])
 
 
 @query("check_unique_key")
@@ -645,6 +683,31 @@ def q_run_etl(spark, sf):
         "table_name", "position", "column_name", "data_type", "row_count")
 
 
+@query("run_etl_from_files")
+def q_run_etl_from_files(spark, sf):
+    base = scratch_path(spark, "raw")
+    paths = {name: f"{base}/{name}" for name in ("labels", "immigration", "temperature", "airports", "demographics")}
+    A.write_label_file(spark, sf, paths["labels"])
+    A.immigration(spark, sf).write.parquet(paths["immigration"])
+    SK.write_code_csv(A.temperature(spark, sf), paths["temperature"])
+    SK.write_code_csv(A.airports(spark, sf), paths["airports"])
+    SK.write_code_csv(A.demographics(spark, sf), paths["demographics"], sep=";")
+    return S.run_etl_from_files(spark, paths, f"{base}/star").select(
+        "table_name", "position", "column_name", "data_type", "row_count")
+
+
+@query("update_star")
+def q_update_star(spark, sf):
+    out, whole = scratch_path(spark, "star"), A.sources(spark, sf)
+    first = {**whole, "immigration": whole["immigration"].filter(F.col("cicid") % 2 == 0),
+             "temperature": whole["temperature"].filter(F.col("dt") < "2024-01-15"),
+             "airports": whole["airports"].filter(F.col("ident").cast("long") % 2 == 0)}
+    S.update_star(spark, first, out)
+    S.update_star(spark, whole, out)  # the second month, delivered with the first again
+    S.update_star(spark, whole, out)  # a replay
+    return S.read_star(spark, out)["fact_immigration"]
+
+
 @query("check_all")
 def q_check_all(spark, sf):
     tables = _written_star(spark, sf)
@@ -656,7 +719,10 @@ def q_check_all(spark, sf):
     coverage = res["coverage"].select(F.lit("coverage").alias("check_name"), F.col("dimension").alias("subject"),
                                       F.col("matched_keys").alias("value"),
                                       F.when(F.col("unmatched_keys") == 0, "passed").otherwise("failed").alias("status"))
-    return verdicts.unionByName(counts).unionByName(coverage)
+    columns = res["nulls"].select(F.lit("null_column").alias("check_name"),
+                                  F.concat_ws(".", "table_name", "column_name").alias("subject"),
+                                  F.col("null_count").alias("value"), "status")
+    return verdicts.unionByName(columns).unionByName(counts).unionByName(coverage)
 
 
 def _fact(spark, sf) -> DataFrame:

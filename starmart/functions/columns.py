@@ -36,23 +36,26 @@ def decode(c: ColumnLike, mapping: Mapping[object, str], default: str | None = "
 
 
 def cast_int(c: ColumnLike) -> Column:
-    """double → int; Spark truncates toward zero (the original ETL relies on this)."""
-    return col_of(c).cast("int")
+    """Number → int as a cast outside ANSI mode does it, which the original ETL relies on: fractions are cut off,
+    NaN becomes 0, and values beyond the range become the nearest int. NULL stays NULL."""
+    d = col_of(c).cast("double")
+    inside = F.greatest(F.lit(-2147483648.0), F.least(F.lit(2147483647.0), d))
+    return F.when(F.isnan(d), F.lit(0)).when(d.isNotNull(), inside.cast("int"))
 
 
 def epoch_day_to_date(days: ColumnLike, epoch: str = SAS_EPOCH) -> Column:
-    """Days since ``epoch`` (SAS numeric date) → DATE. Fractions are truncated."""
-    return F.date_add(F.lit(epoch).cast("date"), col_of(days).cast("int"))
+    """Days since ``epoch`` (SAS numeric date) → DATE. Fractions are truncated; NaN is day 0 (see ``cast_int``)."""
+    return F.date_add(F.lit(epoch).cast("date"), cast_int(days))
 
 
 def epoch_day_to_date_or_marker(days: ColumnLike, marker: str | None = "N/A",
                                 epoch: str = SAS_EPOCH) -> Column:
-    """Day ≥ 1 → date, NULL → NULL, anything else → ``marker``.
+    """Day ≥ 1 → date, NULL → NULL, anything else (day 0 or less, NaN) → ``marker``.
 
     With a marker the result is STRING (``yyyy-MM-dd`` or the marker), as the
     original CASE yields outside ANSI mode. ``marker=None`` gives a DATE.
     """
-    d = col_of(days)
+    d = cast_int(days)
     as_date = epoch_day_to_date(d, epoch)
     if marker is None:
         return F.when(d >= 1, as_date).otherwise(F.lit(None).cast("date"))
@@ -99,9 +102,13 @@ def split_coordinates(c: ColumnLike, sep: str = ", ") -> tuple[Column, Column]:
     return F.get(parts, 0).try_cast("double"), F.get(parts, 1).try_cast("double")
 
 
-def parse_date(c: ColumnLike, fmt: str | None = None, as_timestamp: bool = False) -> Column:
-    """Text → DATE (default) or TIMESTAMP; unparsable text gives NULL."""
+def parse_date(c: ColumnLike, fmt: str | None = None, as_timestamp: bool = False, strict: bool = False) -> Column:
+    """Text → DATE (default) or TIMESTAMP; unparsable text gives NULL, with ``strict`` it fails the job."""
     c = col_of(c)
+    if strict:
+        found = parse_date(c, fmt, as_timestamp)
+        problem = F.raise_error(F.concat(F.lit("not a date: "), c)).cast("timestamp" if as_timestamp else "date")
+        return F.when(c.isNotNull() & found.isNull(), problem).otherwise(found)
     if as_timestamp:
         return F.try_to_timestamp(c, F.lit(fmt)) if fmt else c.try_cast("timestamp")
     if fmt:

@@ -25,13 +25,13 @@ def not_in(c: ColumnLike, values: Iterable[object]) -> Column:
 
 
 def not_in_keep_null(c: ColumnLike, values: Iterable[object], strip: bool = True) -> Column:
-    """pandas ``~c.str.strip().isin(values)``: a missing value stays."""
+    """Not one of ``values`` (white space at the edges ignored); a missing value stays."""
     c = strip_whitespace(c) if strip else col_of(c)
     return ~F.coalesce(c.isin(list(values)), F.lit(False))
 
 
 def contains_upper(c: ColumnLike, text: str) -> Column:
-    """pandas ``c.fillna('').str.upper().str.contains(text)``: missing is no match."""
+    """The upper-cased value holds ``text``; a missing value does not."""
     return F.upper(F.coalesce(col_of(c), F.lit(""))).contains(text)
 
 

@@ -18,7 +18,7 @@ from starmart.operators.aggregates import (
     row_count,
     select_distinct,
 )
-from starmart.operators.duplicates import duplicate_key_counts, duplicate_rows, replicate_rows
+from starmart.operators.duplicates import duplicate_key_counts, duplicate_rows, first_rows
 from starmart.operators.filters import (
     count_marker,
     filter_and,
@@ -42,6 +42,7 @@ from starmart.operators.joins import (
     fits_broadcast_all,
     in_subquery,
     lookup_join,
+    salted_join,
 )
 from starmart.operators.profile import null_percent, null_profile, schema_report, table_stats
 from starmart.operators.projections import (

@@ -1,117 +1,74 @@
 """Duplicate keys, without putting a hot key's rows into one task.
 
 ``duplicate_rows`` returns every row of a key set except the first by a given
-order (pandas ``df[df[keys].duplicated()]``). The direct plan is
-``row_number() over (partition by keys order by ...) > 1``: fast, but a window
-holds each key's rows in one task, and one key may hold a third of the table.
-So the keys are split by size first:
-
-* a grouped count (partially aggregated, so cheap and skew-free) finds the keys
-  with more than ``hot_key_rows`` rows (skipped when the whole input has no more
-  rows than that, which a count that stops early shows). There are at most ``rows / hot_key_rows``
-  of them, and their set is broadcast only after its size is checked;
-* the other keys take the window, whose groups are now bounded;
-* the hot keys take a path made only of aggregations and a union:
-
-  1. copies collapse: ``groupBy(all columns).count()`` (partial aggregation in
-     every map task, so a group of identical rows shuffles one row per task);
-  2. the first row of each key: ``groupBy(keys).min(struct(order))`` over the
-     collapsed rows, again partially aggregated;
-  3. each first row is added once more with count -1 and the counts are summed
-     per distinct row (no join, no hot key, NULLs group like any value);
-  4. every distinct row is emitted as often as its summed count says. A row
-     repeated more than ``chunk`` times is cut into pieces of at most ``chunk``
-     copies that are spread over tasks before they are expanded.
-
-If the hot keys are too many to broadcast, every key takes the second path.
+order (pandas ``df[df[keys].duplicated()]``). One window per key would hold a
+key's rows in one task, and one key may hold a third of the table. So the
+first row is found in two levels:
+
+* rows are numbered per key and input partition. All but the first of such a
+  group are duplicates, whatever other groups hold; a group is never larger
+  than an input partition;
+* the remaining rows (one per key and input partition) are numbered per key.
+
+No row is counted, copied or changed on the way, and the plan does not depend
+on the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import at_most
-
-# A key with more rows than this is "hot" and never held by one task.
-DEFAULT_HOT_KEY_ROWS = 1_000_000
-# At most this many hot keys are broadcast to split the input (a hot key has
-# more than ``hot_key_rows`` rows, so the set is small by construction).
-DEFAULT_MAX_HOT_KEYS = 100_000
-DEFAULT_CHUNK = 100_000
-
-
-def replicate_rows(df: DataFrame, count_col: str, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Emit each row ``count_col`` times (column dropped). Large counts are split
-    into pieces of ≤ ``chunk`` copies that are shuffled apart before expansion."""
-    cols = [c for c in df.columns if c != count_col]
-    n = F.col(count_col)
-    small = (df.filter((n > 0) & (n <= chunk))
-             .select(*cols, F.explode(F.array_repeat(F.lit(0), n.cast("int"))).alias("__copy"))
-             .drop("__copy"))
-    pieces = (df.filter(n > chunk)
-              .select(*cols, n, F.explode(F.sequence(F.lit(0).cast("long"), ((n - 1) / chunk).cast("long")))
-                      .alias("__piece"))
-              .withColumn("__len", F.least(F.lit(chunk).cast("long"), n - F.col("__piece") * chunk))
-              .repartition(F.xxhash64(*cols, F.col("__piece"))))
-    large = (pieces.select(*cols, F.explode(F.array_repeat(F.lit(0), F.col("__len").cast("int"))).alias("__copy"))
-             .drop("__copy"))
-    return small.unionByName(large)
-
-
-def _duplicates_by_window(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") > 1).drop("__rn")
-
-
-def _duplicates_by_aggregation(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                               chunk: int) -> DataFrame:
-    cols = df.columns
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    firsts = (counted.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first"))
-              .select(*keys, *[F.col(f"__first.{c}").alias(c) for c in order], F.lit(-1).cast("long").alias("__n")))
-    marked = counted.unionByName(firsts).groupBy(*cols).agg(F.sum("__n").alias("__m"))
-    return replicate_rows(marked, "__m", chunk=chunk).select(*cols)
-
-
-def _key_match(df: DataFrame, hot: DataFrame, keys: Sequence[str]):
-    cond = None
-    for k in keys:
-        eq = df[k].eqNullSafe(hot[f"__hot_{k}"])  # a NULL key can be hot too
-        cond = eq if cond is None else cond & eq
-    return cond
-
-
-def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
-                   hot_key_rows: int = DEFAULT_HOT_KEY_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                   chunk: int = DEFAULT_CHUNK) -> DataFrame:
+from starmart.operators.profile import sql_ident
+
+
+def _ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[Column]:
+    """``order``, then all other non-key columns as tie breakers; ascending, NULLs first."""
+    if not order:
+        raise ValueError("name the order that decides which row of a key is the first")
+    names = [*order, *(c for c in df.columns if c not in keys and c not in order)]
+    return [F.col(sql_ident(c)).asc_nulls_first() for c in names]
+
+
+def _first_of_partition(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataFrame:
+    own = [F.col(sql_ident(k)) for k in keys]
+    part = df.withColumn("__part", F.spark_partition_id())
+    return part.withColumn("__rn", F.row_number().over(Window.partitionBy(*own, "__part").orderBy(*by)))
+
+
+def _rank_of_firsts(numbered: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataFrame:
+    own = [F.col(sql_ident(k)) for k in keys]
+    return (numbered.filter(F.col("__rn") == 1)
+            .withColumn("__rn", F.row_number().over(Window.partitionBy(*own).orderBy(*by))))
+
+
+def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All rows whose key occurred before, by ``order`` (ascending, NULLs first).
 
-    ``order`` defaults to all non-key columns; columns missing from it are
-    appended as tie breakers, since Spark has no file order.
+    The order is required, since Spark has no file order; columns missing from
+    it are appended as tie breakers. NULL keys are equal to each other.
+    """
+    by = _ordered(df, keys, order)
+    numbered = _first_of_partition(df, keys, by)
+    later = numbered.filter(F.col("__rn") > 1)
+    firsts = _rank_of_firsts(numbered, keys, by).filter(F.col("__rn") > 1)
+    return later.unionByName(firsts).drop("__part", "__rn")
+
+
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """The first row of every key by ``order`` (default: all non-key columns), ascending, NULLs first.
+
+    This is the one rule for repeated keys of an increment (``append_parquet``
+    and the stream): the same rows give the same first row on every run.
     """
-    cols = df.columns
-    order = list(order or [])
-    order += [c for c in cols if c not in keys and c not in order]
-    if hot_key_rows <= 0:
-        return _duplicates_by_aggregation(df, keys, order, chunk)
-    if at_most(df, hot_key_rows):
-        # the whole input is within the bound, so no key can be hot
-        return _duplicates_by_window(df, keys, order)
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-           .filter(F.col("__rows") > hot_key_rows)
-           .select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
-    if at_most(hot, 0):
-        return _duplicates_by_window(df, keys, order)
-    if not at_most(hot, max_hot_keys):
-        return _duplicates_by_aggregation(df, keys, order, chunk)
-    hot = F.broadcast(hot)
-    normal = df.join(hot, _key_match(df, hot, keys), "left_anti")
-    heavy = df.join(hot, _key_match(df, hot, keys), "left_semi")
-    return _duplicates_by_window(normal, keys, order).unionByName(
-        _duplicates_by_aggregation(heavy, keys, order, chunk))
+    rest = [c for c in df.columns if c not in keys]
+    if not order and not rest:
+        return df.dropDuplicates(list(keys))
+    by = _ordered(df, keys, order or rest)
+    numbered = _first_of_partition(df, keys, by)
+    return _rank_of_firsts(numbered, keys, by).filter(F.col("__rn") == 1).drop("__part", "__rn")
 
 
 def duplicate_key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,124 +1,102 @@
 """Joins of the star: code lookups, key-set joins and ``IN (subquery)``.
 
-Broadcasting is decided by a checked size: ``bounded_broadcast`` counts at
-most ``max_rows + 1`` rows of the small side (a cheap job that stops early)
-and only then marks it for broadcast. A larger side is joined by shuffle,
-where adaptive execution splits skewed partitions at run time.
+A code table is broadcast only after its rows and bytes were counted (one
+aggregate over the code table alone; the other side is never probed). A larger
+code table is joined by one salted shuffle join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Code tables of the star have hundreds of rows; a side up to this size is
 # broadcast. Beyond it the join shuffles.
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
-
-
-# ``limit`` takes a 32-bit count.
-_MAX_LIMIT = 2**31 - 1
-
-
-def at_most(df: DataFrame, n: int) -> bool:
-    """Does ``df`` have at most ``n`` rows? Reads at most ``n + 1`` rows (a
-    count that stops early); beyond the largest limit Spark takes, the answer
-    is "no" unless the table is smaller than that limit."""
-    if n < 0:
-        return False
-    probe = min(n + 1, _MAX_LIMIT)
-    return df.limit(probe).count() < probe
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    """Does ``df`` have at most ``max_rows`` rows? Reads at most ``max_rows + 1``."""
-    return max_rows > 0 and at_most(df, max_rows)
-
-
-def fits_broadcast_all(dfs: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> list[bool]:
-    """``fits_broadcast`` for several tables in one Spark job (a union of the
-    limited row counts, at most ``len(dfs)`` rows come back)."""
+DEFAULT_BROADCAST_MAX_BYTES = 32 << 20
+DEFAULT_SALT_BUCKETS = 32
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: the length of texts and binaries (of others their text), 16 for a fixed-width value."""
+    sizes = [F.lit(16)]
+    for f in df.schema.fields:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)) + 16)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 16)
+        else:
+            sizes.append(F.lit(16))
+    return reduce(lambda x, y: x + y, sizes).cast("long")
+
+
+def fits_broadcast_all(dfs: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> list[bool]:
+    """For each table: at most ``max_rows`` rows and ``max_bytes`` bytes? One job
+    of partial aggregates; one row per table reaches the driver."""
     if max_rows <= 0 or not dfs:
         return [False] * len(dfs)
-    probe = min(max_rows + 1, _MAX_LIMIT)
-    parts = [df.limit(probe).select(F.lit(i).alias("__table")) for i, df in enumerate(dfs)]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    counts = {r["__table"]: r["n"] for r in union.groupBy("__table").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) < probe for i in range(len(dfs))]
+    parts = [df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
+             .select(F.lit(i).alias("i"), "rows", "bytes") for i, df in enumerate(dfs)]
+    found = {r["i"]: r for r in reduce(DataFrame.unionByName, parts).collect()}
+    return [found[i]["rows"] <= max_rows and (found[i]["bytes"] or 0) <= max_bytes for i in range(len(dfs))]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    """Does ``df`` have at most ``max_rows`` rows and ``max_bytes`` bytes? (see ``fits_broadcast_all``)"""
+    return fits_broadcast_all([df], max_rows, max_bytes)[0]
 
 
-# A code with more fact rows than this is "hot" on the shuffle path of a lookup.
-DEFAULT_HOT_CODE_ROWS = 1_000_000
-# At most this many hot codes are isolated (a hot code has more than
-# ``hot_code_rows`` rows, so the set is small by construction).
-DEFAULT_MAX_HOT_CODES = 10_000
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` is within both bounds, else ``df``."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def _isolate_hot_codes(df: DataFrame, right: DataFrame, key: str, tmp: str, how: str,
-                       hot_code_rows: int, max_hot_codes: int) -> DataFrame | None:
-    """Shuffle join in which hot codes never reach the shuffle, or None if none is hot.
+def salted_join(df: DataFrame, right: DataFrame, on: Mapping[str, str], how: str = "inner",
+                salt_buckets: int = DEFAULT_SALT_BUCKETS, null_safe: bool = False) -> DataFrame:
+    """Shuffle join in which a key's rows of ``df`` spread over ``salt_buckets`` partitions.
 
-    The hot codes (a grouped count on the fact side) and their few code rows
-    are broadcast: rows with a hot code join that broadcast in place, all
-    other rows take the shuffle join. NULL keys of a left join bypass the join.
+    ``on`` maps columns of ``df`` to columns of ``right``. The salt of a row is
+    its input partition modulo ``salt_buckets``: it spreads rows that are equal
+    in every column, and a task that runs again draws the same salts. Each row
+    of ``right`` is repeated once per salt, so every row of ``df`` meets it
+    once. That holds for inner and left joins; other joins would return the
+    repeated rows of ``right`` and are refused. With ``null_safe`` NULL keys
+    are equal.
     """
-    if at_most(df, hot_code_rows):
-        return None
-    hot = (df.groupBy(F.col(key).alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
-           .filter(F.col("__hot").isNotNull() & (F.col("__n") > hot_code_rows)).select("__hot"))
-    if at_most(hot, 0) or not at_most(hot, max_hot_codes):
-        return None
-    hot = F.broadcast(hot)
-    hot_rows = df.join(hot, df[key] == hot["__hot"], "left_semi")
-    cold_rows = df.filter(F.col(key).isNotNull()).join(hot, df[key] == hot["__hot"], "left_anti")
-    hot_codes = right.join(hot, right[tmp] == hot["__hot"], "left_semi")
-    if not fits_broadcast(hot_codes):
-        return None
-    hot_codes = F.broadcast(hot_codes)
-    out = (cold_rows.join(right, cold_rows[key] == right[tmp], how)
-           .unionByName(hot_rows.join(hot_codes, hot_rows[key] == hot_codes[tmp], how)))
-    if how == "left":
-        nulls = df.filter(F.col(key).isNull()).select(
-            "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
-        out = out.unionByName(nulls)
-    return out.drop(tmp)
+    if how not in ("inner", "left"):
+        raise ValueError(f"salted joins are inner or left, not {how!r}")
+    left = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salt_buckets)))
+    right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    cond = left["__salt"] == right["__salt_r"]
+    for a, b in on.items():
+        cond = cond & (left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b])
+    return left.join(right, cond, how).drop("__salt", "__salt_r")
 
 
 def lookup_join(df: DataFrame, codes: DataFrame, key: str, add: Mapping[str, str],
                 code_col: str = "code", how: str = "inner",
                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, broadcast: bool | None = None,
-                salt_buckets: int | None = None, hot_code_rows: int = DEFAULT_HOT_CODE_ROWS,
-                max_hot_codes: int = DEFAULT_MAX_HOT_CODES) -> DataFrame:
+                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Join a code table on ``df[key] = codes[code_col]`` and add its columns.
 
     ``add`` maps code-table columns to new names. With ``how='inner'`` rows whose
-    code is unknown are dropped, as in the original star build. The same code
-    table can be joined again for a second role (another ``key``).
-    ``broadcast`` gives a size decision made earlier (``fits_broadcast``);
-    when it is None the code table is checked here.
-
-    A code table too large to broadcast is joined by shuffle. Codes with
-    more than ``hot_code_rows`` fact rows are found first (a grouped count)
-    and joined in place against a broadcast of their few code rows, so a hot
-    code never reaches the shuffle (``hot_code_rows=0`` turns this off).
-    Adaptive execution also splits a skewed partition when the joined rows
-    end a stage, but not when an aggregation follows in the same stage.
-    ``salt_buckets`` instead spreads every code over that many partitions:
-    each row draws a salt in ``[0, salt_buckets)`` and each code row is
-    repeated once per salt (a generator, not a cross join). The result does
-    not depend on the draws, since every row meets exactly one copy of its
-    code; ``rand`` marks the stage nondeterministic, so Spark re-runs it as a
-    whole on a retry.
+    code is unknown are dropped, as in the original star build; ``left`` keeps
+    them; other joins are refused. The same code table can be joined again for
+    a second role (another ``key``). ``broadcast`` gives a size decision made
+    earlier (``fits_broadcast``); when it is None the code table is checked
+    here. A code table too large to broadcast takes ``salted_join``: no code is
+    hot for a single task, and ``df`` is read once whatever its size.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"lookups are inner or left joins, not {how!r}")
     tmp = f"__code_{key}"
     right = codes.select(F.col(code_col).alias(tmp), *[F.col(src).alias(dst) for src, dst in add.items()])
     if broadcast is None:
@@ -126,17 +104,7 @@ def lookup_join(df: DataFrame, codes: DataFrame, key: str, add: Mapping[str, str
     if broadcast:
         right = F.broadcast(right)
         return df.join(right, df[key] == right[tmp], how).drop(tmp)
-    if hot_code_rows > 0 and not salt_buckets and how in ("inner", "left"):
-        isolated = _isolate_hot_codes(df, right, key, tmp, how, hot_code_rows, max_hot_codes)
-        if isolated is not None:
-            return isolated
-    if salt_buckets and salt_buckets > 1:
-        salt, rsalt = f"__salt_{key}", f"__rsalt_{key}"
-        left = df.withColumn(salt, (F.rand(seed=17) * salt_buckets).cast("int"))
-        right = right.withColumn(rsalt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        cond = (left[key] == right[tmp]) & (left[salt] == right[rsalt])
-        return left.join(right, cond, how).drop(tmp, salt, rsalt)
-    return df.join(right, df[key] == right[tmp], how).drop(tmp)
+    return salted_join(df, right, {key: tmp}, how, salt_buckets).drop(tmp)
 
 
 def _key_frame(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:

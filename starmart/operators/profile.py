@@ -66,12 +66,24 @@ def schema_report(spark: SparkSession, df: DataFrame, table_name: str | None = N
     return out if table_name is not None else out.drop("table_name")
 
 
-def table_stats(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """For each table: its schema rows and its row count (a scalar subquery)."""
+def table_stats(spark: SparkSession, tables: Mapping[str, DataFrame], sample: bool = False) -> DataFrame:
+    """For each table: its schema rows and its row count (a scalar subquery).
+
+    ``sample`` adds the values of a sample row as text (``sample_value``): the
+    smallest row, comparing column by column with NULLs first. Count and sample
+    come from one partially aggregated pass over the table.
+    """
     parts = []
     for name, df in tables.items():
-        count = df.agg(F.count(F.lit(1))).scalar()
-        parts.append(schema_report(spark, df, name).withColumn("row_count", count))
+        report = schema_report(spark, df, name)
+        if not sample:
+            parts.append(report.withColumn("row_count", df.agg(F.count(F.lit(1))).scalar()))
+            continue
+        cols = [F.col(sql_ident(c)) for c in df.columns]
+        one = df.agg(F.count(F.lit(1)).alias("row_count"), F.min(F.struct(*cols)).alias("row"))
+        values = F.array(*[F.col("row").getField(c).cast("string") for c in df.columns])
+        one = one.select("row_count", F.posexplode(values).alias("__pos", "sample_value"))
+        parts.append(report.join(one, report["position"] == one["__pos"] + 1).drop("__pos"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import ColumnLike, col_of
+from starmart.operators.profile import sql_ident
 
 
 def add_column(df: DataFrame, name: str, expr: Column) -> DataFrame:
@@ -23,7 +24,7 @@ def add_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
 def insert_columns(df: DataFrame, position: int, exprs: Mapping[str, Column]) -> DataFrame:
     """All columns with ``exprs`` inserted at a 0-based ``position`` (pandas ``insert``),
     e.g. longitude and latitude split from the coordinates at positions 12 and 13."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
+    cols = [F.col(sql_ident(c)) for c in df.columns]
     new = [e.alias(n) for n, e in exprs.items()]
     return df.select(*cols[:position], *new, *cols[position:])
 
@@ -43,7 +44,7 @@ def qualified_star(left: DataFrame, right: DataFrame, on: Column, take: Mapping[
     """All columns of ``left`` plus ``take`` (``{right_col: new_name}``) of ``right``."""
     l, r = left.alias("l"), right.alias("r")
     return l.join(r, on(l, r) if callable(on) else on, how).select(
-        "l.*", *[F.col(f"r.{src}").alias(dst) for src, dst in take.items()])
+        "l.*", *[F.col(f"r.{sql_ident(src)}").alias(dst) for src, dst in take.items()])
 
 
 def order_by(df: DataFrame, *keys: ColumnLike, spread_ties: bool = True) -> DataFrame:
@@ -57,7 +58,7 @@ def order_by(df: DataFrame, *keys: ColumnLike, spread_ties: bool = True) -> Data
     """
     order = [col_of(k).asc() for k in keys]
     if spread_ties:
-        order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc())
+        order.append(F.xxhash64(*[F.col(sql_ident(c)) for c in df.columns]).asc())
     return df.orderBy(*order)
 
 

@@ -109,11 +109,13 @@ def check_date_order(df: DataFrame, departure: str, arrival: str) -> DataFrame:
 
 
 def check_all(tables: Mapping[str, DataFrame], fact_name: str, fact_keys: Sequence[str],
-              dimensions: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
+              dimensions: Mapping[str, Sequence[str]], min_rows: int = 1) -> dict[str, DataFrame]:
     """NULL and row-count checks on every table, then fact-to-dimension coverage.
 
     ``dimensions`` names the dimension tables and their key columns matching
-    ``fact_keys``. Returns ``{"nulls", "verdicts", "row_counts", "coverage"}``.
+    ``fact_keys``. A table with fewer than ``min_rows`` rows fails. Returns
+    ``{"nulls", "verdicts", "row_counts", "coverage"}``; ``nulls`` has a row per
+    column.
     """
     nulls = None
     counts = None
@@ -123,7 +125,7 @@ def check_all(tables: Mapping[str, DataFrame], fact_name: str, fact_keys: Sequen
         n = check_nulls(df, name, profile=profile)
         c = (profile.agg(F.max("row_count").alias("row_count"))
              .select(F.lit(name).alias("table_name"), F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count"),
-                     F.lit(PASSED).alias("status")))
+                     _status(F.coalesce("row_count", F.lit(0)) >= min_rows).alias("status")))
         nulls = n if nulls is None else nulls.unionByName(n)
         counts = c if counts is None else counts.unionByName(c)
     coverage = check_key_coverage(tables[fact_name], fact_keys,

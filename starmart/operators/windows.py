@@ -13,10 +13,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql.functions import broadcast
 
 from starmart.functions.columns import ColumnLike, col_of
 from starmart.operators.aggregates import group_avg
-from starmart.operators.joins import bounded_broadcast
+from starmart.operators.joins import fits_broadcast, salted_join
 
 
 def window_avg_distinct(df: DataFrame, keys: Sequence[ColumnLike], measures: dict[str, ColumnLike],
@@ -30,15 +31,16 @@ def with_group_avg(df: DataFrame, keys: Sequence[str], measures: dict[str, Colum
     """Every row with its group's means (the window without DISTINCT).
 
     The means are aggregated first (one row per key) and joined back on the
-    keys: broadcast when the number of keys is checked to be small, else a
-    shuffle join in which adaptive execution splits a hot key's partition on
-    the row side.
+    keys: broadcast when rows and bytes of the means are within the bounds,
+    else by a salted join, so a hot key's rows never meet in one task.
     """
-    means = group_avg(df, [col_of(k).alias(f"__k{i}") for i, k in enumerate(keys)], measures, digits=digits,
-                      decimals=decimals)
-    means = bounded_broadcast(means)
+    names = {k: f"__k{i}" for i, k in enumerate(keys)}
+    means = group_avg(df, [col_of(k).alias(n) for k, n in names.items()], measures, digits=digits, decimals=decimals)
+    if not fits_broadcast(means):
+        return salted_join(df, means, names, "left", null_safe=True).drop(*names.values())
+    means = broadcast(means)
     cond = None
-    for i, k in enumerate(keys):
-        eq = df[k].eqNullSafe(means[f"__k{i}"])  # NULL keys form a group, as in a window
+    for k, n in names.items():
+        eq = df[k].eqNullSafe(means[n])  # NULL keys form a group, as in a window
         cond = eq if cond is None else cond & eq
-    return df.join(means, cond, "left").drop(*[f"__k{i}" for i in range(len(keys))])
+    return df.join(means, cond, "left").drop(*names.values())

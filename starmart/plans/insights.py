@@ -28,7 +28,7 @@ def arrivals_by_port(fact: DataFrame) -> DataFrame:
 
 
 def arrivals_by_demographics(fact: DataFrame, demographics: DataFrame) -> DataFrame:
-    """Visitors per city with its population and foreign-born share.
+    """Visitors per city with its population and foreign-born share (NULL for a population of 0).
 
     The dimension has one row per (city, state, race); the city figures repeat
     on each, so they are reduced to one row per city and state first.
@@ -39,7 +39,7 @@ def arrivals_by_demographics(fact: DataFrame, demographics: DataFrame) -> DataFr
     v = _visitors(fact, "city", "state")
     return (v.join(cities, (v.city == cities.city) & (v.state == cities.state_code), "inner")
             .select(v.city, v.state, "visitors", "total_population",
-                    F.round(F.col("foreign_born") * 100.0 / F.col("total_population"), 4)
+                    F.round(F.try_divide(F.col("foreign_born") * 100.0, F.col("total_population")), 4)
                     .alias("foreign_born_percent")))
 
 

@@ -7,6 +7,7 @@ until the caller writes or counts. ``run_etl`` writes all four tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -17,9 +18,15 @@ from starmart.functions import columns as C
 from starmart.functions import constants as K
 from starmart.functions import predicates as P
 from starmart.operators.aggregates import group_avg
-from starmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast_all, lookup_join
+from starmart.operators.joins import (DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_SALT_BUCKETS, fits_broadcast_all,
+                                      lookup_join)
 from starmart.operators.profile import table_stats
-from starmart.sources.sinks import write_parquet
+from starmart.plans.codes import code_tables
+from starmart.session import file_system
+from starmart.sources import readers as R
+from starmart.sources import schemas as SC
+from starmart.sources.labels import read_texts
+from starmart.sources.sinks import append_parquet, publish, table_exists, write_parquet
 
 FACT_COLUMNS = ["cicid", "citizenship_country", "residence_country", "arrival_date", "departure_date",
                 "age", "gender", "city", "state", "visa_type", "detailed_visa_type"]
@@ -59,14 +66,14 @@ def build_fact(immigration: DataFrame, country_codes: DataFrame, port_codes: Dat
                reference_year: int = K.REFERENCE_YEAR, marker: str | None = K.UNKNOWN_LABEL,
                require_valid_stay: bool = False,
                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-               salt_buckets: int | None = None) -> DataFrame:
+               salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Arrivals by air of travellers with a known gender, decoded and looked up.
 
     The three lookups are inner joins, so unknown citizenship, residence or port
     codes drop the row. Code tables are broadcast after a size check; the
     fact side is never shuffled for them. A code table over the bound is
-    joined by shuffle, salted over ``salt_buckets`` if given (for a fact that
-    is aggregated right away; see ``lookup_join``).
+    joined by a salted shuffle (see ``lookup_join``); the fact is read once in
+    any case.
     """
     im = clean_immigration(immigration, marker, require_valid_stay)
     # One size check per code table; the country table serves two roles.
@@ -92,13 +99,17 @@ def explore_fact(immigration: DataFrame, marker: str | None = K.UNKNOWN_LABEL) -
 
 def build_dim_temperature(temperature: DataFrame, country: str = K.TEMPERATURE_COUNTRY,
                           after: str = K.TEMPERATURE_AFTER, as_timestamp: bool = False,
-                          digits: int | None = None, decimals: int | None = None) -> DataFrame:
+                          digits: int | None = None, decimals: int | None = None,
+                          strict_dates: bool = True) -> DataFrame:
     """Monthly city temperatures of one country after a day, averaged per (date, city).
 
+    A text that is no date fails the job, as in the original; with
+    ``strict_dates=False`` its row is dropped by the date filter.
+
     City names are stripped and upper-cased first, so spellings that differ
     only in case or blanks fall into one row.
     """
-    t = temperature.filter(F.col("Country") == country).withColumn("date", C.parse_date("dt"))
+    t = temperature.filter(F.col("Country") == country).withColumn("date", C.parse_date("dt", strict=strict_dates))
     t = t.filter(P.date_after("date", after)).withColumn("city", C.strip_upper("City"))
     out = group_avg(t, ["date", "city"], {
         "average_temperature": "AverageTemperature",
@@ -151,27 +162,86 @@ def build_star(sources: Mapping[str, DataFrame], **fact_options) -> dict[str, Da
     }
 
 
+TABLE_KEYS = {"dim_demographics": ["city", "state_code", "race"], "dim_temperature": ["date", "city"],
+              "dim_airports": ["ident"], "fact_immigration": ["cicid"]}
+
+
 def run_etl(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str, mode: str = "errorifexists",
             partition_fact_by: Sequence[str] | None = None, concurrent_writes: int = 4) -> DataFrame:
-    """Build and write the star below ``out_dir``; return schema and row counts
+    """Build and write the star as ``out_dir``; return schema and row counts
     of the written tables (read back from storage).
 
-    The four tables are independent, so their writes are submitted as
-    concurrent Spark jobs (``concurrent_writes`` at a time); a small dimension
-    does not leave the cluster idle while it finishes. A failed write raises.
+    The tables are written to a staging folder next to ``out_dir``, which is
+    renamed to ``out_dir`` when all four are there. A failed run leaves no part
+    of a star, and can simply be run again. ``mode`` is ``errorifexists`` or
+    ``overwrite``; for increments there is ``update_star``. The tables are
+    independent, so their writes are concurrent Spark jobs
+    (``concurrent_writes`` at a time). A failed write raises.
     """
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode {mode!r}: a star is built new or overwritten; use update_star to add to it")
     out_dir = out_dir.rstrip("/")
+    if mode == "errorifexists" and table_exists(spark, out_dir):
+        raise FileExistsError(out_dir)
     tables = build_star(sources)
+    staging = f"{out_dir}__staging-{uuid.uuid4().hex[:12]}"
 
     def write(item):
         name, df = item
-        return write_parquet(df, f"{out_dir}/{name}", mode=mode,
+        return write_parquet(df, f"{staging}/{name}",
                              partition_by=partition_fact_by if name == "fact_immigration" else None)
 
-    with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
-        list(pool.map(write, tables.items()))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
+            list(pool.map(write, tables.items()))
+        files, path = file_system(spark, out_dir)
+        if files.exists(path(out_dir)) and not table_exists(spark, out_dir):
+            files.delete(path(out_dir), True)  # an empty folder
+        publish(spark, staging, out_dir, overwrite=mode == "overwrite")
+    finally:
+        files, path = file_system(spark, staging)
+        files.delete(path(staging), True)
     return table_stats(spark, read_star(spark, out_dir))
 
 
+def update_star(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
+                partition_fact_by: Sequence[str] | None = None) -> DataFrame:
+    """Add an increment (a month of arrivals, new rows of the other sources) to the star at ``out_dir``.
+
+    Every table has a key (``TABLE_KEYS``); rows whose key is stored are
+    skipped, and of a key repeated in the increment the first row counts. So an
+    update that failed half-way, or is run twice, ends in the same star. Each
+    table's new files appear together when its write commits; dimensions come
+    before the fact. A missing star is built. ``partition_fact_by`` must be the
+    columns the fact is stored by; they follow from the arrival, so arrivals
+    are compared within the partitions touched.
+    """
+    out_dir = out_dir.rstrip("/")
+    for name, df in build_star(sources).items():
+        parts = partition_fact_by if name == "fact_immigration" else None
+        append_parquet(spark, df, f"{out_dir}/{name}", keys=TABLE_KEYS[name], partition_by=parts,
+                       keys_within_partitions=bool(parts))
+    return table_stats(spark, read_star(spark, out_dir))
+
+
+def sources_from_files(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+    """The sources of the star from raw files: ``labels`` (label text), ``immigration`` (parquet), ``temperature``
+    and ``airports`` (CSV), ``demographics`` (CSV with semicolons). A label section that is missing fails the job."""
+    codes = code_tables(read_texts(spark, paths["labels"]))
+    return {
+        "immigration": R.scan_parquet(spark, paths["immigration"]),
+        "country_codes": codes["i94_country"],
+        "port_codes": codes["i94_port"],
+        "temperature": R.scan_csv(spark, paths["temperature"], SC.TEMPERATURE),
+        "airports": R.scan_csv(spark, paths["airports"], SC.AIRPORTS),
+        "demographics": R.scan_csv_delimited(spark, paths["demographics"], SC.DEMOGRAPHICS),
+    }
+
+
+def run_etl_from_files(spark: SparkSession, paths: Mapping[str, str], out_dir: str, **options) -> DataFrame:
+    """``run_etl`` from raw files (see ``sources_from_files``)."""
+    return run_etl(spark, sources_from_files(spark, paths), out_dir, **options)
+
+
 def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{out_dir.rstrip('/')}/{name}") for name in STAR_TABLES}

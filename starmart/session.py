@@ -73,9 +73,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system). Only
-    when the session has none (local tests) is a folder under the system
-    temporary directory set.
+    It is the session's ``spark.checkpoint.dir``. Without one, a session that runs in a single process (tests) uses
+    a folder of the system's temporary directory; on a cluster that would be a folder of one machine, so it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -83,12 +82,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="starmart-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = os.path.join(tempfile.gettempdir(), "starmart-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/starmart-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/starmart/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared checkpoint folder, in the folder of this application."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and its ``Path`` class: shared folders are never touched as local files."""
+    cls = spark._jvm.org.apache.hadoop.fs.Path
+    return cls(path).getFileSystem(spark._jsc.hadoopConfiguration()), cls
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote below ``scratch_path``; call it when no result is read any more."""
+    root = _scratch_root(spark)
+    files, path = file_system(spark, root)
+    files.delete(path(root), True)

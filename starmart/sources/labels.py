@@ -77,17 +77,25 @@ def parse_pairs(df: DataFrame, text: Column | str, keep: Sequence[str] = (), ite
 
 
 def label_dictionary(texts: DataFrame, tag: str, text_col: str = "text", keep: Sequence[str] = ("source",),
-                     rejects: bool = False) -> DataFrame:
-    """``(source, item_no, code, value)`` for the section ``tag`` of every text."""
-    sections = texts.select(*keep, label_section(text_col, tag).alias("__section"))
+                     rejects: bool = False, required: bool = True) -> DataFrame:
+    """``(source, item_no, code, value)`` for the section ``tag`` of every text.
+
+    A text without the section fails the job, as in the original; with
+    ``required=False`` it gives no rows.
+    """
+    section = label_section(text_col, tag)
+    if required:
+        section = F.coalesce(section, F.raise_error(F.lit(f"label section {tag!r} or its closing ';' is missing"))
+                             .cast("string"))
+    sections = texts.select(*keep, section.alias("__section"))
     return parse_pairs(sections, "__section", keep=keep, rejects=rejects)
 
 
 def label_dictionary_pair(texts: DataFrame, tag: str, text_col: str = "text",
                           keep: Sequence[str] = ("source",), sep: str = ",",
-                          rejects: bool = False) -> DataFrame:
+                          rejects: bool = False, required: bool = True) -> DataFrame:
     """``(source, item_no, code, value1, value2)``: values with exactly two ``sep`` parts."""
-    pairs = label_dictionary(texts, tag, text_col, keep)
+    pairs = label_dictionary(texts, tag, text_col, keep, required=required)
     parts = F.split(F.col("value"), _quote(sep), -1)
     if rejects:
         return pairs.filter(F.size(parts) != 2)

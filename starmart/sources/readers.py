@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.operators.profile import sql_ident
+
 
 def scan_parquet(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet with the schema from the files; ``columns`` prunes the scan."""
@@ -21,16 +23,28 @@ def scan_parquet(spark: SparkSession, path: str | Sequence[str], columns: Sequen
 
 
 def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, sep: str = ",",
-             null_value: str | None = None, header: bool = True) -> DataFrame:
+             null_value: str | None = None, header: bool = True, multi_line: bool = False,
+             corrupt_column: str | None = None) -> DataFrame:
     """CSV with a header line and a declared schema, applied by position.
 
-    An empty field becomes NULL; the word ``NA`` stays text unless it is
-    passed as ``null_value``. Malformed values become NULL (permissive mode).
+    Quotes inside a quoted field are doubled, as pandas and spreadsheets write
+    them. An empty field is NULL, an empty quoted field the empty text; the word
+    ``NA`` stays text unless it is passed as ``null_value``; blanks at the edges
+    of a field are kept. With ``multi_line`` a quoted field may hold line
+    breaks; a file is then read by one task, so large files should be many.
+    Malformed values become NULL (permissive mode); ``corrupt_column`` adds a
+    text column with the whole record of every malformed row, so that they can
+    be counted.
     """
-    reader = (spark.read.schema(schema).option("header", header).option("sep", sep)
-              .option("mode", "PERMISSIVE").option("enforceSchema", True))
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
+    if corrupt_column:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType(), True)])
+    reader = (spark.read.schema(schema).option("header", header).option("sep", sep).option("escape", '"')
+              .option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", False)
+              .option("ignoreTrailingWhiteSpace", False).option("mode", "PERMISSIVE").option("enforceSchema", True))
+    if corrupt_column:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    # an unquoted empty field reads as this text, which is then NULL; an empty quoted field stays the empty text
+    reader = reader.option("nullValue", "\u0000" if null_value is None else null_value)
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
@@ -47,5 +61,5 @@ def typed_frame(df: DataFrame, schema: T.StructType) -> DataFrame:
     """
     if len(df.columns) != len(schema.fields):
         raise ValueError(f"{len(df.columns)} columns, schema has {len(schema.fields)}")
-    return df.select(*[F.col(f"`{c}`").try_cast(f.dataType).alias(f.name)
+    return df.select(*[F.col(sql_ident(c)).try_cast(f.dataType).alias(f.name)
                        for c, f in zip(df.columns, schema.fields)])

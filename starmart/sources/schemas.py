@@ -31,14 +31,8 @@ DEMOGRAPHICS = _s(("City", STR), ("State", STR), ("Median Age", DBL), ("Male Pop
 
 COUNTRY_CODES = _s(("code", LONG), ("country_name", STR))
 PORT_CODES = _s(("code", STR), ("port", STR), ("state_code", STR))
-MODE_CODES = _s(("code", LONG), ("model", STR))
-STATE_CODES = _s(("code", STR), ("state", STR))
-VISA_CODES = _s(("code", LONG), ("VISA_Type", STR))
 
 # Test-table schemas used by the CSV round trips.
-NATION = _s(("n_nationkey", INT), ("n_name", STR), ("n_regionkey", INT))
-NATION_RENAMED = _s(("nation_key", INT), ("nation_name", STR), ("region_key", INT))
-REGION = _s(("r_regionkey", INT), ("r_name", STR))
 CUSTOMER = _s(("c_custkey", LONG), ("c_name", STR), ("c_nationkey", INT), ("c_acctbal", DBL), ("c_mktsegment", STR))
 CUSTOMER_RENAMED = _s(("customer_key", LONG), ("customer_name", STR), ("nation_key", INT), ("balance", DBL),
                       ("segment", STR))

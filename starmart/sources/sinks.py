@@ -7,16 +7,27 @@ A failed write raises; nothing is swallowed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.operators.duplicates import first_rows
+from starmart.operators.profile import sql_ident
+from starmart.session import file_system
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
                   partition_by: Sequence[str] | None = None) -> str:
-    """Save as parquet; by default fails if ``path`` exists."""
+    """Save as parquet; by default fails if ``path`` exists.
+
+    With ``partition_by`` the rows are first rebalanced on those columns, so a
+    partition value is written by one task, or by as many as its size asks for,
+    and not by every task that has a row of it.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(sql_ident(c)) for c in partition_by])
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -24,72 +35,101 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing only
-        return True
-    except AnalysisException:
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a stored table (a folder with a file that is not hidden) at ``path``?"""
+    files, cls = file_system(spark, path)
+    if not files.exists(cls(path)):
         return False
-
-
-def _partition_filter(cols: Sequence[str], values) -> F.Column:
-    """``(c1 <=> v1 AND c2 <=> v2) OR ...`` over the given partition values."""
-    cond = F.lit(False)
-    for row in values:
-        match = F.lit(True)
-        for c in cols:
-            match = match & F.col(c).eqNullSafe(F.lit(row[c]))
-        cond = cond | match
-    return cond
+    listing = files.listFiles(cls(path), True)
+    while listing.hasNext():
+        if not listing.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def publish(spark: SparkSession, staged: str, target: str, overwrite: bool = False) -> str:
+    """Rename a finished folder to ``target`` in one step. An existing ``target`` is an error, or with ``overwrite``
+    is moved away first and deleted afterwards."""
+    files, cls = file_system(spark, target)
+    old = None
+    if files.exists(cls(target)):
+        if not overwrite:
+            raise FileExistsError(target)
+        old = f"{target}__old-{uuid.uuid4().hex[:12]}"
+        if not files.rename(cls(target), cls(old)):
+            raise OSError(f"cannot move {target} away")
+    parent = cls(target).getParent()
+    if parent is not None:
+        files.mkdirs(parent)
+    if not files.rename(cls(staged), cls(target)):
+        raise OSError(f"cannot publish {staged} as {target}")
+    if old:
+        files.delete(cls(old), True)
+    return target
 
 
 def new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
-             within_partitions: Sequence[str] | None = None, max_partitions: int = 10_000) -> DataFrame:
+             within_partitions: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``df`` whose key is not yet stored at ``path`` (NULL-safe left-anti join).
 
     ``within_partitions`` names partition columns of the stored table that
-    follow from the key (e.g. the arrival date of an arrival). Then only the
-    stored partitions the increment touches are compared, so a monthly append
-    reads one month of keys, not the whole table's: the increment's distinct
-    partition values (partition metadata, at most ``max_partitions`` of them,
-    checked) become a partition filter that the scan prunes on. Beyond that
-    bound a semi join with those values limits the comparison instead.
+    follow from the key (e.g. the arrival date of an arrival). Then only stored
+    partitions between the increment's smallest and largest value are read (two
+    values per column reach the driver), and of those only the ones the
+    increment has rows of (a semi join with its distinct values). So a monthly
+    append reads one month of keys, whatever the number of partitions.
     """
-    if not _exists(spark, path):
+    if not table_exists(spark, path):
         return df
     stored = spark.read.parquet(path)
     if within_partitions:
-        cols = list(within_partitions)
-        touched = df.select(*cols).distinct()
-        values = touched.limit(min(max_partitions + 1, 2**31 - 1)).collect()
-        if len(values) <= max_partitions:
-            stored = stored.filter(_partition_filter(cols, values))
-        else:
-            stored = stored.join(touched, cols, "left_semi")
-    stored = stored.select(*[F.col(k).alias(f"__s_{k}") for k in keys])
-    cond = None
-    for k in keys:
-        eq = df[k].eqNullSafe(stored[f"__s_{k}"])
-        cond = eq if cond is None else cond & eq
+        cols = [sql_ident(c) for c in within_partitions]
+        ends = df.agg(*[f(F.col(c)).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))],
+                      *[F.max(F.col(c).isNull()).alias(f"null{i}") for i, c in enumerate(cols)]).first()
+        for i, c in enumerate(cols):
+            inside = F.lit(False)
+            if ends[f"lo{i}"] is not None:
+                inside = F.col(c).between(F.lit(ends[f"lo{i}"]), F.lit(ends[f"hi{i}"]))
+            stored = stored.filter(inside | F.col(c).isNull() if ends[f"null{i}"] else inside)
+        touched = df.select(*[F.col(c).alias(f"__t_{i}") for i, c in enumerate(cols)]).distinct()
+        same = F.lit(True)
+        for i, c in enumerate(cols):
+            same = same & stored[c].eqNullSafe(touched[f"__t_{i}"])
+        stored = stored.join(touched, same, "left_semi")
+    stored = stored.select(*[F.col(sql_ident(k)).alias(f"__s_{i}") for i, k in enumerate(keys)])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & df[sql_ident(k)].eqNullSafe(stored[f"__s_{i}"])
     return df.join(stored, cond, "left_anti")
 
 
 def append_parquet(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str] | None = None,
-                   partition_by: Sequence[str] | None = None, keys_within_partitions: bool = False) -> str:
+                   partition_by: Sequence[str] | None = None, keys_within_partitions: bool | None = None,
+                   order: Sequence[str] | None = None) -> str:
     """Add an increment to a stored table; with ``keys``, rows whose key is
     already stored are skipped, so re-running the same increment adds nothing.
 
-    ``keys_within_partitions`` (with ``partition_by``) compares keys only in
-    the partitions the increment touches; see ``new_rows``.
+    One rule holds for keys repeated inside an increment: the first row by
+    ``order`` (default: all other columns, ascending, NULLs first) is kept.
+    Keys are compared only in the partitions the increment touches if the
+    partition columns are part of the key, or if ``keys_within_partitions`` says
+    that they follow from it (see ``new_rows``).
     """
-    within = partition_by if (keys_within_partitions and partition_by) else None
-    rows = new_rows(spark, df, path, keys, within_partitions=within) if keys else df
+    if not keys:
+        return write_parquet(df, path, mode="append", partition_by=partition_by)
+    if keys_within_partitions is None:
+        keys_within_partitions = bool(partition_by) and set(partition_by) <= set(keys)
+    rows = first_rows(df, keys, order)
+    rows = new_rows(spark, rows, path, keys, partition_by if keys_within_partitions else None)
     return write_parquet(rows, path, mode="append", partition_by=partition_by)
 
 
-def write_code_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """A code table as CSV with a header line."""
-    df.write.mode(mode).option("header", True).csv(path)
+def write_code_csv(df: DataFrame, path: str, mode: str = "errorifexists", sep: str = ",") -> str:
+    """A code table as CSV with a header line. Values come back unchanged from ``scan_csv`` (with ``multi_line`` if
+    they hold line breaks): quotes are doubled, blanks at the edges stay, NULL is an empty field and the empty text
+    an empty quoted one."""
+    (df.write.mode(mode).option("header", True).option("sep", sep).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 

@@ -7,13 +7,14 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
-from starmart.session import local_session  # noqa: E402
+from starmart.session import clean_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(cores=8, shuffle_partitions=8, app="starmart-tests")
     yield s
+    clean_scratch(s)
 
 
 @pytest.fixture()

@@ -22,6 +22,16 @@ def test_cast_int_truncates(spark):
     assert [r[0] for r in df.select(C.cast_int("d")).collect()] == [20545, -1, None]
 
 
+def test_numbers_outside_the_range_cast_as_without_ansi(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(nan,), (inf,), (-inf,), (1e300,), (-0.9,), (None,)], "d double")
+    assert [r[0] for r in df.select(C.cast_int("d")).collect()] == [0, 2**31 - 1, -2**31, 2**31 - 1, 0, None]
+    one = spark.createDataFrame([(nan,), (None,)], "d double")
+    assert [r[0] for r in one.select(C.epoch_day_to_date("d")).collect()] == [dt.date(1960, 1, 1), None]
+    assert [r[0] for r in one.select(C.epoch_day_to_date_or_marker("d")).collect()] == ["N/A", None]
+    assert [r[0] for r in one.select(C.epoch_day_to_date_or_marker("d", marker=None)).collect()] == [None, None]
+
+
 def test_epoch_day_to_date(spark):
     df = spark.createDataFrame([(20545.0,), (0.0,)], "d double")
     got = [r[0] for r in df.select(C.epoch_day_to_date("d")).collect()]

@@ -30,30 +30,56 @@ def test_hot_key_and_large_copy_groups(spark):
     df = spark.createDataFrame(rows, "k int, v int, s string")
     expected = brute_force(rows, [0], [0, 1, 2])
     assert sum(expected.values()) == len(rows) - len({r[0] for r in rows})
-    # hot keys split off (0, 1 and NULL have more than 2 rows), every key on the
-    # aggregation path, and no key hot (window only)
-    for hot_rows, max_hot in [(2, 100), (0, 100), (10_000, 100), (2, 1)]:
-        got = Counter(tuple(r) for r in DU.duplicate_rows(df, ["k"], hot_key_rows=hot_rows,
-                                                          max_hot_keys=max_hot, chunk=7).collect())
-        assert got == expected, (hot_rows, max_hot)
+    for parts in (1, 3, 16):
+        got = Counter(tuple(r) for r in DU.duplicate_rows(df.repartition(parts), ["k"], order=["v"]).collect())
+        assert got == expected, parts
 
 
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 2), st.sampled_from(["a", "b"])),
                 max_size=40),
-       st.integers(1, 5), st.integers(0, 6))
-def test_matches_brute_force(spark, rows, chunk, hot_rows):
+       st.integers(1, 6))
+def test_matches_brute_force(spark, rows, parts):
     df = spark.createDataFrame(rows, "k int, v int, s string") if rows else \
         spark.createDataFrame([], "k int, v int, s string")
-    got = Counter(tuple(r) for r in DU.duplicate_rows(df, ["k", "s"], order=["v"], hot_key_rows=hot_rows,
-                                                      chunk=chunk).collect())
+    df = df.repartition(parts)
+    got = Counter(tuple(r) for r in DU.duplicate_rows(df, ["k", "s"], order=["v"]).collect())
     assert got == brute_force(rows, [0, 2], [0, 2, 1])
+    firsts = Counter(tuple(r) for r in DU.first_rows(df, ["k", "s"]).collect())
+    assert got + firsts == Counter(rows)
 
 
-def test_replicate_rows_splits_large_counts(spark):
-    df = spark.createDataFrame([("a", 25), ("b", 3), ("c", 0)], "x string, n long")
-    got = Counter(r.x for r in DU.replicate_rows(df, "n", chunk=4).collect())
-    assert got == Counter({"a": 25, "b": 3})
+def test_values_come_back_unchanged(spark):
+    import math
+    values = [-7.0, -0.0, 5.0, -0.0, float("nan"), 0.0, float("nan")] * 40
+    df = spark.createDataFrame([(1, v) for v in values] + [(2, -0.0)], "k int, v double").repartition(5)
+    got = [r.v for r in DU.duplicate_rows(df, ["k"], order=["v"]).collect()]
+    assert len(got) == len(values) - 1
+    assert sum(v == 0 and math.copysign(1, v) < 0 for v in got) == 80 and sum(math.isnan(v) for v in got) == 80
+    assert [math.copysign(1, r.v) for r in DU.first_rows(df, ["k"]).collect() if r.k == 2] == [-1.0]
+
+
+def test_the_order_is_required(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 1)], "k int, v int")
+    with pytest.raises(TypeError):
+        DU.duplicate_rows(df, ["k"])
+    with pytest.raises(ValueError):
+        DU.duplicate_rows(df, ["k"], order=[])
+
+
+def test_names_with_blanks_and_backticks(spark):
+    df = spark.createDataFrame([(1, 2), (1, 1), (1, 3)], ["a key", "o`d.d"])
+    assert sorted(r[1] for r in DU.duplicate_rows(df, ["a key"], order=["o`d.d"]).collect()) == [2, 3]
+
+
+def test_window_groups_stay_within_an_input_partition(spark):
+    """The plan has no count of the input, no broadcast and no split by size, and reads the input once."""
+    df = spark.createDataFrame([(1, i) for i in range(200)] + [(2, 1), (2, 2)], "k int, v int").repartition(4)
+    out = DU.duplicate_rows(df, ["k"], order=["v"])
+    assert out.count() == 200
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "__part" in plan
 
 
 def test_check_unique_key(spark):
@@ -64,11 +90,3 @@ def test_check_unique_key(spark):
     assert r.is_unique
     empty = Q.check_unique_key(df.filter("a > 9"), ["a"]).collect()[0]
     assert (empty.row_count, empty.distinct_keys, empty.is_unique) == (0, 0, True)
-
-
-def test_hot_keys_never_reach_the_window(spark):
-    df = spark.createDataFrame([(1, i) for i in range(20)] + [(2, 1), (2, 2)], "k int, v int")
-    plan = DU.duplicate_rows(df, ["k"], hot_key_rows=5)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "LeftSemi" in plan
-    only_agg = DU.duplicate_rows(df, ["k"], hot_key_rows=0)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in only_agg

@@ -25,7 +25,7 @@ def test_by_month_and_port(fact):
 def test_by_demographics_uses_one_row_per_city(spark, fact):
     demo = spark.createDataFrame(
         [("SPRINGVILLE", "OR", 1000, "250", "WHITE"), ("SPRINGVILLE", "OR", 1000, "250", "ASIAN"),
-         ("LAKESIDE", "VA", 400, None, "WHITE")],
+         ("LAKESIDE", "VA", 400, None, "WHITE"), ("NOWHERE", "ZZ", 0, "3", "WHITE")],
         "city string, state_code string, total_population int, foreign_born string, race string")
     got = {r.city: (r.visitors, r.total_population, r.foreign_born_percent)
            for r in I.arrivals_by_demographics(fact, demo).collect()}
@@ -47,3 +47,10 @@ def test_airports_per_city_keeps_cities_without_airports(spark, fact):
                                      "municipality string, state string")
     got = {(r.city, r.state): (r.visitors, r.airports) for r in I.airports_per_city(fact, airports).collect()}
     assert got == {("SPRINGVILLE", "OR"): (3, 2), ("LAKESIDE", "VA"): (1, 0), ("NOWHERE", None): (1, 0)}
+
+
+def test_a_population_of_zero_has_no_share(spark, fact):
+    demo = spark.createDataFrame([("LAKESIDE", "VA", 0, "5", "WHITE")],
+                                 "city string, state_code string, total_population int, foreign_born string, race string")
+    got = I.arrivals_by_demographics(fact, demo).collect()
+    assert [(r.city, r.total_population, r.foreign_born_percent) for r in got] == [("LAKESIDE", 0, None)]

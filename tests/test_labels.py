@@ -4,6 +4,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from starmart.plans import star
+import pytest
+
 from starmart.sources import labels as L
 
 LABEL_TEXT = """/* TAGA - words before the list */
@@ -47,11 +49,16 @@ def test_rejects_are_visible(spark):
     assert "'X=Y' = 'two signs'" in rejected and "no sign here" in rejected
 
 
-def test_missing_tag_or_terminator_gives_no_rows(spark):
+def test_missing_tag_or_terminator_fails_unless_allowed(spark):
     texts = _texts(spark, LABEL_TEXT, "/* TAGA only\n 1 = 'x'\n")
-    out = L.label_dictionary(texts, "TAGA")
+    for tag in ("TAGA", "NOPE"):
+        with pytest.raises(Exception, match="is missing"):
+            L.label_dictionary(texts, tag).collect()
+        with pytest.raises(Exception, match="is missing"):
+            L.label_dictionary_pair(texts, tag).collect()
+    out = L.label_dictionary(texts, "TAGA", required=False)
     assert {r.source for r in out.collect()} == {"f0"}
-    assert L.label_dictionary(texts, "NOPE").count() == 0
+    assert L.label_dictionary(texts, "NOPE", required=False).count() == 0
 
 
 def test_empty_section(spark):
@@ -115,7 +122,9 @@ SAS_LIKE = """/* I94CIT & I94RES - countries, valid or not */
 
 def test_code_tables_from_one_text(spark, scratch):
     from starmart.plans import codes
-    tables = codes.code_tables(_texts(spark, SAS_LIKE))
+    with pytest.raises(Exception, match="is missing"):
+        codes.code_tables(_texts(spark, SAS_LIKE))["i94_visa"].collect()
+    tables = codes.code_tables(_texts(spark, SAS_LIKE), required=False)
     assert sorted(tuple(r) for r in tables["i94_country"].collect()) == [
         (236, "BOREA"), (582, "ALBION (sea, air, no land)"),
         (999, "INVALID: NOWHERE")]
@@ -131,6 +140,9 @@ def test_code_tables_from_one_text(spark, scratch):
     assert set(paths) == {"i94_country", "i94_port", "i94_model", "i94_state_addrl", "i94_visa"}
     visa = spark.read.option("header", True).csv(paths["i94_visa"])
     assert sorted(tuple(r) for r in visa.collect()) == [("1", "Business"), ("2", "Pleasure"), ("3", "Student")]
+    odd = SAS_LIKE.replace("9 = 'Not", "x9 = 'Not")
+    with pytest.raises(Exception, match="not a number: x9"):
+        codes.code_tables(_texts(spark, odd))["i94_model"].collect()
 
 
 def _model(text, tag, pair=False):
@@ -172,7 +184,7 @@ def test_parser_matches_the_rules(spark, lines, closed, pair):
     text = "head = 'x'\n/* TAG list */\n" + body + (";\nafter = 'y'" if closed else "")
     texts = _texts(spark, text)
     if pair:
-        got = sorted((r.code, r.value1, r.value2) for r in L.label_dictionary_pair(texts, "TAG").collect())
+        got = sorted((r.code, r.value1, r.value2) for r in L.label_dictionary_pair(texts, "TAG", required=False).collect())
     else:
-        got = sorted((r.code, r.value) for r in L.label_dictionary(texts, "TAG").collect())
+        got = sorted((r.code, r.value) for r in L.label_dictionary(texts, "TAG", required=False).collect())
     assert got == sorted(_model(text, "TAG", pair))

@@ -8,6 +8,7 @@ import os
 import pytest
 
 from starmart.catalog.check import compare, duck
+from starmart.catalog.oracle import ORACLE
 from starmart.catalog.spark_queries import QUERIES
 
 SF = os.environ.get("STARMART_TEST_SF", "/root/testdata/sf0.001")
@@ -36,4 +37,5 @@ def test_entry_contract(spark):
                           "age", "gender", "city", "state", "visa_type", "detailed_visa_type"]
     assert df.count() >= 0
     assert set(e.oracle_sql()) <= set(e.queries())
-    assert set(e.queries()) == set(e.oracle_sql())
+    # every query of this catalogue has a twin; the text operators, where they are there, add queries of their own
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(e.oracle_sql())

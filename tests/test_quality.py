@@ -124,3 +124,13 @@ def test_exact_means_treat_nan_as_missing(spark):
     df = spark.createDataFrame([("a", 1.25), ("a", float("nan")), ("a", 2.5), ("b", None)], "k string, x double")
     got = {r.k: r.m for r in AG.group_avg(df, ["k"], {"m": "x"}, digits=4, decimals=2).collect()}
     assert got == {"a": 1.875, "b": None}
+
+
+def test_check_all_fails_an_empty_table(spark):
+    from starmart.operators.quality import check_all
+    fact = spark.createDataFrame([], "city string, state string")
+    dim = spark.createDataFrame([("A", "B")], "city string, state string")
+    res = check_all({"fact": fact, "dim": dim}, "fact", ["city", "state"], {"dim": ["city", "state"]})
+    assert {r.table_name: r.status for r in res["row_counts"].collect()} == {"fact": "failed", "dim": "passed"}
+    res = check_all({"fact": fact, "dim": dim}, "fact", ["city", "state"], {"dim": ["city", "state"]}, min_rows=0)
+    assert {r.status for r in res["row_counts"].collect()} == {"passed"}

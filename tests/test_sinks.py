@@ -113,20 +113,105 @@ def test_append_compares_keys_only_in_touched_partitions(spark, scratch):
     assert sorted(r.id for r in new.collect()) == list(range(300, 320))
     plan = new._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
-    beyond = SK.new_rows(spark, inc, path, keys=["id"], within_partitions=["day"], max_partitions=3)
-    assert sorted(r.id for r in beyond.collect()) == list(range(300, 320))
     SK.append_parquet(spark, inc, path, keys=["id"], partition_by=["day"], keys_within_partitions=True)
     SK.append_parquet(spark, inc, path, keys=["id"], partition_by=["day"], keys_within_partitions=True)
     assert spark.read.parquet(path).count() == 320
 
 
-def test_size_checks_accept_bounds_beyond_int_range(spark):
-    assert J.at_most(spark.range(5), 10**12) and not J.at_most(spark.range(5), 4) and J.at_most(spark.range(5), 5)
+def test_size_checks_count_rows_and_bytes(spark):
     assert J.fits_broadcast(spark.range(5), 10**12)
     assert J.fits_broadcast_all([spark.range(5)], 10**12) == [True]
-    from starmart.operators import duplicates as DU
-    df = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")
-    assert DU.duplicate_rows(df, ["k"], hot_key_rows=10**12).count() == 1
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) AS t", "array(id, id) AS a", "struct(id) AS s")
+    assert J.fits_broadcast(wide, 10) and not J.fits_broadcast(wide, 9)
+    assert J.fits_broadcast(wide, 10, 20_000) and not J.fits_broadcast(wide, 10, 9_000)
+
+
+def test_append_touching_many_partitions(spark, scratch):
+    path = scratch("daily")
+    base = spark.range(2000).selectExpr("id", "CAST(id % 1000 AS INT) AS day", "id * 2 AS v")
+    SK.write_parquet(base, path, partition_by=["day"])
+    inc = spark.range(1500, 2500).selectExpr("id", "CAST(id % 1000 AS INT) AS day", "id * 2 AS v")
+    for _ in range(2):
+        SK.append_parquet(spark, inc, path, keys=["id"], partition_by=["day"], keys_within_partitions=True)
+    got = spark.read.parquet(path)
+    assert got.count() == 2500 and got.select("id").distinct().count() == 2500
+
+
+def test_partitioned_write_makes_few_files(spark, scratch):
+    import glob
+    path = scratch("files")
+    df = spark.range(20_000).selectExpr("id", "CAST(id % 50 AS INT) AS day").repartition(40)
+    SK.write_parquet(df, path, partition_by=["day"])
+    assert len(glob.glob(path.removeprefix("file:") + "/day=*/*.parquet")) <= 100
+
+
+def test_repeated_and_conflicting_keys_in_an_increment(spark, scratch):
+    path = scratch("conflict")
+    inc = spark.createDataFrame([(1, "b"), (1, "a"), (1, "c"), (2, None), (2, "z"), (None, "q"), (None, "p")],
+                                "k int, v string").repartition(4)
+    for _ in range(2):
+        SK.append_parquet(spark, inc, path, keys=["k"])
+    assert sorted(map(str, map(tuple, spark.read.parquet(path).collect()))) == ["(1, 'a')", "(2, None)", "(None, 'p')"]
+
+
+def test_stream_keeps_the_first_row_of_a_key(spark, scratch):
+    base = scratch("stream-conflict")
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "z")], "k int, v string").repartition(3)
+    df.write.parquet(f"{base}/in")
+    ST.append_increments(spark, f"{base}/in", df.schema, f"{base}/t", keys=["k"], checkpoint=f"{base}/ck")
+    assert sorted(map(tuple, spark.read.parquet(f"{base}/t").collect())) == [(1, "a"), (2, "z")]
+
+
+def test_stream_stops_and_raises_on_timeout(spark, scratch):
+    base = scratch("stream-late")
+    df = spark.createDataFrame([(i, "x") for i in range(50)], "k int, v string")
+    for _ in range(6):
+        df.write.mode("append").parquet(f"{base}/in")
+    with pytest.raises(TimeoutError):
+        ST.append_increments(spark, f"{base}/in", df.schema, f"{base}/t", keys=["k"], checkpoint=f"{base}/ck",
+                             max_files_per_trigger=1, timeout_seconds=0.05)
+    assert not spark.streams.active
+    ST.append_increments(spark, f"{base}/in", df.schema, f"{base}/t", keys=["k"], checkpoint=f"{base}/ck")
+    assert spark.read.parquet(f"{base}/t").count() == 50
+
+
+AWKWARD = [(1, "  pad  "), (2, ""), (3, None), (4, 'He said "hi", there'), (5, "two\nlines; a\r\nthird"), (6, '"'), (7, ";,\t")]
+
+
+@pytest.mark.parametrize("sep", [",", ";"])
+def test_csv_gives_back_what_was_written(spark, scratch, sep):
+    path = scratch("awkward")
+    SK.write_code_csv(spark.createDataFrame(AWKWARD, SC.COUNTRY_CODES), path, sep=sep)
+    back = R.scan_csv(spark, path, SC.COUNTRY_CODES, sep=sep, multi_line=True)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == AWKWARD
+
+
+def test_csv_as_other_programs_write_it(spark, tmp_path):
+    import pandas as pd
+    p = tmp_path / "p.csv"
+    pd.DataFrame([r for r in AWKWARD if r[1] and "\r" not in r[1]], columns=["code", "country_name"]).to_csv(p, index=False)
+    back = R.scan_csv(spark, str(p), SC.COUNTRY_CODES, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == [r for r in AWKWARD if r[1] and "\r" not in r[1]]
+
+
+def test_malformed_rows_are_countable(spark, tmp_path):
+    p = tmp_path / "bad.csv"
+    p.write_text("code,country_name\n1,a\nx,b\n3,c,d\n")
+    rows = R.scan_csv(spark, str(p), SC.COUNTRY_CODES, corrupt_column="bad").cache().collect()
+    assert [(r.code, r.bad) for r in rows] == [(1, None), (None, "x,b"), (3, "3,c,d")]
+
+
+def test_typed_frame_with_backticks(spark):
+    raw = spark.createDataFrame([("1", "x")], ["a`b", "c.d"])
+    assert [tuple(r) for r in R.typed_frame(raw, SC.COUNTRY_CODES).collect()] == [(1, "x")]
+
+
+def test_scratch_is_cleaned(spark):
+    from starmart import session as SE
+    path = SE.scratch_path(spark, "gone")
+    spark.range(1).write.parquet(path)
+    files, cls = SE.file_system(spark, path)
+    assert files.exists(cls(path)) and str(spark.sparkContext.applicationId) in path
 
 
 def test_apply_conf_keeps_cluster_settings(spark):

@@ -167,3 +167,46 @@ def test_fact_with_shuffled_salted_lookups_is_unchanged(sources):
     expected = sorted(tuple(r) for r in star.build_fact(*sources).collect())
     salted = star.build_fact(*sources, broadcast_max_rows=1, salt_buckets=4)  # code tables "too large"
     assert sorted(tuple(r) for r in salted.collect()) == expected
+
+
+def _small_sources(spark, sources, **other):
+    im, countries, ports = sources
+    src = {"immigration": im, "country_codes": countries, "port_codes": ports,
+           "temperature": spark.createDataFrame([("1950-02-01", 2.0, 0.2, "Springville", "United States")], SC.TEMPERATURE),
+           "airports": spark.createDataFrame([], SC.AIRPORTS), "demographics": spark.createDataFrame([], SC.DEMOGRAPHICS)}
+    return {**src, **other}
+
+
+def test_a_failed_build_leaves_nothing_and_can_be_repeated(spark, scratch, sources):
+    out = scratch("etl-fail")
+    bad = spark.createDataFrame([("no day", 2.0, 0.2, "Springville", "United States")], SC.TEMPERATURE)
+    with pytest.raises(Exception, match="not a date: no day"):
+        star.run_etl(spark, _small_sources(spark, sources, temperature=bad), out)
+    from starmart.session import file_system
+    files, path = file_system(spark, out)
+    left = [f.getPath().getName() for f in files.globStatus(path(out + "*")) or []]
+    assert left == []
+    star.run_etl(spark, _small_sources(spark, sources), out)
+    assert star.read_star(spark, out)["fact_immigration"].count() == 6
+    star.run_etl(spark, _small_sources(spark, sources), out, mode="overwrite")
+    assert star.read_star(spark, out)["fact_immigration"].count() == 6
+    with pytest.raises(ValueError, match="update_star"):
+        star.run_etl(spark, _small_sources(spark, sources), out, mode="append")
+
+
+def test_update_star_in_months(spark, scratch, sources):
+    im = sources[0]
+    whole, parts = scratch("whole"), scratch("parts")
+    star.run_etl(spark, _small_sources(spark, sources), whole)
+    april = im.filter(im.arrdate < 20546)
+    for rows in (april, im, im):
+        star.update_star(spark, _small_sources(spark, (rows, *sources[1:])), parts, partition_fact_by=["arrival_date"])
+    got, want = star.read_star(spark, parts), star.read_star(spark, whole)
+    for name in star.STAR_TABLES:
+        columns = want[name].columns
+        assert sorted(map(str, got[name].select(columns).collect())) == sorted(map(str, want[name].collect())), name
+
+
+def test_unparsable_dates_can_be_dropped(spark):
+    rows = [("no day", 2.0, 0.2, "Springville", "United States"), ("1950-02-01", 2.0, 0.2, "Springville", "United States")]
+    assert star.build_dim_temperature(spark.createDataFrame(rows, SC.TEMPERATURE), strict_dates=False).count() == 1

@@ -78,9 +78,7 @@ def main(argv: list[str]) -> None:
                              "l_linenumber": F.when(hot, F.lit(0)).otherwise(F.col("l_linenumber"))})
     keys = ["l_orderkey", "l_linenumber"]
     runs = {
-        "window only": lambda: DU.duplicate_rows(skewed, keys, hot_key_rows=10**12),
-        "aggregation only": lambda: DU.duplicate_rows(skewed, keys, hot_key_rows=0),
-        "hybrid (default split)": lambda: DU.duplicate_rows(skewed, keys, hot_key_rows=10_000),
+        "duplicate rows": lambda: DU.duplicate_rows(skewed, keys, order=["l_partkey", "l_suppkey"]),
     }
     # the shuffle fallback of a lookup: part keys as codes, the hot third on code 0
     codes = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("code"), "p_brand")
@@ -89,14 +87,11 @@ def main(argv: list[str]) -> None:
     # is spread over 16 partitions first
     fact = li.withColumn("code", F.when(hot, F.lit(0).cast("bigint")).otherwise(F.col("l_partkey"))).repartition(16)
 
-    def lookup(skew_split: bool):
-        def build():
-            spark.conf.set("spark.sql.adaptive.skewJoin.enabled", str(skew_split).lower())
-            return J.lookup_join(fact, codes, "code", {"p_brand": "brand"}, broadcast=False)
-        return build
+    def lookup(salts: int):
+        return lambda: J.lookup_join(fact, codes, "code", {"p_brand": "brand"}, broadcast=False, salt_buckets=salts)
 
-    runs["lookup by shuffle, skew split off"] = lookup(False)
-    runs["lookup by shuffle, skew split on"] = lookup(True)
+    runs["lookup by shuffle, one salt"] = lookup(1)
+    runs["lookup by shuffle, 32 salts"] = lookup(32)
     results = {}
     for name, build in runs.items():
         spark.sparkContext.setJobGroup(f"{name}-count", f"{name}-count")
