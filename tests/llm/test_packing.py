@@ -81,6 +81,14 @@ def test_word_lookup_equals_the_library_on_odd_spaces(text):
     assert got == library.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=0x24F), max_size=60))
+def test_word_lookup_equals_the_library_on_latin_text(text):
+    library = Tokenizer.from_file(vocabulary_path())
+    got = np.frombuffer(tokenizer(vocabulary_path()).encode(text), "<u4").tolist()
+    assert got == library.encode(text, add_special_tokens=False).ids
+
+
 def test_packed_documents_against_the_library(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(100, None), (None, "no id"), (1, "a"), (1, "a")]
     docs = spark.createDataFrame([(i, t, 1.0, 7) for i, t in rows], "doc_id long, text string, length double, offset int")
