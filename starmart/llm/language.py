@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import fold, hashed_sample, table, written
+from starmart.llm.common import fold, table, written
 from starmart.llm.compression import compressor, letters_only, windows
 
 SAMPLE_ROWS = 300  # documents per language in a dictionary; as many again set the threshold
@@ -37,22 +37,20 @@ def training_rows(docs: DataFrame) -> DataFrame:
     """A bounded, hash-chosen sample of labelled rows: ``lang, text`` (an excerpt) and ``part`` 0 or 1.
 
     Per language about ``2 * SAMPLE_ROWS`` rows: the counts per language give a hash threshold for each, so the
-    rows are filtered where they are read and nothing is ranked or gathered.
+    rows are filtered where they are read and nothing is ranked or gathered. Repeated rows count once.
     """
     labelled = (docs.where(fold("doc_id", 5) != 0).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
                 .select("doc_id", "lang", "text"))
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return labelled.limit(0).select("lang", "text", F.lit(0).alias("part"))
+    spread = 1 << 30
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per language
+    limits = docs.sparkSession.createDataFrame(
+        [(r["lang"], int(min(1.0, 2 * SAMPLE_ROWS / r["n"]) * spread)) for r in counts], "lang string, below long")
     key = F.xxhash64("doc_id", "text")
-    chosen = None
-    for lang, n in sorted(counts.items()):
-        share = hashed_sample(labelled.where(F.col("lang") == lang), F.col("doc_id"), 2 * SAMPLE_ROWS, n)
-        chosen = share if chosen is None else chosen.unionByName(share)
+    chosen = labelled.join(F.broadcast(limits), "lang").where(F.pmod(key, F.lit(spread)) < F.col("below"))
     room = F.greatest(F.length("text") - F.lit(EXCERPT_CHARS), F.lit(0)) + F.lit(1)
     start = (F.pmod(key, room.cast("long")) + F.lit(1)).cast("int")
     return chosen.select("lang", F.substring("text", start, F.lit(EXCERPT_CHARS)).alias("text"),
-                         F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(2)).cast("int").alias("part"))
+                         F.pmod(F.xxhash64(F.lit("part"), "text"), F.lit(2)).cast("int").alias("part")).distinct()
 
 
 class Model:

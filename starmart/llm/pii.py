@@ -176,7 +176,8 @@ def training_cells(docs: DataFrame) -> DataFrame:
     part = (F.pmod(F.xxhash64(F.lit("part"), "pii_text"), F.lit(4)) > 0).cast("int")
     df = with_base(sample, []).select("base", part.alias("train"),
                                       proposals(F.col("pii_text"), F.col("pii_digit")).alias("proposed"))
-    df = df.where(F.size("proposed") > 0).select("base", "train", F.explode("proposed").alias("p"))
+    # the arrays of the sample are written, so that no later step computes them again
+    df = written(docs.sparkSession, df, "pii-proposals").select("base", "train", F.explode("proposed").alias("p"))
     label = F.array_contains("base", F.struct(F.col("p.start"), F.col("p.kind"), F.col("p.end")))
     return (df.select("train", label.cast("int").alias("label"), "p.kind", *(F.col(f"p.{f}") for f in FEATURES))
             .groupBy("train", "label", "kind", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("n")))
