@@ -1,8 +1,9 @@
 """Language identification by compression with one raw-content dictionary per language.
 
 Training: a bounded sample of labelled documents per language (``SAMPLE_ROWS`` documents, ``EXCERPT_CHARS``
-characters of each) is put together to a dictionary of at most ``DICTIONARY_BYTES``. Prediction: the whole text,
-reduced to letters, is compressed in windows with every dictionary, and the language with the fewest bytes wins.
+characters of each) is put together to a dictionary of at most ``DICTIONARY_BYTES``. Prediction: the different words
+of the whole text, reduced to letters, are compressed in windows with every dictionary, and the language with the
+fewest bytes wins.
 The margin is the share of bytes by which the runner-up is longer. Predictions with a margin below the threshold
 are rejected (column ``accepted``); the threshold is the largest one that still keeps ``KEEP_SHARE`` of the right
 predictions on further labelled training rows.
@@ -10,6 +11,7 @@ predictions on further labelled training rows.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -28,6 +30,9 @@ WINDOW = 1024
 LEVEL = 9
 KEEP_SHARE = 0.99
 UNKNOWN = "und"
+#: Ends every dictionary and begins every window: its match makes even a short window worth compressing, so that
+#: words known to a dictionary shorten it.
+FRAME = b"".join(hashlib.sha256(bytes([i])).digest() for i in range(2))
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, margin double, accepted boolean"
 LETTER = re.compile(r"[^\W\d_]")
 _COMPRESSORS: dict[int, list] = {}
@@ -63,7 +68,7 @@ class Model:
         key = hash((tuple(self.languages), tuple(self.contents)))
         if key not in _COMPRESSORS:
             _COMPRESSORS.clear()
-            _COMPRESSORS[key] = [compressor(c, LEVEL) for c in self.contents]
+            _COMPRESSORS[key] = [compressor(c + FRAME, LEVEL) for c in self.contents]
         return _COMPRESSORS[key]
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
@@ -72,8 +77,10 @@ class Model:
             return UNKNOWN, 0.0, 0.0
         sizes = np.zeros(len(self.contents))
         compressors = self.compressors()
-        for window in windows(letters_only(text), WINDOW):
-            sizes += [len(c.compress(window)) for c in compressors]
+        # each word once: a repeated line compresses by itself and says no more than its first copy
+        words = b" ".join(dict.fromkeys(letters_only(text).split()))
+        for window in windows(words, WINDOW):
+            sizes += [len(c.compress(FRAME + window)) for c in compressors]
         best = int(np.argmin(sizes))
         if len(sizes) == 1:
             return self.languages[0], 1.0, 1.0
