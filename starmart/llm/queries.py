@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from starmart.llm import decontamination, language, lm, packing, pii, rollups, simhash, topk, toxicity
+from starmart.llm import decontamination, language, lm, packing, pii, quality, rollups, simhash, topk, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_language": language.op2_language,
+    "op3_quality": quality.op3_quality,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_pii": pii.op5_pii,
     "op6_topk": topk.op6_topk,
