@@ -23,7 +23,8 @@ from starmart.llm.common import table, written
 WINDOW = 8
 MIN_WINDOWS = 6
 MIN_WORDS = 4
-BROADCAST_WINDOWS = 1_000_000  # up to so many benchmark windows (8 bytes each) are broadcast
+BROADCAST_WINDOWS = 1_000_000  # up to so many hashes of benchmark windows (8 bytes each) are broadcast,
+BROADCAST_ITEMS = 100_000  # and so many windows with their words and slots (some 200 bytes each)
 TOKEN = r"\p{L}[\p{L}\p{M}]*+|[0-9]++(?:[.,][0-9]++)*+|[.!?\n]"
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 UNITS = ("mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "mile", "miles", "mg", "g", "kg", "lb", "lbs", "ton",
@@ -120,18 +121,18 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = written(spark, benchmark_windows(benchmark), "benchmark-windows")
     hashes = items.select("hash").distinct()
-    small = items.count() <= BROADCAST_WINDOWS
+    count = items.count()
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     found = (texts.select("doc_id", F.xxhash64("text").alias("text_hash"),
                           F.explode(window_hashes(token_hashes(F.col("text")))).alias("hash"))
-             .join(F.broadcast(hashes) if small else hashes, "hash", "left_semi")
+             .join(F.broadcast(hashes) if count <= BROADCAST_WINDOWS else hashes, "hash", "left_semi")
              .select("doc_id", "text_hash").distinct())
     found = written(spark, found, "contamination-candidates")
     suspects = texts.withColumn("text_hash", F.xxhash64("text")).join(
         found.withColumnsRenamed({"doc_id": "found_id", "text_hash": "found_hash"}),
         F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash")), "left_semi")
     at = windows(suspects, ["doc_id", "text_hash", "text"]).drop("text")
-    item = (F.broadcast(items) if small else items).select(
+    item = (F.broadcast(items) if count <= BROADCAST_ITEMS else items).select(
         "item_key", "item_id", "item_windows", F.col("pos").alias("item_pos"), "hash",
         F.col("words").alias("item_words"), F.col("slots").alias("item_slots"))
     hits = at.join(item, "hash").where(F.col("words") == F.col("item_words"))

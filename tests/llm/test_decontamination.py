@@ -102,6 +102,7 @@ def test_without_broadcast_and_empty(spark, monkeypatch):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     want = rows(D.contaminated(docs, items))
     monkeypatch.setattr(D, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(D, "BROADCAST_ITEMS", 0)
     assert rows(D.contaminated(docs, items)) == want and len(want) == 2
     assert D.contaminated(docs.limit(0), items).count() == 0
     assert D.contaminated(docs, items.limit(0)).count() == 0
