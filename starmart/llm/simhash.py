@@ -31,6 +31,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 FULL_KEY = 128
+TASK_FINGERPRINTS = 20_000  # keyed by one task: about a million keys
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and length
 
 
@@ -134,7 +135,8 @@ def links(fingerprints: DataFrame, full_key: int = FULL_KEY) -> DataFrame:
     """Edges ``a, b`` between different fingerprints (a column ``fingerprint`` without repeats) whose components
     are those of all links of at most 3 bits."""
     spark = fingerprints.sparkSession
-    table_of_keys = fingerprints.select("fingerprint").mapInArrow(keyed, "key long, fingerprint long")
+    tasks = max(1, -(-fingerprints.count() // TASK_FINGERPRINTS))  # a small table would be read by few tasks
+    table_of_keys = fingerprints.select("fingerprint").repartition(tasks, "fingerprint").mapInArrow(keyed, "key long, fingerprint long")
     sizes = table_of_keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = written(spark, table_of_keys.join(written(spark, sizes, "simhash-keys"), "key"), "simhash-shared")
     pairs = shared.where(F.col("members") <= full_key)
