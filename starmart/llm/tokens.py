@@ -17,7 +17,7 @@ import os
 import numpy as np
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 17
 LATIN_END = "\u0250"  # below it, all libraries agree on what a letter is
 LONG_WORD = 256
 _LOADED: dict[str, "WordTokenizer"] = {}
