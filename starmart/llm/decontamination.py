@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.llm.arrays import let
 from starmart.llm.common import table, written
 
 WINDOW = 8
@@ -33,11 +34,6 @@ UNITS = ("mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "mile", "miles",
          "dollars", "euro", "euros", "cent", "cents", "percent", "mph", "kmh", "degrees", "watts", "volts")
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def is_number(token: Column) -> Column:
     return (token >= "0") & (token < ":")
 
