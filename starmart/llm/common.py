@@ -2,10 +2,49 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.session import scratch_path
+import starmart
+from starmart.session import file_system, scratch_path
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: a zip of its sources in the shared folder, added with
+    ``addPyFile``. Tasks import the modules their functions come from, and executors need not have them installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(starmart.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, str(source.relative_to(root.parent)))
+    path = f"{scratch_path(spark, 'sources')}/starmart.zip"
+    files, cls = file_system(spark, path)
+    stream = files.create(cls(path))
+    stream.write(packed.getvalue())
+    stream.close()
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def shipped(function: Callable) -> Callable:
+    """A query or stage (its first argument is the session) that ships the package first."""
+    @wraps(function)
+    def run(spark: SparkSession, *args):
+        ship_package(spark)
+        return function(spark, *args)
+
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

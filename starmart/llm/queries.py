@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from starmart.llm import decontamination, language, lm, packing, pii, quality, rollups, simhash, topk, toxicity
+from starmart.llm.common import shipped
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -18,5 +19,6 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op9_token_rollups": rollups.op9_token_rollups,
 }
+QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 
 ORACLE: dict[str, str] = {"op6_topk": topk.ORACLE}
