@@ -119,3 +119,23 @@ def test_given_tables(spark):
     docs = duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet'").fetchall()
     items = duckdb.sql(f"SELECT item_id, text FROM '{sf}/benchmark.parquet'").fetchall()
     assert rows(D.op7_decontamination(spark, sf)) == brute(docs, items)
+
+
+APPLES = ("Alice has 3 red apples in a box. Bob gives her 5 more green apples today. Alice eats 2 of them at home. "
+          "How many apples are left?")
+
+
+def found_by_leaked(spark, docs, items):
+    return rows(D.leaked(spark.createDataFrame(docs, "doc_id long, text string"),
+                         spark.createDataFrame(items, "item_id long, text string")))
+
+
+def test_names_at_sentence_starts_and_letter_case(spark):
+    changed = APPLES.replace("Alice", "Maria").replace("Bob", "Peter").replace("3", "7").replace("5", "9")
+    docs = [(1, changed), (2, f"and then {changed} and so on"), (3, APPLES.upper()), (4, APPLES.title()),
+            (5, APPLES.lower()), (6, ITEM.upper()), (7, "Alice has 3 red apples in a box. Nothing else is known here."),
+            (8, "Nothing of the kind."), (9, None), (10, changed.upper())]
+    got = found_by_leaked(spark, docs, [(1, APPLES), (2, ITEM)])
+    assert {k for k in got} >= {(d, 1) for d in (1, 2, 3, 4, 5)} | {(6, 2)}
+    assert not {k[0] for k in got} & {7, 8, 9}
+    assert got[(3, 1)][2] and not got[(1, 1)][2]
