@@ -15,7 +15,7 @@ shorter item) are found consistently; six windows of eight are thirteen tokens.
 ``contaminated`` is this rule alone. The query and the pipeline use ``leaked``, which adds what it misses: texts are
 also looked up by templates in which every capitalised word is a name and in which none is (case-free), and
 where any window is shared the item is compared token by token, so names at sentence starts are slots too, and copies
-in other letter case are found.
+in other letter case are found. There only the windows that hold a contradicting slot pair are dropped.
 """
 
 from __future__ import annotations
@@ -192,9 +192,9 @@ def typed_tokens(text: Column, words: bool = True) -> Column:
                 .when(F.coalesce(is_number(before), F.lit(False)) & low.isin(*UNITS), F.lit(IS_UNIT))
                 .when(upper, F.when((i > 0) & ~is_stop(before), F.lit(IS_NAME)).otherwise(F.lit(IS_FIRST)))
                 .otherwise(F.lit(IS_WORD)))
-        word = let(kind, lambda k: F.struct(
-            k.alias("kind"), F.xxhash64(F.when(k == IS_NUMBER, F.lit(NUMBER)).when(k == IS_UNIT, F.lit(UNIT))
-                                        .otherwise(low)).alias("hash"), *([low.alias("low")] if words else [])))
+        free = F.when(is_number(t), F.lit(NUMBER)).when(
+            F.coalesce(is_number(before), F.lit(False)) & low.isin(*UNITS), F.lit(UNIT)).otherwise(low)
+        word = F.struct(kind.alias("kind"), F.xxhash64(free).alias("hash"), *([low.alias("low")] if words else []))
         return F.when(~is_stop(t), word)
 
     return let(raw_tokens(text), lambda tokens: F.filter(
@@ -210,9 +210,8 @@ def template_hashes(tokens: Column) -> list[Column]:
 
 
 def text_hashes(text: Column) -> Column:
-    """The different window hashes of a text by any template."""
-    return let(typed_tokens(text, words=False), lambda tokens: F.array_distinct(
-        F.concat(*map(window_hashes, template_hashes(tokens)))))
+    """The window hashes of a text by all templates."""
+    return let(typed_tokens(text, words=False), lambda tokens: F.concat(*map(window_hashes, template_hashes(tokens))))
 
 
 def is_plain(token: Column) -> Column:
@@ -257,11 +256,52 @@ def compared(item: Column, doc: Column, shift: Column) -> Column:
 
 
 def good_pairs(pairs: Column) -> Column:
-    """The slot pairs of an alignment that agree: all or none."""
-    each = F.array_distinct(pairs)
-    return let(each, lambda e: F.when(
-        (F.size(F.array_distinct(F.transform(e, lambda p: p["a"]))) == F.size(e))
-        & (F.size(F.array_distinct(F.transform(e, lambda p: p["b"]))) == F.size(e)), e).otherwise(F.slice(e, 1, 0)))
+    """The slot pairs of an alignment that hold: the most frequent partner of each item value (of equally frequent
+    ones the same value, then the least) and, for names, also of each document value. Different numbers may become
+    the same one."""
+    counted = let(pairs, lambda all_: F.transform(F.array_distinct(all_), lambda p: F.struct(
+        F.size(F.filter(all_, lambda q: q == p)).alias("n"), (p["a"] == p["b"]).alias("same"), p.alias("p"))))
+
+    def beaten(p: Column, e: Column) -> Column:
+        rival = lambda q: (((q["p"]["a"] == p["p"]["a"]) & (q["p"]["b"] != p["p"]["b"]))
+                           | (p["p"]["name"] & q["p"]["name"] & (q["p"]["b"] == p["p"]["b"])
+                              & (q["p"]["a"] != p["p"]["a"])))
+        order = lambda q, than: (q["n"] > than["n"]) | ((q["n"] == than["n"]) & (
+            (q["same"] & ~than["same"]) | ((q["same"] == than["same"]) & (
+                F.concat_ws(" ", q["p"]["b"], q["p"]["a"]) < F.concat_ws(" ", than["p"]["b"], than["p"]["a"])))))
+        return F.exists(e, lambda q: rival(q) & order(q, p))
+
+    return let(counted, lambda e: F.transform(F.filter(e, lambda p: ~beaten(p, e)), lambda p: p["p"]))
+
+
+def counting_windows(both: Column, starts: Column) -> Column:
+    """``array<struct<item_pos, same>>``: the windows that fit and hold no contradicting slot pair.
+
+    Every step is bound once (``let``), so that the optimizer does not repeat it inside the next one.
+    """
+    def window(i: Column) -> Column:
+        return F.slice(both, i + 1, WINDOW)
+
+    fitting = F.filter(starts, lambda i: let(window(i), lambda w: F.forall(w, lambda t: t["fits"]) & (
+        F.size(F.filter(w, lambda t: t["equal"] & t["plain"])) >= MIN_WORDS)))
+
+    def pairs(fits: Column) -> Column:
+        return F.transform(F.filter(F.transform(both, lambda t, i: F.struct(t.alias("t"), i.alias("i"))),
+                                    lambda x: x["t"]["a"].isNotNull() & F.exists(
+                                        fits, lambda j: (j <= x["i"]) & (x["i"] < j + WINDOW))),
+                           lambda x: F.struct(x["t"]["a"].alias("a"), x["t"]["b"].alias("b"),
+                                              x["t"]["name"].alias("name")))
+
+    def agreeing(fits: Column, good: Column) -> Column:
+        def one(i: Column) -> Column:
+            slots = F.filter(window(i), lambda t: t["a"].isNotNull())
+            return let(slots, lambda w: let(F.forall(w, lambda t: t["a"] == t["b"]), lambda same: F.when(
+                same | F.forall(w, lambda t: F.exists(good, lambda g: (g["a"] == t["a"]) & (g["b"] == t["b"]))),
+                F.struct(i.alias("item_pos"), same.alias("same")))))
+
+        return F.filter(F.transform(fits, one), lambda w: w.isNotNull())
+
+    return let(fitting, lambda fits: let(good_pairs(pairs(fits)), lambda good: agreeing(fits, good)))
 
 
 def aligned_matches(suspects: DataFrame, items: DataFrame, count: int) -> DataFrame:
@@ -279,23 +319,10 @@ def aligned_matches(suspects: DataFrame, items: DataFrame, count: int) -> DataFr
     rows = (places.join(tokens, F.col("at_id").eqNullSafe(F.col("doc_id")) & (F.col("at_hash") == F.col("text_hash")))
             .join(F.broadcast(items) if count <= BROADCAST_ITEMS else items, "item_key")
             .select("doc_id", "text_hash", "item_key", "item_id", "starts",
-                    compared(F.col("tokens"), F.col("doc_tokens"), F.col("shift")).alias("both")))
-    fitting = F.filter("starts", lambda i: let(F.slice("both", i + 1, WINDOW), lambda w: F.forall(
-        w, lambda t: t["fits"]) & (F.size(F.filter(w, lambda t: t["equal"] & t["plain"])) >= MIN_WORDS)))
-    rows = rows.withColumn("fitting", fitting).where(F.size("fitting") > 0)
-    covered = F.filter(F.transform("both", lambda t, i: F.when(
-        t["a"].isNotNull() & F.exists("fitting", lambda j: (j <= i) & (i < j + WINDOW)),
-        F.struct(t["a"].alias("a"), t["b"].alias("b"), t["name"].alias("name")))), lambda p: p.isNotNull())
-    rows = rows.withColumn("good", good_pairs(covered))
-
-    def agreeing(i: Column) -> Column:
-        slots = F.filter(F.slice("both", i + 1, WINDOW), lambda t: t["a"].isNotNull())
-        return let(slots, lambda w: let(F.forall(w, lambda t: t["a"] == t["b"]), lambda same: F.when(
-            same | F.forall(w, lambda t: F.exists("good", lambda g: (g["a"] == t["a"]) & (g["b"] == t["b"]))),
-            F.struct(i.alias("item_pos"), same.alias("same")))))
-
+                    let(compared(F.col("tokens"), F.col("doc_tokens"), F.col("shift")),
+                        lambda both: counting_windows(both, F.col("starts"))).alias("windows")))
     each = (rows.select("doc_id", "text_hash", "item_key", "item_id", F.size("starts").alias("item_windows"),
-                        F.inline(F.filter(F.transform("fitting", agreeing), lambda w: w.isNotNull())))
+                        F.inline("windows"))
             .groupBy("doc_id", "text_hash", "item_key", "item_id", "item_windows")
             .agg(F.count_distinct("item_pos").alias("matched_windows"), F.min("same").alias("exact")))
     enough = F.col("matched_windows") >= F.least(F.lit(MIN_WINDOWS), F.col("item_windows"))

@@ -139,3 +139,18 @@ def test_names_at_sentence_starts_and_letter_case(spark):
     assert {k for k in got} >= {(d, 1) for d in (1, 2, 3, 4, 5)} | {(6, 2)}
     assert not {k[0] for k in got} & {7, 8, 9}
     assert got[(3, 1)][2] and not got[(1, 1)][2]
+
+
+VIENNA = ("The old opera house in Vienna was built by two architects who never saw it finished, because one of them died "
+          "before the opening night and the other soon after it. Visitors who come to the city today can still walk "
+          "through the long halls of the house, and many of them say that nothing else in Vienna is as quiet in the "
+          "early morning hours.")
+BIRDS = "In a small cage there are 3 birds and 5 cats sit around it all day waiting for the door."
+
+
+def test_only_windows_with_a_contradiction_are_dropped(spark):
+    docs = [(1, VIENNA.replace("else in Vienna", "else in Prague")), (2, BIRDS.replace("3", "4").replace("5", "4")),
+            (3, WRONG), (4, VIENNA)]
+    got = found_by_leaked(spark, docs, [(1, VIENNA), (2, BIRDS), (3, ITEM)])
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 1)}
+    assert D.MIN_WINDOWS <= got[(1, 1)][0] < got[(4, 1)][0] and got[(2, 2)][0] == got[(2, 2)][1]
