@@ -16,6 +16,8 @@ shorter item) are found consistently; six windows of eight are thirteen tokens.
 also looked up by templates in which every capitalised word is a name and in which none is (case-free), and
 where any window is shared the item is compared token by token, so names at sentence starts are slots too, and copies
 in other letter case are found. There only the windows that hold a contradicting slot pair are dropped.
+Items of less than ``SHORT`` tokens must be found whole, down to four tokens with two words; shorter ones, and longer
+ones without a window of ``MIN_WORDS`` words, are not looked up.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from starmart.llm.common import table, written
 WINDOW = 8
 MIN_WINDOWS = 6
 MIN_WORDS = 4
+SHORT = WINDOW + MIN_WINDOWS - 1  # shorter items must be found whole
+LEAST_TOKENS, LEAST_WORDS = WINDOW // 2, 2  # of an item shorter than a window; less than that says nothing
 BROADCAST_WINDOWS = 1_000_000  # up to so many hashes of benchmark windows (8 bytes each) are broadcast,
 BROADCAST_ITEMS = 100_000  # and so many windows with their words and slots (some 200 bytes each)
 TOKEN = r"\p{L}[\p{L}\p{M}]*+|[0-9]++(?:[.,][0-9]++)*+|[.!?\n]"
@@ -209,31 +213,61 @@ def template_hashes(tokens: Column) -> list[Column]:
             F.transform(tokens, lambda t: t["hash"])]
 
 
-def text_hashes(text: Column) -> Column:
-    """The window hashes of a text by all templates."""
-    return let(typed_tokens(text, words=False), lambda tokens: F.concat(*map(window_hashes, template_hashes(tokens))))
+def sequence_hashes(hashes: Column, length: int) -> Column:
+    """Hashes of all sequences of ``length`` tokens, from half a window to less than a window."""
+    step = 1
+    while step < WINDOW // 2:
+        hashes = joined_hashes(hashes, step)
+        step *= 2
+    return joined_hashes(hashes, length - WINDOW // 2)
+
+
+def text_hashes(text: Column, lengths: list[int]) -> Column:
+    """The hashes of a text by all templates: windows, and the sequences as long as a shorter item."""
+    return let(typed_tokens(text, words=False), lambda tokens: F.concat(*(
+        x for h in template_hashes(tokens) for x in (window_hashes(h), *(sequence_hashes(h, n) for n in lengths)))))
 
 
 def is_plain(token: Column) -> Column:
     return ~token["kind"].isin(IS_NUMBER, IS_UNIT)
 
 
-def placed_hashes(tokens: Column) -> Column:
-    """``array<struct<pos, hash>>`` of the windows by any template."""
-    return F.array_distinct(F.concat(*(F.transform(window_hashes(h), lambda x, i: F.struct(
-        i.alias("pos"), x.alias("hash"))) for h in template_hashes(tokens))))
+def placed_hashes(tokens: Column, lengths: list[int], own: bool = False) -> Column:
+    """``array<struct<pos, hash>>`` of ``text_hashes``; with ``own`` only sequences that are the whole text."""
+    def placed(hashes: Column) -> Column:
+        return F.transform(hashes, lambda x, i: F.struct(i.alias("pos"), x.alias("hash")))
+
+    none = F.array().cast("array<struct<pos:int,hash:bigint>>")
+    return let(tokens, lambda t: F.array_distinct(F.concat(*(
+        x for h in template_hashes(t) for x in (placed(window_hashes(h)), *(
+            F.when(F.size(t) == n, placed(sequence_hashes(h, n))).otherwise(none) if own
+            else placed(sequence_hashes(h, n)) for n in lengths))))))
 
 
 def benchmark_tokens(benchmark: DataFrame) -> DataFrame:
-    """``item_id, item_key, tokens, starts``: the items and where their windows with ``MIN_WORDS`` words start."""
+    """``item_id, item_key, tokens, width, starts, keyed``: the items, how wide their windows are, and where those that
+    count and those that are looked up start.
+
+    Windows with ``MIN_WORDS`` words are looked up. In an item of ``SHORT`` or more tokens only these count; in a
+    shorter one all do, so its whole sequence is compared. An item shorter than a window is one window.
+    """
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).distinct()
     items = items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"),
                          typed_tokens(F.col("text")).alias("tokens"))
     size = F.size("tokens")
-    starts = F.when(size >= WINDOW, F.filter(F.sequence(F.lit(0), size - WINDOW), lambda i: F.size(
-        F.filter(F.slice("tokens", i + 1, WINDOW), is_plain)) >= MIN_WORDS)).otherwise(
-            F.array().cast("array<int>"))
-    return items.withColumn("starts", starts).where(F.size("starts") > 0)
+    items = items.where(size >= LEAST_TOKENS).withColumn("width", F.least(size, F.lit(WINDOW)))
+    every = F.sequence(F.lit(0), size - F.col("width"))
+    words = F.when(size < WINDOW, F.lit(LEAST_WORDS)).otherwise(F.lit(MIN_WORDS))
+    keyed = F.filter(every, lambda i: F.size(F.filter(F.slice("tokens", i + 1, F.col("width")), is_plain)) >= words)
+    items = items.withColumn("keyed", keyed).where(F.size("keyed") > 0)
+    return items.withColumn("starts", F.when(size < SHORT, every).otherwise(F.col("keyed")))
+
+
+def looked_up(items: DataFrame) -> DataFrame:
+    """``item_key, item_pos, hash`` of the windows of ``benchmark_tokens``."""
+    own = placed_hashes(F.col("tokens"), list(range(LEAST_TOKENS, WINDOW)), own=True)
+    return (items.select("item_key", "keyed", F.inline(own)).where(F.array_contains("keyed", F.col("pos")))
+            .select("item_key", F.col("pos").alias("item_pos"), "hash"))
 
 
 def compared(item: Column, doc: Column, shift: Column) -> Column:
@@ -274,21 +308,23 @@ def good_pairs(pairs: Column) -> Column:
     return let(counted, lambda e: F.transform(F.filter(e, lambda p: ~beaten(p, e)), lambda p: p["p"]))
 
 
-def counting_windows(both: Column, starts: Column) -> Column:
+def counting_windows(both: Column, starts: Column, width: Column) -> Column:
     """``array<struct<item_pos, same>>``: the windows that fit and hold no contradicting slot pair.
 
+    A window needs ``MIN_WORDS`` equal words; a word for word copy of one in a short item does not.
     Every step is bound once (``let``), so that the optimizer does not repeat it inside the next one.
     """
     def window(i: Column) -> Column:
-        return F.slice(both, i + 1, WINDOW)
+        return F.slice(both, i + 1, width)
 
     fitting = F.filter(starts, lambda i: let(window(i), lambda w: F.forall(w, lambda t: t["fits"]) & (
-        F.size(F.filter(w, lambda t: t["equal"] & t["plain"])) >= MIN_WORDS)))
+        (F.size(F.filter(w, lambda t: t["equal"] & t["plain"])) >= MIN_WORDS)
+        | ((F.size(both) < SHORT) & F.forall(w, lambda t: t["equal"])))))
 
     def pairs(fits: Column) -> Column:
         return F.transform(F.filter(F.transform(both, lambda t, i: F.struct(t.alias("t"), i.alias("i"))),
                                     lambda x: x["t"]["a"].isNotNull() & F.exists(
-                                        fits, lambda j: (j <= x["i"]) & (x["i"] < j + WINDOW))),
+                                        fits, lambda j: (j <= x["i"]) & (x["i"] < j + width))),
                            lambda x: F.struct(x["t"]["a"].alias("a"), x["t"]["b"].alias("b"),
                                               x["t"]["name"].alias("name")))
 
@@ -304,15 +340,13 @@ def counting_windows(both: Column, starts: Column) -> Column:
     return let(fitting, lambda fits: let(good_pairs(pairs(fits)), lambda good: agreeing(fits, good)))
 
 
-def aligned_matches(suspects: DataFrame, items: DataFrame, count: int) -> DataFrame:
+def aligned_matches(suspects: DataFrame, items: DataFrame, count: int, lengths: list[int]) -> DataFrame:
     """Matches token by token: every place where a window of an item and one of a document have a common template is
     compared over the whole item; windows count whose tokens fit, with ``MIN_WORDS`` equal words and agreeing slots."""
     tokens = written(suspects.sparkSession, suspects.select(
         "doc_id", "text_hash", typed_tokens(F.col("text")).alias("doc_tokens")).distinct(), "contamination-tokens")
-    item_at = (items.select("item_key", "starts", F.inline(placed_hashes(F.col("tokens"))))
-               .where(F.array_contains("starts", F.col("pos")))
-               .select("item_key", F.col("pos").alias("item_pos"), "hash"))
-    places = (tokens.select("doc_id", "text_hash", F.inline(placed_hashes(F.col("doc_tokens"))))
+    item_at = looked_up(items)
+    places = (tokens.select("doc_id", "text_hash", F.inline(placed_hashes(F.col("doc_tokens"), lengths)))
               .join(F.broadcast(item_at) if count <= BROADCAST_ITEMS else item_at, "hash")
               .select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), "item_key",
                       (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
@@ -320,7 +354,7 @@ def aligned_matches(suspects: DataFrame, items: DataFrame, count: int) -> DataFr
             .join(F.broadcast(items) if count <= BROADCAST_ITEMS else items, "item_key")
             .select("doc_id", "text_hash", "item_key", "item_id", "starts",
                     let(compared(F.col("tokens"), F.col("doc_tokens"), F.col("shift")),
-                        lambda both: counting_windows(both, F.col("starts"))).alias("windows")))
+                        lambda both: counting_windows(both, F.col("starts"), F.col("width"))).alias("windows")))
     each = (rows.select("doc_id", "text_hash", "item_key", "item_id", F.size("starts").alias("item_windows"),
                         F.inline("windows"))
             .groupBy("doc_id", "text_hash", "item_key", "item_id", "item_windows")
@@ -335,14 +369,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(spark, benchmark_windows(benchmark), "benchmark-windows")
     tokens = written(spark, benchmark_tokens(benchmark), "benchmark-tokens")
     count = items.count()
-    hashes = tokens.select(F.inline(placed_hashes(F.col("tokens"))), "starts").where(
-        F.array_contains("starts", F.col("pos"))).select("hash")
+    lengths = sorted(r["width"] for r in tokens.select("width").where(F.col("width") < WINDOW).distinct().collect())
+    hashes = looked_up(tokens).select("hash")
     hashes = written(spark, hashes.union(items.select("hash")).distinct(), "benchmark-hashes")
     wide = hashes.count()
-    suspects = suspected(docs, hashes, wide, text_hashes)
+    suspects = suspected(docs, hashes, wide, lambda t: text_hashes(t, lengths))
     suspects = written(spark, suspects, "contamination-suspects")
     rows = (template_matches(suspects, items, count).withColumn("first", F.lit(True))
-            .unionByName(aligned_matches(suspects, tokens, wide).withColumn("first", F.lit(False))))
+            .unionByName(aligned_matches(suspects, tokens, wide, lengths).withColumn("first", F.lit(False))))
     best = F.max(F.struct("first", "matched_windows", "item_windows", "exact"))
     return rows.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("m")).select(
         "doc_id", "text_hash", "item_id", "m.matched_windows", "m.item_windows", "m.exact")

@@ -154,3 +154,14 @@ def test_only_windows_with_a_contradiction_are_dropped(spark):
     got = found_by_leaked(spark, docs, [(1, VIENNA), (2, BIRDS), (3, ITEM)])
     assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 1)}
     assert D.MIN_WINDOWS <= got[(1, 1)][0] < got[(4, 1)][0] and got[(2, 2)][0] == got[(2, 2)][1]
+
+
+def test_short_items_are_found_whole(spark):
+    france, water = "What is the capital city of France?", "What is the boiling point of pure water at sea level?"
+    items = [(1, france), (2, water), (3, "What is 2 + 3?"), (4, "too short"), (5, "")]
+    docs = [(1, f"see here {france} Paris"), (2, f"Question: {water} Answer"), (3, water.upper()), (4, "so What is 2 + 3?"),
+            (5, "What is 2 + 4?"), (6, france.replace("France", "Italy")), (7, "What is the capital city of a large land?"),
+            (8, "The boiling point of pure water at sea level is known."), (9, "this is too short")]
+    got = found_by_leaked(spark, docs, items)
+    assert set(got) == {(1, 1), (2, 2), (3, 2), (4, 3), (6, 1)}
+    assert got[(1, 1)] == (1, 1, True) and not got[(6, 1)][2]
