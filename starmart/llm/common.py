@@ -70,7 +70,10 @@ def written(spark: SparkSession, df: DataFrame, name: str, codec: str = "zstd")
 
 def hashed_sample(df: DataFrame, key: Column, rows: int, count: int) -> DataFrame:
     """About ``rows`` of ``count`` rows, chosen by a hash of ``key`` (the same rows on every run)."""
-    if count <= rows:
-        return df
-    share = min(1.0, rows / count)
-    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    return df if count <= rows else df.where(in_sample(key, rows, count))
+
+
+def in_sample(key: Column, rows: int, count: int) -> Column:
+    """Whether ``hashed_sample`` takes a row."""
+    share = min(1.0, rows / count) if count else 1.0
+    return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))

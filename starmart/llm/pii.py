@@ -11,8 +11,9 @@ digit runs, phone numbers without a plus). Gradient-boosted trees score every pr
 groups, separators, ends) and context (the characters around it, words that announce personal data). They learn from
 a bounded sample of documents: proposals that are a checked base span are positive. The checks themselves (Luhn, the
 range of parts) are no features, so proposals that look and stand like checked ones score high. Per kind the
-threshold is the lowest score at which the positives make ``PRECISION`` of the held-out proposals. Proposals above
-it are added where they overlap no base span and no earlier proposal. The trees become one SQL expression.
+threshold is the lowest score at which the positives make ``PRECISION`` of the proposals of all documents the trees
+have not learned from. Proposals above it are added where they overlap no base span and no earlier proposal. The trees
+become one SQL expression.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.arrays import largest, least, let, scan, shifted, total
-from starmart.llm.common import hashed_sample, table, written
+from starmart.llm.common import in_sample, table, written
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = r"[A-Za-z0-9._%+-]"
@@ -169,32 +170,35 @@ class Model:
         return chosen
 
 
-def training_cells(docs: DataFrame) -> DataFrame:
-    """Proposals of the sampled documents counted by features, label and part (3 in 4 rows train): a small table."""
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    sample = hashed_sample(rows, F.col("text"), SAMPLE_DOCS, rows.count())
-    part = (F.pmod(F.xxhash64(F.lit("part"), "pii_text"), F.lit(4)) > 0).cast("int")
-    df = with_base(sample, []).select("base", part.alias("train"),
-                                      proposals(F.col("pii_text"), F.col("pii_digit")).alias("proposed"))
-    # the arrays of the sample are written, so that no later step computes them again
-    df = written(docs.sparkSession, df, "pii-proposals").select("base", "train", F.explode("proposed").alias("p"))
+def labelled_cells(docs: DataFrame, name: str) -> DataFrame:
+    """Proposals of the documents (``doc_id, text``) counted by features and label: a small table."""
+    df = with_base(docs, []).select("base", proposals(F.col("pii_text"), F.col("pii_digit")).alias("proposed"))
+    # the arrays are written, so that no later step computes them again
+    df = written(docs.sparkSession, df, name).select("base", F.explode("proposed").alias("p"))
     label = F.array_contains("base", F.struct(F.col("p.start"), F.col("p.kind"), F.col("p.end")))
-    return (df.select("train", label.cast("int").alias("label"), "p.kind", *(F.col(f"p.{f}") for f in FEATURES))
-            .groupBy("train", "label", "kind", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("n")))
+    return (df.select(label.cast("int").alias("label"), "p.kind", *(F.col(f"p.{f}") for f in FEATURES))
+            .groupBy("label", "kind", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("n")))
 
 
 def fit(docs: DataFrame) -> Model:
-    """Boosted trees and thresholds; without positive and negative proposals nothing is ever added."""
-    cells = written(docs.sparkSession, training_cells(docs).coalesce(1), "pii-cells")
+    """Boosted trees and thresholds; without positive and negative proposals nothing is ever added.
+
+    The trees learn from 3 in 4 rows of the sample; the thresholds come from all other rows of ``docs``.
+    """
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    count = rows.count()
+    part = F.pmod(F.xxhash64(F.lit("part"), "text"), F.lit(4)) > 0
+    train = part & in_sample(F.col("text"), SAMPLE_DOCS, count)
+    cells = written(docs.sparkSession, labelled_cells(rows.where(train), "pii-proposals").coalesce(1), "pii-cells")
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(cells)
-    classes = {r["label"] for r in data.where("train = 1").select("label").distinct().collect()}
+    classes = {r["label"] for r in data.select("label").distinct().collect()}
     if classes != {0, 1}:
         return Model([], {})
     gbt = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="n", maxIter=TREES, maxDepth=DEPTH,
                         stepSize=STEP, seed=7, minInstancesPerNode=1)
-    fitted = gbt.fit(data.where("train = 1"))
+    fitted = gbt.fit(data)
     model = Model([(w, t.toDebugString) for w, t in zip(fitted.treeWeights, fitted.trees)], {})
-    scores = (cells.where("train = 0")
+    scores = (labelled_cells(rows.where(~train), "pii-proposals-held-out")
               .select("kind", "label", "n", model.score({f: F.col(f) for f in FEATURES}).alias("score"))
               .groupBy("kind", "score").agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("hits"))
               .collect())

@@ -136,3 +136,9 @@ def test_plan_is_native_and_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     df = P.find_pii(empty)
     assert df.count() == 0 and "Python" not in df._jdf.queryExecution().toString()
+
+
+def test_thresholds_come_from_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(P, "SAMPLE_DOCS", 200)  # its held-out quarter has about 10 documents of a kind
+    df = spark.createDataFrame(corpus(), "doc_id long, text string")
+    assert {P.KINDS.index("card"), P.KINDS.index("email")} <= set(P.fit(df).thresholds)
