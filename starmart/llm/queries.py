@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from starmart.llm import decontamination, hyperminhash, language, lm, packing, pii, quality, rollups, runs, simhash, topk, toxicity
+from starmart.llm import (collocations, decontamination, hyperminhash, language, lm, packing, pii, quality, rollups, runs,
+                          simhash, topk, toxicity)
 from starmart.llm.common import shipped
 
 QUERIES = {
@@ -18,9 +19,10 @@ QUERIES = {
     "op10_lm_scores": lm.op10_lm_scores,
     "pipeline": corpus_pipeline.run,
     "op9_token_rollups": rollups.op9_token_rollups,
+    "op11_collocations": collocations.op11_collocations,
     "op12_hyperminhash": hyperminhash.op12_hyperminhash,
     "op13_runs": runs.op13_runs,
 }
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 
-ORACLE: dict[str, str] = {"op6_topk": topk.ORACLE}
+ORACLE: dict[str, str] = {"op6_topk": topk.ORACLE, "op11_collocations": collocations.ORACLE}
