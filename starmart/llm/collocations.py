@@ -361,7 +361,7 @@ WITH lowered AS (
   SELECT doc_id, coalesce(lang, 'und') AS lang,
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
 pieces AS (
-  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), x -> x <> '') AS words
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS words
   FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\n\x0B\f\r]')) AS piece FROM lowered)),
 grams AS (
   SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, words[i] AS w1, words[i + 1] AS w2, words[i + 2] AS w3
