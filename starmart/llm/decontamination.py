@@ -12,12 +12,12 @@ A document is contaminated by an item when at least ``MIN_WINDOWS`` different wi
 shorter item) are found consistently; six windows of eight are thirteen tokens. Windows with fewer than
 ``MIN_WORDS`` ordinary words say too little and are left out on the benchmark side.
 
-``contaminated`` is this rule alone. The query and the pipeline use ``leaked``, which adds what it misses: texts are
-also looked up by templates in which every capitalised word is a name and in which none is (case-free), and
-where any window is shared the item is compared token by token, so names at sentence starts are slots too, and copies
-in other letter case are found. There only the windows that hold a contradicting slot pair are dropped.
-Items of less than ``SHORT`` tokens must be found whole, down to four tokens with two words; shorter ones, and longer
-ones without a window of ``MIN_WORDS`` words, are not looked up.
+``contaminated`` is this rule alone. The query and the pipeline use ``leaked``, which adds what it misses: texts are looked
+up by two templates, one in which every capitalised word is a name and one in which none is (case-free). Sentence starts are
+read both ways on the benchmark side. Documents and items that share a window and are not decided by the rule above are
+compared token by token, so names at sentence starts are slots too, and copies in other letter case are found. There only the
+windows that hold a contradicting slot pair are dropped. Items of less than ``SHORT`` tokens must be found whole. Items that
+no window can stand for (under four tokens, or without enough words) are found where a document is the item and no more.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ WINDOW = 8
 MIN_WINDOWS = 6
 MIN_WORDS = 4
 SHORT = WINDOW + MIN_WINDOWS - 1  # shorter items must be found whole
+TASK_PLACES = 64  # comparisons of one task
 LEAST_TOKENS, LEAST_WORDS = WINDOW // 2, 2  # of an item shorter than a window; less than that says nothing
 BROADCAST_WINDOWS = 1_000_000  # up to so many hashes of benchmark windows (8 bytes each) are broadcast,
 BROADCAST_ITEMS = 100_000  # and so many windows with their words and slots (some 200 bytes each)
@@ -167,7 +168,7 @@ def template_matches(suspects: DataFrame, items: DataFrame, count: int) -> DataF
             .groupBy("doc_id", "text_hash", "item_key", "item_id", "item_windows")
             .agg(F.count_distinct("item_pos").alias("matched_windows"), F.min("same").alias("exact")))
     enough = F.col("matched_windows") >= F.least(F.lit(MIN_WINDOWS), F.col("item_windows"))
-    return each.where(enough).select("doc_id", "text_hash", "item_id", "matched_windows", "item_windows", "exact")
+    return each.where(enough).select("doc_id", "text_hash", "item_key", "item_id", "matched_windows", "item_windows", "exact")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -205,12 +206,22 @@ def typed_tokens(text: Column, words: bool = True) -> Column:
         F.transform(tokens, lambda t, i: typed(tokens, t, i)), lambda t: t.isNotNull()))
 
 
-def template_hashes(tokens: Column) -> list[Column]:
-    """Token hashes of three templates: names inside sentences, all capitalised words as names, no names (case-free)."""
+def template_hashes(tokens: Column, own: bool = False) -> list[Column]:
+    """Token hashes by template: all capitalised words as names, and no names (case-free).
+
+    With ``own``, for the benchmark side, also those in which sentence starts are words, and the first token a name.
+    """
     name = F.xxhash64(F.lit(NAME))
-    return [F.transform(tokens, lambda t: F.when(t["kind"] == IS_NAME, name).otherwise(t["hash"])),
-            F.transform(tokens, lambda t: F.when(t["kind"].isin(IS_NAME, IS_FIRST), name).otherwise(t["hash"])),
-            F.transform(tokens, lambda t: t["hash"])]
+
+    def named(*kinds: int) -> Column:
+        return F.transform(tokens, lambda t: F.when(t["kind"].isin(*kinds), name).otherwise(t["hash"]))
+
+    templates = [named(IS_NAME, IS_FIRST), F.transform(tokens, lambda t: t["hash"])]
+    if own:
+        first = F.transform(tokens, lambda t, i: F.when(t["kind"].isin(IS_NAME, IS_FIRST) | (
+            (i == 0) & (t["kind"] == IS_WORD)), name).otherwise(t["hash"]))
+        templates += [named(IS_NAME), first]
+    return templates
 
 
 def sequence_hashes(hashes: Column, length: int) -> Column:
@@ -224,10 +235,15 @@ def sequence_hashes(hashes: Column, length: int) -> Column:
 
 def text_hashes(text: Column, lengths: list[int]) -> Column:
     """The hashes of a text by all templates: windows, and the sequences as long as a shorter item."""
-    return let(typed_tokens(text, words=False), lambda tokens: F.concat(*(
+    return let(typed_tokens(text, words=False), lambda tokens: F.concat(F.array(whole_hash(tokens)), *(
         x for h in template_hashes(tokens) for x in (window_hashes(h), *(sequence_hashes(h, n) for n in lengths)))))
 
 
+def whole_hash(tokens: Column) -> Column:
+    """One hash of the whole case-free text."""
+    return F.xxhash64(F.lit(0), F.transform(tokens, lambda t: t["hash"]))
+
+
 def is_plain(token: Column) -> Column:
     return ~token["kind"].isin(IS_NUMBER, IS_UNIT)
 
@@ -239,27 +255,29 @@ def placed_hashes(tokens: Column, lengths: list[int], own: bool = False) -> Colu
 
     none = F.array().cast("array<struct<pos:int,hash:bigint>>")
     return let(tokens, lambda t: F.array_distinct(F.concat(*(
-        x for h in template_hashes(t) for x in (placed(window_hashes(h)), *(
+        x for h in template_hashes(t, own) for x in (placed(window_hashes(h)), *(
             F.when(F.size(t) == n, placed(sequence_hashes(h, n))).otherwise(none) if own
             else placed(sequence_hashes(h, n)) for n in lengths))))))
 
 
 def benchmark_tokens(benchmark: DataFrame) -> DataFrame:
-    """``item_id, item_key, tokens, width, starts, keyed``: the items, how wide their windows are, and where those that
+    """``item_id, item_key, tokens, width, whole, starts, keyed``: the items, how wide their windows are, and where those that
     count and those that are looked up start.
 
     Windows with ``MIN_WORDS`` words are looked up. In an item of ``SHORT`` or more tokens only these count; in a
-    shorter one all do, so its whole sequence is compared. An item shorter than a window is one window.
+    shorter one all do, so its whole sequence is compared. An item shorter than a window is one window. An item without a
+    window to look up has ``keyed`` empty; ``whole`` is the hash of its tokens.
     """
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).distinct()
     items = items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"),
                          typed_tokens(F.col("text")).alias("tokens"))
     size = F.size("tokens")
-    items = items.where(size >= LEAST_TOKENS).withColumn("width", F.least(size, F.lit(WINDOW)))
-    every = F.sequence(F.lit(0), size - F.col("width"))
+    items = items.where(size > 0).withColumn("width", F.least(size, F.lit(WINDOW)))
+    every = F.when(size >= LEAST_TOKENS, F.sequence(F.lit(0), size - F.col("width"))).otherwise(F.array().cast("array<int>"))
     words = F.when(size < WINDOW, F.lit(LEAST_WORDS)).otherwise(F.lit(MIN_WORDS))
+    items = items.withColumn("whole", whole_hash(F.col("tokens")))
     keyed = F.filter(every, lambda i: F.size(F.filter(F.slice("tokens", i + 1, F.col("width")), is_plain)) >= words)
-    items = items.withColumn("keyed", keyed).where(F.size("keyed") > 0)
+    items = items.withColumn("keyed", keyed)
     return items.withColumn("starts", F.when(size < SHORT, every).otherwise(F.col("keyed")))
 
 
@@ -340,16 +358,32 @@ def counting_windows(both: Column, starts: Column, width: Column) -> Column:
     return let(fitting, lambda fits: let(good_pairs(pairs(fits)), lambda good: agreeing(fits, good)))
 
 
-def aligned_matches(suspects: DataFrame, items: DataFrame, count: int, lengths: list[int]) -> DataFrame:
+def whole_matches(tokens: DataFrame, items: DataFrame) -> DataFrame:
+    """Documents that are an item which no window can stand for, in any letter case."""
+    short = items.where(F.size("keyed") == 0).select("item_key", "item_id", "whole", "tokens")
+    own = tokens.select("doc_id", "text_hash", "doc_tokens", whole_hash(F.col("doc_tokens")).alias("whole"))
+    low = lambda c: F.transform(c, lambda t: t["low"])
+    return own.join(short, "whole").select(
+        "doc_id", "text_hash", "item_key", "item_id", F.lit(1).cast("long").alias("matched_windows"), F.lit(1).alias("item_windows"),
+        (low(F.col("tokens")) == low(F.col("doc_tokens"))).alias("exact"))
+
+
+def aligned_matches(tokens: DataFrame, items: DataFrame, decided: DataFrame, count: int, lengths: list[int]) -> DataFrame:
     """Matches token by token: every place where a window of an item and one of a document have a common template is
-    compared over the whole item; windows count whose tokens fit, with ``MIN_WORDS`` equal words and agreeing slots."""
-    tokens = written(suspects.sparkSession, suspects.select(
-        "doc_id", "text_hash", typed_tokens(F.col("text")).alias("doc_tokens")).distinct(), "contamination-tokens")
+    compared over the whole item; windows count whose tokens fit, with ``MIN_WORDS`` equal words and agreeing slots.
+    Pairs of document and item that are ``decided`` are left out before the comparison."""
+    spark = tokens.sparkSession
     item_at = looked_up(items)
     places = (tokens.select("doc_id", "text_hash", F.inline(placed_hashes(F.col("doc_tokens"), lengths)))
               .join(F.broadcast(item_at) if count <= BROADCAST_ITEMS else item_at, "hash")
               .select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), "item_key",
-                      (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
+                      (F.col("pos") - F.col("item_pos")).alias("shift")))
+    known = decided.select(F.col("doc_id").alias("known_id"), F.col("text_hash").alias("at_hash"), "item_key").distinct()
+    places = places.join(known, (known["known_id"].eqNullSafe(places["at_id"])) & (known["at_hash"] == places["at_hash"])
+                         & (known["item_key"] == places["item_key"]), "left_anti").distinct()
+    places = written(spark, places, "contamination-places")
+    # a comparison takes much longer than reading its row, so the rows are dealt out by number, not by size
+    places = places.repartition(max(1, -(-places.count() // TASK_PLACES)), "at_hash", "item_key", "shift")
     rows = (places.join(tokens, F.col("at_id").eqNullSafe(F.col("doc_id")) & (F.col("at_hash") == F.col("text_hash")))
             .join(F.broadcast(items) if count <= BROADCAST_ITEMS else items, "item_key")
             .select("doc_id", "text_hash", "item_key", "item_id", "starts",
@@ -360,24 +394,29 @@ def aligned_matches(suspects: DataFrame, items: DataFrame, count: int, lengths:
             .groupBy("doc_id", "text_hash", "item_key", "item_id", "item_windows")
             .agg(F.count_distinct("item_pos").alias("matched_windows"), F.min("same").alias("exact")))
     enough = F.col("matched_windows") >= F.least(F.lit(MIN_WINDOWS), F.col("item_windows"))
-    return each.where(enough).select("doc_id", "text_hash", "item_id", "matched_windows", "item_windows", "exact")
+    return each.where(enough).select("doc_id", "text_hash", "item_key", "item_id", "matched_windows", "item_windows", "exact")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``matches`` and, where it has none, ``aligned_matches``; the documents are scanned once for both."""
+    """``matches`` and, for pairs of document and item without one, ``aligned_matches`` and ``whole_matches``; the documents are
+    scanned once for all."""
     spark = docs.sparkSession
     items = written(spark, benchmark_windows(benchmark), "benchmark-windows")
     tokens = written(spark, benchmark_tokens(benchmark), "benchmark-tokens")
     count = items.count()
-    lengths = sorted(r["width"] for r in tokens.select("width").where(F.col("width") < WINDOW).distinct().collect())
-    hashes = looked_up(tokens).select("hash")
+    lengths = sorted(r["width"] for r in tokens.select("width").where(
+        (F.col("width") < WINDOW) & (F.size("keyed") > 0)).distinct().collect())
+    hashes = looked_up(tokens).select("hash").union(tokens.where(F.size("keyed") == 0).select("whole"))
     hashes = written(spark, hashes.union(items.select("hash")).distinct(), "benchmark-hashes")
     wide = hashes.count()
     suspects = suspected(docs, hashes, wide, lambda t: text_hashes(t, lengths))
     suspects = written(spark, suspects, "contamination-suspects")
-    rows = (template_matches(suspects, items, count).withColumn("first", F.lit(True))
-            .unionByName(aligned_matches(suspects, tokens, wide, lengths).withColumn("first", F.lit(False))))
-    best = F.max(F.struct("first", "matched_windows", "item_windows", "exact"))
+    found = written(spark, template_matches(suspects, items, count), "contamination-found")
+    doc_tokens = written(spark, suspects.select(
+        "doc_id", "text_hash", typed_tokens(F.col("text")).alias("doc_tokens")).distinct(), "contamination-tokens")
+    rows = (found.unionByName(aligned_matches(doc_tokens, tokens, found, wide, lengths))
+            .unionByName(whole_matches(doc_tokens, tokens)))
+    best = F.max(F.struct("matched_windows", "item_windows", "exact"))
     return rows.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("m")).select(
         "doc_id", "text_hash", "item_id", "m.matched_windows", "m.item_windows", "m.exact")
 
@@ -388,7 +427,11 @@ def leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns) that no benchmark item contaminates."""
+    """The rows of ``docs`` (all columns) that no benchmark item contaminates.
+
+    NULL and empty texts are never contaminated and stay, as do repeated rows (all or none); a NULL id is an id like any other
+    here. An empty table stays empty, and without items every row stays.
+    """
     found = written(docs.sparkSession, leaks(docs, benchmark).select(
         F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).distinct(), "contaminated")
     return docs.join(found, docs["doc_id"].eqNullSafe(found["found_id"])
