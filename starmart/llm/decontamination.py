@@ -389,6 +389,8 @@ def aligned_matches(tokens: DataFrame, items: DataFrame, decided: DataFrame, cou
             .select("doc_id", "text_hash", "item_key", "item_id", "starts",
                     let(compared(F.col("tokens"), F.col("doc_tokens"), F.col("shift")),
                         lambda both: counting_windows(both, F.col("starts"), F.col("width"))).alias("windows")))
+    # written first: the filter that Spark derives from a generator would compute the comparison several times over
+    rows = written(spark, rows, "contamination-windows")
     each = (rows.select("doc_id", "text_hash", "item_key", "item_id", F.size("starts").alias("item_windows"),
                         F.inline("windows"))
             .groupBy("doc_id", "text_hash", "item_key", "item_id", "item_windows")
