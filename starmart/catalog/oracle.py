@@ -465,6 +465,17 @@ ORACLE.update({
 })
 
 
+def _update_star_sql() -> str:
+    """All four tables; of a key that occurs again the first row by the other columns."""
+    keys = {"dim_demographics": ["city", "state_code", "race"], "dim_airports": ["ident"], "fact_immigration": ["cicid"]}
+    parts = [f"SELECT 'dim_temperature' AS table_name, * FROM ({dim_temperature(4)})"]
+    for table, key in keys.items():
+        rest = ", ".join(f"{c} ASC NULLS FIRST" for c, _ in STAR_SCHEMAS[table] if c not in key)
+        parts.append(f"""SELECT {_q(table)} AS table_name, * FROM {table}
+  QUALIFY row_number() OVER (PARTITION BY {', '.join(key)} ORDER BY {rest}) = 1""")
+    return f"WITH {star_with()} " + " UNION ALL BY NAME ".join(f"SELECT * FROM ({p})" for p in parts)
+
+
 def _run_etl_sql() -> str:
     rows = []
     for table, cols in STAR_SCHEMAS.items():
@@ -500,9 +511,7 @@ SELECT 'coverage', dimension, matched_keys, {_status('fact_keys = matched_keys')
 ORACLE.update({
     "run_etl": _run_etl_sql(),
     "run_etl_from_files": _run_etl_sql(),
-    "update_star": f"""WITH {star_with()} SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY cicid
-  ORDER BY citizenship_country, residence_country, arrival_date, departure_date NULLS FIRST, age, gender, city, state,
-  visa_type, detailed_visa_type) AS rn FROM fact_immigration) WHERE rn = 1""",
+    "update_star": _update_star_sql(),
     "check_all": _check_all_sql(),
     "arrivals_by_month": f"""WITH {star_with()}
 SELECT CAST(year(arrival_date) AS INTEGER) AS arrival_year, CAST(month(arrival_date) AS INTEGER) AS arrival_month,

@@ -39,13 +39,30 @@ def cast_int(c: ColumnLike) -> Column:
     """Number → int as a cast outside ANSI mode does it, which the original ETL relies on: fractions are cut off,
     NaN becomes 0, and values beyond the range become the nearest int. NULL stays NULL."""
     d = col_of(c).cast("double")
-    inside = F.greatest(F.lit(-2147483648.0), F.least(F.lit(2147483647.0), d))
-    return F.when(F.isnan(d), F.lit(0)).when(d.isNotNull(), inside.cast("int"))
+    inside = F.greatest(F.lit(-2147483648.0), F.least(F.lit(2147483647.0), F.nanvl(d, F.lit(0.0))))
+    return F.when(d.isNotNull(), inside.cast("int"))
+
+
+def day_to_date(day: ColumnLike, epoch: str = SAS_EPOCH) -> Column:
+    """INT days since ``epoch`` → DATE."""
+    return F.date_add(F.lit(epoch).cast("date"), col_of(day))
+
+
+def day_to_date_or_marker(day: ColumnLike, marker: str | None = "N/A", epoch: str = SAS_EPOCH) -> Column:
+    """``epoch_day_to_date_or_marker`` of a column that is INT already (it is named several times, so a cast would
+    be repeated)."""
+    d = col_of(day)
+    as_date = day_to_date(d, epoch)
+    if marker is None:
+        return F.when(d >= 1, as_date).otherwise(F.lit(None).cast("date"))
+    return (F.when(d >= 1, as_date.cast("string"))
+            .when(d.isNull(), F.lit(None).cast("string"))
+            .otherwise(F.lit(marker)))
 
 
 def epoch_day_to_date(days: ColumnLike, epoch: str = SAS_EPOCH) -> Column:
     """Days since ``epoch`` (SAS numeric date) → DATE. Fractions are truncated; NaN is day 0 (see ``cast_int``)."""
-    return F.date_add(F.lit(epoch).cast("date"), cast_int(days))
+    return day_to_date(cast_int(days), epoch)
 
 
 def epoch_day_to_date_or_marker(days: ColumnLike, marker: str | None = "N/A",
@@ -55,13 +72,7 @@ def epoch_day_to_date_or_marker(days: ColumnLike, marker: str | None = "N/A",
     With a marker the result is STRING (``yyyy-MM-dd`` or the marker), as the
     original CASE yields outside ANSI mode. ``marker=None`` gives a DATE.
     """
-    d = cast_int(days)
-    as_date = epoch_day_to_date(d, epoch)
-    if marker is None:
-        return F.when(d >= 1, as_date).otherwise(F.lit(None).cast("date"))
-    return (F.when(d >= 1, as_date.cast("string"))
-            .when(d.isNull(), F.lit(None).cast("string"))
-            .otherwise(F.lit(marker)))
+    return day_to_date_or_marker(cast_int(days), marker, epoch)
 
 
 def age_at_year(birth_year: ColumnLike, year: int) -> Column:

@@ -59,13 +59,23 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
+def _hashable(kind: T.DataType) -> bool:
+    """Can Spark hash values of the type? (maps have no order)"""
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def salted_join(df: DataFrame, right: DataFrame, on: Mapping[str, str], how: str = "inner",
                 salt_buckets: int = DEFAULT_SALT_BUCKETS, null_safe: bool = False) -> DataFrame:
     """Shuffle join in which a key's rows of ``df`` spread over ``salt_buckets`` partitions.
 
-    ``on`` maps columns of ``df`` to columns of ``right``. The salt of a row is
-    its input partition modulo ``salt_buckets``: it spreads rows that are equal
-    in every column, and a task that runs again draws the same salts. Each row
+    ``on`` maps columns of ``df`` to columns of ``right``. The salt of a row comes
+    from its values and its input partition: a key spreads where ``df`` is already
+    partitioned by it, rows that are equal in every column spread over the
+    partitions they come from, and a task that runs again draws the same salts. Each row
     of ``right`` is repeated once per salt, so every row of ``df`` meets it
     once. That holds for inner and left joins; other joins would return the
     repeated rows of ``right`` and are refused. With ``null_safe`` NULL keys
@@ -73,7 +83,8 @@ def salted_join(df: DataFrame, right: DataFrame, on: Mapping[str, str], how: str
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted joins are inner or left, not {how!r}")
-    left = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salt_buckets)))
+    values = [F.col("`" + f.name.replace("`", "``") + "`") for f in df.schema.fields if _hashable(f.dataType)]
+    left = df.withColumn("__salt", F.pmod(F.xxhash64(*values, F.spark_partition_id()), F.lit(salt_buckets)).cast("int"))
     right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
     cond = left["__salt"] == right["__salt_r"]
     for a, b in on.items():

@@ -17,16 +17,17 @@ from pyspark.sql import functions as F
 from starmart.functions import columns as C
 from starmart.functions import constants as K
 from starmart.functions import predicates as P
-from starmart.operators.aggregates import group_avg
 from starmart.operators.joins import (DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_SALT_BUCKETS, fits_broadcast_all,
                                       lookup_join)
 from starmart.operators.profile import table_stats
 from starmart.plans.codes import code_tables
 from starmart.session import file_system
+from starmart.operators.duplicates import first_rows
 from starmart.sources import readers as R
 from starmart.sources import schemas as SC
+from starmart.sources import versions
 from starmart.sources.labels import read_texts
-from starmart.sources.sinks import append_parquet, publish, table_exists, write_parquet
+from starmart.sources.sinks import publish, rows_not_in, table_exists, write_parquet
 
 FACT_COLUMNS = ["cicid", "citizenship_country", "residence_country", "arrival_date", "departure_date",
                 "age", "gender", "city", "state", "visa_type", "detailed_visa_type"]
@@ -53,12 +54,12 @@ def clean_immigration(immigration: DataFrame, marker: str | None = K.UNKNOWN_LAB
     # mode = Air also implies arrival_modes = 'Air', the original's later filter.
     im = im.filter(F.col("i94mode") == K.AIR_MODE).filter(P.is_in("gender", K.KEPT_GENDERS))
     im = im.withColumns({
-        "arrival_date": C.epoch_day_to_date("arrdate"),
-        "departure_date": C.epoch_day_to_date_or_marker("depdate", marker),
+        "arrival_date": C.day_to_date("arrdate"),
+        "departure_date": C.day_to_date_or_marker("depdate", marker),
     })
     if require_valid_stay:
         # Compared as dates: the marker text never takes part in a comparison.
-        im = im.filter(C.epoch_day_to_date_or_marker("depdate", None) >= F.col("arrival_date"))
+        im = im.filter(C.day_to_date_or_marker("depdate", None) >= F.col("arrival_date"))
     return im
 
 
@@ -97,6 +98,47 @@ def explore_fact(immigration: DataFrame, marker: str | None = K.UNKNOWN_LABEL) -
     return clean_immigration(immigration, marker, require_valid_stay=True)
 
 
+TEMPERATURE_KEYS = ["date", "city"]
+MEASURES = {"average_temperature": "AverageTemperature", "average_temperature_uncertainty": "AverageTemperatureUncertainty"}
+
+
+def clean_temperature(temperature: DataFrame, country: str = K.TEMPERATURE_COUNTRY, after: str = K.TEMPERATURE_AFTER,
+                      strict_dates: bool = True) -> DataFrame:
+    """The readings of one country after a day, with ``date`` and ``city`` (stripped and upper-cased)."""
+    t = temperature.filter(F.col("Country") == country).withColumn("date", C.parse_date("dt", strict=strict_dates))
+    return t.filter(P.date_after("date", after)).withColumn("city", C.strip_upper("City"))
+
+
+def temperature_sums(readings: DataFrame, decimals: int | None = None, times: str | None = None) -> DataFrame:
+    """Per (date, city) the sum and the number of readings of each measure, the state that means are merged in.
+
+    With ``decimals`` sums are DECIMAL, so they do not depend on the order of the increments. ``times`` is a column
+    that says how often a row counts.
+    """
+    aggs = []
+    for name, c in MEASURES.items():
+        m, n = F.col(c), F.col(times) if times else F.lit(1)
+        if decimals is not None:
+            m = F.when(~F.isnan(m), m).cast(f"decimal(28,{decimals})")
+            total = F.sum(m * n.cast("decimal(9,0)") if times else m).cast(f"decimal(38,{decimals})")
+        else:
+            total = F.sum(m * n)
+        aggs += [total.alias(f"{name}_sum"), F.sum(F.when(m.isNotNull(), n).otherwise(F.lit(0))).cast("long").alias(f"{name}_n")]
+    return readings.groupBy(*TEMPERATURE_KEYS).agg(*aggs)
+
+
+def temperature_means(sums: DataFrame, digits: int | None = None) -> DataFrame:
+    """The means of ``temperature_sums``; NULL where nothing was read."""
+    def mean(name: str):
+        n = F.col(f"{name}_n")
+        kind = sums.schema[f"{name}_sum"].dataType
+        m = F.col(f"{name}_sum") / F.when(n > 0, n)
+        m = m.cast(f"decimal(34,{kind.scale + 4})") if hasattr(kind, "scale") else m
+        return (F.round(m, digits) if digits is not None else m).cast("double").alias(name)
+
+    return sums.select(*TEMPERATURE_KEYS, *map(mean, MEASURES))
+
+
 def build_dim_temperature(temperature: DataFrame, country: str = K.TEMPERATURE_COUNTRY,
                           after: str = K.TEMPERATURE_AFTER, as_timestamp: bool = False,
                           digits: int | None = None, decimals: int | None = None,
@@ -107,17 +149,22 @@ def build_dim_temperature(temperature: DataFrame, country: str = K.TEMPERATURE_C
     ``strict_dates=False`` its row is dropped by the date filter.
 
     City names are stripped and upper-cased first, so spellings that differ
-    only in case or blanks fall into one row.
+    only in case or blanks fall into one row. ``decimals`` says how many decimals
+    the readings have; they are then summed exactly (a NaN is a missing reading).
     """
-    t = temperature.filter(F.col("Country") == country).withColumn("date", C.parse_date("dt", strict=strict_dates))
-    t = t.filter(P.date_after("date", after)).withColumn("city", C.strip_upper("City"))
-    out = group_avg(t, ["date", "city"], {
-        "average_temperature": "AverageTemperature",
-        "average_temperature_uncertainty": "AverageTemperatureUncertainty",
-    }, digits=digits, decimals=decimals)
+    out = temperature_means(temperature_sums(clean_temperature(temperature, country, after, strict_dates), decimals), digits)
     return out.withColumn("date", F.col("date").cast("timestamp")) if as_timestamp else out
 
 
+def counted_readings(readings: DataFrame) -> DataFrame:
+    """``clean_temperature`` with each different reading once: how often it occurs (``times``) and its 128-bit ``id``."""
+    columns = readings.columns
+    texts = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("")) for c in columns]
+    lengths = [F.length(t).cast("string") for t in texts]  # so that no two rows have the same text
+    ids = readings.withColumn("id", F.md5(F.concat_ws("|", *lengths, *texts)))
+    return ids.groupBy(*columns, "id").agg(F.count(F.lit(1)).alias("times"))
+
+
 def build_dim_airports(airports: DataFrame, excluded_types: Sequence[str] = K.EXCLUDED_AIRPORT_TYPES,
                        country_text: str = K.AIRPORT_COUNTRY_TEXT,
                        region_length: int = K.REGION_CODE_LENGTH) -> DataFrame:
@@ -150,77 +197,150 @@ FACT_KEYS = ["city", "state"]
 DIMENSION_KEYS = {"dim_airports": ["municipality", "state"], "dim_demographics": ["city", "state_code"]}
 
 
-def build_star(sources: Mapping[str, DataFrame], **fact_options) -> dict[str, DataFrame]:
+#: Tables that updates need and readers do not: the sums behind the means, and which readings are in them.
+STATE_TABLES = ("temperature_sums", "temperature_readings")
+FOLDERS = {**{name: name for name in STAR_TABLES}, **{name: f"_state/{name}" for name in STATE_TABLES}}
+TABLE_KEYS = {"dim_demographics": ["city", "state_code", "race"], "dim_temperature": TEMPERATURE_KEYS,
+              "dim_airports": ["ident"], "fact_immigration": ["cicid"]}
+
+
+def build_star(sources: Mapping[str, DataFrame], temperature_options: Mapping[str, object] | None = None,
+               **fact_options) -> dict[str, DataFrame]:
     """All four tables from the sources ``immigration, country_codes, port_codes,
     temperature, airports, demographics``."""
     return {
         "dim_demographics": build_dim_demographics(sources["demographics"]),
-        "dim_temperature": build_dim_temperature(sources["temperature"]),
+        "dim_temperature": build_dim_temperature(sources["temperature"], **(temperature_options or {})),
         "dim_airports": build_dim_airports(sources["airports"]),
         "fact_immigration": build_fact(sources["immigration"], build_country_codes(sources["country_codes"]),
                                        build_port_codes(sources["port_codes"]), **fact_options),
     }
 
 
-TABLE_KEYS = {"dim_demographics": ["city", "state_code", "race"], "dim_temperature": ["date", "city"],
-              "dim_airports": ["ident"], "fact_immigration": ["cicid"]}
+def _state(sources: Mapping[str, DataFrame], options: Mapping[str, object]) -> dict[str, DataFrame]:
+    given = {k: v for k, v in options.items() if k in ("country", "after", "strict_dates")}
+    readings = counted_readings(clean_temperature(sources["temperature"], **given))
+    return {"temperature_sums": temperature_sums(readings, options.get("decimals"), "times"),
+            "temperature_readings": readings.select(*TEMPERATURE_KEYS, "id", "times")}
 
 
 def run_etl(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str, mode: str = "errorifexists",
-            partition_fact_by: Sequence[str] | None = None, concurrent_writes: int = 4) -> DataFrame:
+            partition_fact_by: Sequence[str] | None = None, concurrent_writes: int = 4,
+            temperature_options: Mapping[str, object] | None = None) -> DataFrame:
     """Build and write the star as ``out_dir``; return schema and row counts
     of the written tables (read back from storage).
 
     The tables are written to a staging folder next to ``out_dir``, which is
-    renamed to ``out_dir`` when all four are there. A failed run leaves no part
+    renamed to ``out_dir`` when all of them are there. A failed run leaves no part
     of a star, and can simply be run again. ``mode`` is ``errorifexists`` or
-    ``overwrite``; for increments there is ``update_star``. The tables are
+    ``overwrite``; for increments there is ``update_star``. To overwrite, the new
+    tables become a new version of the star (``sources/versions.py``): readers
+    who come through ``read_star`` see the old star or the new one, and a failure
+    leaves the old one. The tables are
     independent, so their writes are concurrent Spark jobs
     (``concurrent_writes`` at a time). A failed write raises.
     """
     if mode not in ("errorifexists", "overwrite"):
         raise ValueError(f"mode {mode!r}: a star is built new or overwritten; use update_star to add to it")
     out_dir = out_dir.rstrip("/")
-    if mode == "errorifexists" and table_exists(spark, out_dir):
+    exists = table_exists(spark, out_dir)
+    if mode == "errorifexists" and exists:
         raise FileExistsError(out_dir)
-    tables = build_star(sources)
-    staging = f"{out_dir}__staging-{uuid.uuid4().hex[:12]}"
+    options = dict(temperature_options or {})
+    tables = {**build_star(sources, options), **_state(sources, options)}
+    number = versions.current(spark, out_dir, FOLDERS)["version"] + 1 if exists else 1
+    below = versions.new_folder(number)
+    staging = f"{out_dir}/{below}" if exists else f"{out_dir}__staging-{uuid.uuid4().hex[:12]}"
 
     def write(item):
         name, df = item
-        return write_parquet(df, f"{staging}/{name}",
+        return write_parquet(df, f"{staging}/{name if exists else FOLDERS[name]}",
                              partition_by=partition_fact_by if name == "fact_immigration" else None)
 
+    files, path = file_system(spark, out_dir)
     try:
         with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
             list(pool.map(write, tables.items()))
-        files, path = file_system(spark, out_dir)
-        if files.exists(path(out_dir)) and not table_exists(spark, out_dir):
-            files.delete(path(out_dir), True)  # an empty folder
-        publish(spark, staging, out_dir, overwrite=mode == "overwrite")
-    finally:
-        files, path = file_system(spark, staging)
+        if exists:
+            versions.commit(spark, out_dir, number, {name: [f"{below}/{name}"] for name in tables})
+        else:
+            if files.exists(path(out_dir)):
+                files.delete(path(out_dir), True)  # an empty folder
+            publish(spark, staging, out_dir)
+    except BaseException:
         files.delete(path(staging), True)
+        raise
     return table_stats(spark, read_star(spark, out_dir))
 
 
+def _merged_temperature(spark: SparkSession, out_dir: str, stored: Mapping[str, Sequence[str]], readings: DataFrame,
+                        options: Mapping[str, object]) -> tuple[DataFrame, DataFrame]:
+    """The sums with the readings that are new, and which these are. A reading that the increment has more often than all
+    increments before counts for the difference."""
+    counted = counted_readings(readings)
+    if not stored["temperature_readings"]:
+        new = counted
+    else:
+        known = (versions.read(spark, out_dir, stored["temperature_readings"]).groupBy("id")
+                 .agg(F.sum("times").alias("known")))
+        new = (counted.join(known, "id", "left").withColumn("times", F.col("times") - F.coalesce("known", F.lit(0)))
+               .filter(F.col("times") > 0).drop("known"))
+    sums = temperature_sums(new, options.get("decimals"), "times")
+    if stored["temperature_sums"]:
+        both = versions.read(spark, out_dir, stored["temperature_sums"]).unionByName(sums)
+        sums = both.groupBy(*TEMPERATURE_KEYS).agg(*(F.sum(f.name).cast(f.dataType).alias(f.name) for f in sums.schema.fields[2:]))
+    return sums, new.select(*TEMPERATURE_KEYS, "id", "times")
+
+
 def update_star(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str,
-                partition_fact_by: Sequence[str] | None = None) -> DataFrame:
+                partition_fact_by: Sequence[str] | None = None,
+                temperature_options: Mapping[str, object] | None = None) -> DataFrame:
     """Add an increment (a month of arrivals, new rows of the other sources) to the star at ``out_dir``.
 
-    Every table has a key (``TABLE_KEYS``); rows whose key is stored are
-    skipped, and of a key repeated in the increment the first row counts. So an
-    update that failed half-way, or is run twice, ends in the same star. Each
-    table's new files appear together when its write commits; dimensions come
-    before the fact. A missing star is built. ``partition_fact_by`` must be the
+    Arrivals, airports and demographics have a key (``TABLE_KEYS``); rows whose key is stored are
+    skipped, and of a key repeated in the increment the first row counts. Temperatures are means: the new readings are
+    added to the stored sums and counts, and the means follow from these. A reading that was delivered before (a row equal
+    in all columns) counts once, or as often as the increment that has it most often. So an
+    update that is run twice ends in the same star, whatever the increments overlap in. All tables change together when the
+    new version is committed; an update that fails leaves the star as it was. A missing star is built.
+    ``partition_fact_by`` must be the
     columns the fact is stored by; they follow from the arrival, so arrivals
-    are compared within the partitions touched.
+    are compared within the partitions touched. ``temperature_options`` must stay the same over the updates of a star.
     """
-    out_dir = out_dir.rstrip("/")
-    for name, df in build_star(sources).items():
-        parts = partition_fact_by if name == "fact_immigration" else None
-        append_parquet(spark, df, f"{out_dir}/{name}", keys=TABLE_KEYS[name], partition_by=parts,
-                       keys_within_partitions=bool(parts))
+    out_dir, options = out_dir.rstrip("/"), dict(temperature_options or {})
+    stored = versions.current(spark, out_dir, FOLDERS)
+    number, folders = stored["version"] + 1, dict(stored["tables"])
+    if folders["dim_temperature"] and not folders["temperature_sums"]:
+        raise ValueError(f"{out_dir} was built without the sums of its temperatures; build it again with run_etl")
+    below = versions.new_folder(number)
+    files, path = file_system(spark, out_dir)
+
+    def write(name: str, df: DataFrame, **how) -> str:
+        write_parquet(df, f"{out_dir}/{below}/{name}", **how)
+        return f"{below}/{name}"
+
+    try:
+        tables = build_star(sources, options)
+        for name in ("dim_demographics", "dim_airports", "fact_immigration"):
+            parts = partition_fact_by if name == "fact_immigration" else None
+            rows = first_rows(tables[name], TABLE_KEYS[name])
+            if folders[name]:
+                rows = rows_not_in(rows, versions.read(spark, out_dir, folders[name]), TABLE_KEYS[name], parts)
+            added = write(name, rows, partition_by=parts)
+            if not folders[name] or table_exists(spark, f"{out_dir}/{added}"):
+                folders[name] = [*folders[name], added]
+        given = {k: v for k, v in options.items() if k in ("country", "after", "strict_dates")}
+        sums, new = _merged_temperature(spark, out_dir, folders, clean_temperature(sources["temperature"], **given), options)
+        folders["temperature_readings"] = [*folders["temperature_readings"], write("temperature_readings", new)]
+        folders["temperature_sums"] = [write("temperature_sums", sums)]
+        means = temperature_means(versions.read(spark, out_dir, folders["temperature_sums"]), options.get("digits"))
+        if options.get("as_timestamp"):
+            means = means.withColumn("date", F.col("date").cast("timestamp"))
+        folders["dim_temperature"] = [write("dim_temperature", means)]
+        versions.commit(spark, out_dir, number, folders)
+    except BaseException:
+        files.delete(path(f"{out_dir}/{below}"), True)
+        raise
     return table_stats(spark, read_star(spark, out_dir))
 
 
@@ -244,4 +364,7 @@ def run_etl_from_files(spark: SparkSession, paths: Mapping[str, str], out_dir: s
 
 
 def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{out_dir.rstrip('/')}/{name}") for name in STAR_TABLES}
+    """The four tables of the newest version; all of them belong together."""
+    out_dir = out_dir.rstrip("/")
+    folders = versions.current(spark, out_dir, FOLDERS)["tables"]
+    return {name: versions.read(spark, out_dir, folders[name] or [name]) for name in STAR_TABLES}

@@ -62,6 +62,8 @@ def publish(spark: SparkSession, staged: str, target: str, overwrite: bool = Fal
     if parent is not None:
         files.mkdirs(parent)
     if not files.rename(cls(staged), cls(target)):
+        if old and not files.rename(cls(old), cls(target)):
+            raise OSError(f"cannot publish {staged} as {target}; what was there is in {old}")
         raise OSError(f"cannot publish {staged} as {target}")
     if old:
         files.delete(cls(old), True)
@@ -79,9 +81,12 @@ def new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
     increment has rows of (a semi join with its distinct values). So a monthly
     append reads one month of keys, whatever the number of partitions.
     """
-    if not table_exists(spark, path):
-        return df
-    stored = spark.read.parquet(path)
+    return rows_not_in(df, spark.read.parquet(path), keys, within_partitions) if table_exists(spark, path) else df
+
+
+def rows_not_in(df: DataFrame, stored: DataFrame, keys: Sequence[str],
+                within_partitions: Sequence[str] | None = None) -> DataFrame:
+    """``new_rows`` for a stored table that is read already."""
     if within_partitions:
         cols = [sql_ident(c) for c in within_partitions]
         ends = df.agg(*[f(F.col(c)).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))],
