@@ -5,13 +5,16 @@ order (pandas ``df[df[keys].duplicated()]``). One window per key would hold a
 key's rows in one task, and one key may hold a third of the table. So the
 first row is found in two levels:
 
-* rows are numbered per key and input partition. All but the first of such a
-  group are duplicates, whatever other groups hold; a group is never larger
-  than an input partition;
-* the remaining rows (one per key and input partition) are numbered per key.
-
-No row is counted, copied or changed on the way, and the plan does not depend
-on the data.
+* rows are numbered per key, input partition and a salt from their values. All
+  but the first of such a group are duplicates, whatever other groups hold;
+* the firsts (one per key and group) are numbered per key.
+
+Both levels are windows of one chain: in the second one the firsts of a key
+share a group and every other row stays in the group it has. So the input is
+read and numbered once, a key spreads even where the input is already
+partitioned by it, and rows that are equal in every column spread over the
+partitions they come from. No row is counted, copied or changed on the way, and
+the plan does not depend on the data.
 """
 
 from __future__ import annotations
@@ -32,16 +35,17 @@ def _ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[C
     return [F.col(sql_ident(c)).asc_nulls_first() for c in names]
 
 
-def _first_of_partition(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataFrame:
-    own = [F.col(sql_ident(k)) for k in keys]
-    part = df.withColumn("__part", F.spark_partition_id())
-    return part.withColumn("__rn", F.row_number().over(Window.partitionBy(*own, "__part").orderBy(*by)))
+# Groups that a key's rows of one input partition are split into.
+SALT_BUCKETS = 32
 
 
-def _rank_of_firsts(numbered: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataFrame:
+def _numbered_in_groups(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataFrame:
+    """``__rn``: the place of a row among the rows of its key and group; ``__group`` is never 0."""
     own = [F.col(sql_ident(k)) for k in keys]
-    return (numbered.filter(F.col("__rn") == 1)
-            .withColumn("__rn", F.row_number().over(Window.partitionBy(*own).orderBy(*by))))
+    values = [F.col(sql_ident(c)) for c in df.columns]
+    salt = F.pmod(F.xxhash64(*values), F.lit(SALT_BUCKETS))
+    grouped = df.withColumn("__group", F.spark_partition_id().cast("long") * SALT_BUCKETS + salt + 1)
+    return grouped.withColumn("__rn", F.row_number().over(Window.partitionBy(*own, "__group").orderBy(*by)))
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -51,10 +55,12 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     it are appended as tie breakers. NULL keys are equal to each other.
     """
     by = _ordered(df, keys, order)
-    numbered = _first_of_partition(df, keys, by)
-    later = numbered.filter(F.col("__rn") > 1)
-    firsts = _rank_of_firsts(numbered, keys, by).filter(F.col("__rn") > 1)
-    return later.unionByName(firsts).drop("__part", "__rn")
+    own = [F.col(sql_ident(k)) for k in keys]
+    numbered = (_numbered_in_groups(df, keys, by)
+                .withColumn("__group", F.when(F.col("__rn") == 1, F.lit(0).cast("long")).otherwise(F.col("__group"))))
+    place = F.row_number().over(Window.partitionBy(*own, "__group").orderBy(*by))
+    return (numbered.withColumn("__place", place).filter((F.col("__group") != 0) | (F.col("__place") > 1))
+            .drop("__group", "__rn", "__place"))
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
@@ -67,8 +73,10 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None =
     if not order and not rest:
         return df.dropDuplicates(list(keys))
     by = _ordered(df, keys, order or rest)
-    numbered = _first_of_partition(df, keys, by)
-    return _rank_of_firsts(numbered, keys, by).filter(F.col("__rn") == 1).drop("__part", "__rn")
+    own = [F.col(sql_ident(k)) for k in keys]
+    firsts = _numbered_in_groups(df, keys, by).filter(F.col("__rn") == 1)
+    return (firsts.withColumn("__rn", F.row_number().over(Window.partitionBy(*own).orderBy(*by)))
+            .filter(F.col("__rn") == 1).drop("__group", "__rn"))
 
 
 def duplicate_key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -73,13 +73,33 @@ def test_names_with_blanks_and_backticks(spark):
     assert sorted(r[1] for r in DU.duplicate_rows(df, ["a key"], order=["o`d.d"]).collect()) == [2, 3]
 
 
-def test_window_groups_stay_within_an_input_partition(spark):
-    """The plan has no count of the input, no broadcast and no split by size, and reads the input once."""
-    df = spark.createDataFrame([(1, i) for i in range(200)] + [(2, 1), (2, 2)], "k int, v int").repartition(4)
-    out = DU.duplicate_rows(df, ["k"], order=["v"])
-    assert out.count() == 200
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" not in plan and "__part" in plan
+def _final_plan(df):
+    df.write.mode("overwrite").format("noop").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_the_input_is_read_and_numbered_once(spark, scratch):
+    """The final plan has one scan, two windows, no count of the input, no broadcast and no union."""
+    path = scratch("dup")
+    spark.range(400).selectExpr("CAST(id % 7 AS INT) AS k", "id AS v").write.parquet(path)
+    out = DU.duplicate_rows(spark.read.parquet(path), ["k"], order=["v"])
+    plan = _final_plan(out)
+    assert len(out.collect()) == 393
+    assert plan.count("FileScan parquet") == plan.count("Scan parquet") == 1
+    assert plan.count("+- Window [") == 2
+    for node in ("Broadcast", "Union", "WindowGroupLimit"):
+        assert node not in plan
+
+
+def test_a_hot_key_spreads_where_the_input_is_partitioned_by_it(spark):
+    df = spark.range(6400).selectExpr("CAST(0 AS INT) AS k", "id AS v").repartition(8, "k")
+    by = DU._ordered(df, ["k"], ["v"])
+    groups = DU._numbered_in_groups(df, ["k"], by).groupBy("__group").count().collect()
+    assert len(groups) == DU.SALT_BUCKETS and max(r["count"] for r in groups) < 6400 / 8
+    same = spark.range(0, 6400, 1, 16).selectExpr("1 AS k", "2 AS v")   # equal rows: by the partitions they come from
+    assert DU._numbered_in_groups(same, ["k"], by).select("__group").distinct().count() == 16
+    assert DU.duplicate_rows(same, ["k"], order=["v"]).count() == 6399 and DU.first_rows(same, ["k"]).count() == 1
 
 
 def test_check_unique_key(spark):
