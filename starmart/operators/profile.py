@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,24 @@ def sql_string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def profile_aggregates(fields: Sequence[T.StructField]) -> list[str]:
+    """Two SQL aggregates a column: its NULLs and (0 but for float/double columns) its NaNs."""
+    aggs = []
+    for field in fields:
+        c = sql_ident(field.name)
+        aggs.append(f"count_if({c} IS NULL)")
+        aggs.append(f"count_if(isnan({c}))" if isinstance(field.dataType, _FLOATS) else "CAST(0 AS BIGINT)")
+    return aggs
+
+
+def profile_rows(sums: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """One row per column of the table from one row of ``__rows``, ``__null<i>`` and ``__nan<i>``."""
+    entries = [f"named_struct('position', {i + 1}, 'column_name', {sql_string(field.name)}, "
+               f"'null_count', __null{i}, 'nan_count', __nan{i}, 'missing_count', __null{i} + __nan{i}, "
+               f"'row_count', __rows)" for i, field in enumerate(fields)]
+    return sums.selectExpr(f"inline(array({', '.join(entries)}))")
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Missing values of every column in one pass over the table.
 
@@ -28,22 +46,13 @@ def null_profile(df: DataFrame) -> DataFrame:
     columns) the NaN count; the one-row result is turned into one row per
     column: ``position, column_name, null_count, nan_count, missing_count, row_count``.
     Both steps are given as SQL expressions (quoted names), which keeps plan
-    construction cheap for wide tables.
+    construction cheap for wide tables. ``file_stats.stored_profile`` adds up the
+    same counts per data file of a stored table.
     """
-    aggs = ["count(1) AS __rows"]
-    entries = []
-    for i, field in enumerate(df.schema.fields):
-        c = sql_ident(field.name)
-        aggs.append(f"count_if({c} IS NULL) AS __null{i}")
-        if isinstance(field.dataType, _FLOATS):
-            aggs.append(f"count_if(isnan({c})) AS __nan{i}")
-            nan = f"__nan{i}"
-        else:
-            nan = "CAST(0 AS BIGINT)"
-        entries.append(f"named_struct('position', {i + 1}, 'column_name', {sql_string(field.name)}, "
-                       f"'null_count', __null{i}, 'nan_count', {nan}, 'missing_count', __null{i} + {nan}, "
-                       f"'row_count', __rows)")
-    return df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(entries)}))")
+    fields = df.schema.fields
+    aggs = profile_aggregates(fields)
+    named = [f"{aggs[2 * i + j]} AS __{what}{i}" for i in range(len(fields)) for j, what in enumerate(("null", "nan"))]
+    return profile_rows(df.selectExpr("count(1) AS __rows", *named), fields)
 
 
 def null_percent(df: DataFrame) -> DataFrame:

@@ -109,19 +109,21 @@ def check_date_order(df: DataFrame, departure: str, arrival: str) -> DataFrame:
 
 
 def check_all(tables: Mapping[str, DataFrame], fact_name: str, fact_keys: Sequence[str],
-              dimensions: Mapping[str, Sequence[str]], min_rows: int = 1) -> dict[str, DataFrame]:
+              dimensions: Mapping[str, Sequence[str]], min_rows: int = 1,
+              profiles: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """NULL and row-count checks on every table, then fact-to-dimension coverage.
 
     ``dimensions`` names the dimension tables and their key columns matching
     ``fact_keys``. A table with fewer than ``min_rows`` rows fails. Returns
     ``{"nulls", "verdicts", "row_counts", "coverage"}``; ``nulls`` has a row per
-    column.
+    column. ``profiles`` gives profiles by table name that are known already (e.g. ``file_stats.stored_profile``); those
+    tables are not scanned for them.
     """
     nulls = None
     counts = None
     for name, df in tables.items():
         # One scan per table: the profile carries the row count as well.
-        profile = null_profile(df)
+        profile = profiles[name] if profiles and name in profiles else null_profile(df)
         n = check_nulls(df, name, profile=profile)
         c = (profile.agg(F.max("row_count").alias("row_count"))
              .select(F.lit(name).alias("table_name"), F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count"),

@@ -16,19 +16,33 @@ from pyspark.sql import functions as F
 from starmart.operators.duplicates import first_rows
 from starmart.operators.profile import sql_ident
 from starmart.session import file_system
+from starmart.sources import file_stats
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
-                  partition_by: Sequence[str] | None = None) -> str:
+                  partition_by: Sequence[str] | None = None, sort_by: Sequence[str] | None = None) -> str:
     """Save as parquet; by default fails if ``path`` exists.
 
+    ``sort_by`` names key columns: files then hold ranges of keys (within a partition value, sorted runs) and Bloom filters
+    of them, so reads of some keys skip files and row groups.
+
     With ``partition_by`` the rows are first rebalanced on those columns, so a
     partition value is written by one task, or by as many as its size asks for,
     and not by every task that has a row of it.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(sql_ident(c)) for c in partition_by])
+    if sort_by:
+        by = [F.col(sql_ident(c)) for c in sort_by]
+        if not partition_by:
+            df = df.repartitionByRange(*by)
+        df = df.sortWithinPartitions(*[F.col(sql_ident(c)) for c in partition_by or ()], *by)
     writer = df.write.mode(mode)
+    if sort_by:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+        for c in sort_by:
+            if c not in (partition_by or ()):
+                writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -36,13 +50,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Is there a stored table (a folder with a file that is not hidden) at ``path``?"""
+    """Is there a stored table (a folder with a file that is not hidden, nor in a hidden folder) at ``path``?"""
     files, cls = file_system(spark, path)
     if not files.exists(cls(path)):
         return False
+    root = files.makeQualified(cls(path)).toString().rstrip("/")
     listing = files.listFiles(cls(path), True)
     while listing.hasNext():
-        if not listing.next().getPath().getName().startswith(("_", ".")):
+        parts = listing.next().getPath().toString()[len(root) + 1:].split("/")
+        if not any(p.startswith(".") or (p.startswith("_") and "=" not in p) for p in parts):
             return True
     return False
 
@@ -79,9 +95,15 @@ def new_rows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
     partitions between the increment's smallest and largest value are read (two
     values per column reach the driver), and of those only the ones the
     increment has rows of (a semi join with its distinct values). So a monthly
-    append reads one month of keys, whatever the number of partitions.
+    append reads one month of keys, whatever the number of partitions. Without
+    them only files are read whose key range meets the increment's
+    (``file_stats.files_with_keys``).
     """
-    return rows_not_in(df, spark.read.parquet(path), keys, within_partitions) if table_exists(spark, path) else df
+    if not table_exists(spark, path):
+        return df
+    if within_partitions:
+        return rows_not_in(df, spark.read.parquet(path), keys, within_partitions)
+    return rows_not_in(df, file_stats.rows_near(spark, path, df, keys), keys)
 
 
 def rows_not_in(df: DataFrame, stored: DataFrame, keys: Sequence[str],
@@ -118,7 +140,9 @@ def append_parquet(spark: SparkSession, df: DataFrame, path: str, keys: Sequence
     ``order`` (default: all other columns, ascending, NULLs first) is kept.
     Keys are compared only in the partitions the increment touches if the
     partition columns are part of the key, or if ``keys_within_partitions`` says
-    that they follow from it (see ``new_rows``).
+    that they follow from it; otherwise only in files whose key range meets
+    the increment's (see ``new_rows``). Files are written sorted by key, so
+    their ranges stay narrow, and their ranges are kept in ``_stats`` beside them.
     """
     if not keys:
         return write_parquet(df, path, mode="append", partition_by=partition_by)
@@ -126,7 +150,7 @@ def append_parquet(spark: SparkSession, df: DataFrame, path: str, keys: Sequence
         keys_within_partitions = bool(partition_by) and set(partition_by) <= set(keys)
     rows = first_rows(df, keys, order)
     rows = new_rows(spark, rows, path, keys, partition_by if keys_within_partitions else None)
-    return write_parquet(rows, path, mode="append", partition_by=partition_by)
+    return write_parquet(rows, path, mode="append", partition_by=partition_by, sort_by=keys)
 
 
 def write_code_csv(df: DataFrame, path: str, mode: str = "errorifexists", sep: str = ",") -> str:
