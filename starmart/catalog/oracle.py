@@ -533,3 +533,11 @@ a AS (SELECT municipality AS city, state, count(*) AS airports FROM dim_airports
 SELECT v.city, v.state, v.visitors, coalesce(a.airports, 0) AS airports
 FROM v LEFT JOIN a ON v.city = a.city AND v.state = a.state""",
 })
+
+# the same results by another way of getting them: from footers, and from statistics kept beside a stored table
+ORACLE.update({
+    "row_count_from_footers": ORACLE["row_count"],
+    "min_max_from_footers": ORACLE["min_max"],
+    "stored_profile": ORACLE["null_profile"],
+    "stored_unique_key": ORACLE["check_unique_key"],
+})

@@ -29,6 +29,7 @@ from starmart.plans import codes as CO
 from starmart.plans import insights as I
 from starmart.plans import star as S
 from starmart.session import scratch_path
+from starmart.sources import file_stats as FS
 from starmart.sources import labels as L
 from starmart.sources import readers as R
 from starmart.sources import schemas as SC
@@ -501,6 +502,16 @@ def q_check_row_count(spark, sf):
         Q.check_row_count(t(spark, sf, "lineitem"), "lineitem", min_rows=1))
 
 
+@query("row_count_from_footers")
+def q_row_count_from_footers(spark, sf):
+    return AG.row_count(R.scan_parquet_footers(spark, f"{sf}/lineitem.parquet"))
+
+
+@query("min_max_from_footers")
+def q_min_max_from_footers(spark, sf):
+    return AG.min_max(R.scan_parquet_footers(spark, f"{sf}/orders.parquet"), "o_totalprice")
+
+
 @query("count_distinct")
 def q_count_distinct(spark, sf):
     return AG.count_distinct(t(spark, sf, "orders"), "o_custkey")
@@ -615,6 +626,30 @@ def q_check_nulls(spark, sf):
     return Q.check_nulls(events_n(spark, sf), "events")
 
 
+def _third(df: DataFrame, key: str, n: int) -> DataFrame:
+    return df.filter(F.pmod(F.coalesce(F.col(key), F.lit(0)), F.lit(3)) == n)
+
+
+@query("stored_profile")
+def q_stored_profile(spark, sf):
+    # three increments, a check after each; the last one adds up the profiles of all files
+    path, events = scratch_path(spark, "events-profile"), events_n(spark, sf)
+    for n in range(3):
+        SK.write_parquet(_third(events, "event_id", n), path, mode="append")
+        profile = FS.stored_profile(spark, path)
+    return profile
+
+
+@query("stored_unique_key")
+def q_stored_unique_key(spark, sf):
+    path = scratch_path(spark, "lines-unique")
+    lines = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    for n in range(3):
+        SK.write_parquet(_third(lines, "l_linenumber", n), path, mode="append", sort_by=["l_orderkey", "l_linenumber"])
+        report = FS.stored_unique_key(spark, path, ["l_orderkey", "l_linenumber"])
+    return report
+
+
 @query("check_table_verdict")
 def q_check_table_verdict(spark, sf):
     report = Q.check_nulls(events_n(spark, sf), "events").unionByName(Q.check_nulls(t(spark, sf, "orders"), "orders"))

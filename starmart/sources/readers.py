@@ -22,6 +22,24 @@ def scan_parquet(spark: SparkSession, path: str | Sequence[str], columns: Sequen
     return df.select(*columns) if columns else df
 
 
+def scan_parquet_footers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Parquet whose counts, minima and maxima come from the file footers; no data page is read for them.
+
+    ``row_count``, ``min_max`` and plain ``agg(count, min, max)`` over it push the aggregate into the scan, where Parquet keeps
+    exact statistics: numbers, dates and booleans (not texts or old timestamps), without a filter on rows. Everything else
+    gives the same result by a scan. Spark does this in its newer file reader alone, which is a setting of a session, so
+    the frame belongs to a session of its own with the settings of ``spark``, which stays as it is.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    v1 = [s for s in own.conf.get("spark.sql.sources.useV1SourceList").split(",") if s.strip() != "parquet"]
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(v1))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(*([path] if isinstance(path, str) else path))
+
+
 def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, sep: str = ",",
              null_value: str | None = None, header: bool = True, multi_line: bool = False,
              corrupt_column: str | None = None) -> DataFrame:

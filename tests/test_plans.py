@@ -36,3 +36,11 @@ def test_scan_prunes_columns(spark):
     plan = plan_text(QUERIES["filter_text_eq"](spark, SF))
     assert "ReadSchema: struct<c_custkey:bigint,c_mktsegment:string>" in plan
     assert "EqualTo(c_mktsegment,BUILDING)" in plan
+
+
+def test_footer_aggregates_read_no_data(spark):
+    plan = QUERIES["row_count_from_footers"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RelationV2[count(*)" in plan
+    plan = QUERIES["min_max_from_footers"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RelationV2[min(o_totalprice)" in plan and "max(o_totalprice)" in plan
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")  # the caller's session stays as it is
