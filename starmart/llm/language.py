@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +33,6 @@ UNKNOWN = "und"
 #: words known to a dictionary shorten it.
 FRAME = b"".join(hashlib.sha256(bytes([i])).digest() for i in range(2))
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, margin double, accepted boolean"
-LETTER = re.compile(r"[^\W\d_]")
 _COMPRESSORS: dict[int, list] = {}
 
 
@@ -73,7 +71,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score in [0, 1] and margin. ``und`` without a letter or without any learned language."""
-        if not text or not self.languages or not LETTER.search(text):
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, 0.0
         sizes = np.zeros(len(self.contents))
         compressors = self.compressors()

@@ -19,7 +19,7 @@ def rows(n, seed):
 
 def test_held_out_accuracy_and_odd_rows(spark):
     data = rows(900, 1)
-    odd = [(9000, None, "aa"), (9001, "", None), (9002, "12 !? 34", "bb"), (None, "schung und keit der ein", "bb"),
+    odd = [(9000, None, "aa"), (9001, "", None), (9002, "½ ² ① 12 !? 34", "bb"), (None, "schung und keit der ein", "bb"),
            (9003, "der schung keit und ein " * 6000, None), (4, data[4][1], data[4][2]), (4, data[4][1], data[4][2])]
     docs = spark.createDataFrame([(i, t, g, 1, "x") for i, t, g in data + odd],
                                  "doc_id long, text string, lang string, score int, held_out string")
