@@ -9,17 +9,21 @@ in proportion to the text.
 Looser generators propose further, overlapping spans (spelled-out or international addresses, dotted numbers, long
 digit runs, phone numbers without a plus). Gradient-boosted trees score every proposal by its format (digits,
 groups, separators, ends) and context (the characters around it, words that announce personal data). They learn from
-a bounded sample of documents: proposals that are a checked base span are positive. The checks themselves (Luhn, the
-range of parts) are no features, so proposals that look and stand like checked ones score high. Per kind the
-threshold is the lowest score at which the positives make ``PRECISION`` of the proposals of all documents the trees
-have not learned from. Proposals above it are added where they overlap no base span and no earlier proposal. The trees
-become one SQL expression.
+a bounded sample of documents. Positive are proposals that are a checked base span, and those of base spans rewritten where
+they stand to the loose forms (``loose_forms``), which no table labels; a rewritten one counts ``LOOSE_WEIGHT``. Negative are
+proposals that fail the check of their kind, and phone numbers that no word announces. Others, which may well be personal
+data, teach nothing. The checks themselves (Luhn, the range of parts) are no features, so proposals that look and stand
+like checked ones score high. Per kind the threshold is the lowest score at which the positives make ``PRECISION`` of the
+proposals of all documents the trees have not learned from, and ``OWN_PRECISION`` of those with that very score. Proposals
+above it are added where they overlap no earlier proposal and no base span but those of their kind that they contain. The
+trees become one SQL expression.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -46,9 +50,11 @@ PROPOSED = {
 }
 HINTS = r"(?i)(mail|phone|call|tel|mobile|fax|contact|card|visa|pay|account|iban|address|host|server|login|user)"
 CONTEXT_CHARS = 24
+AT, DOT = r" ?(?:@|\((?i:at)\)|\[(?i:at)\]) ?", r" ?(?:\.|\((?i:dot)\)|\[(?i:dot)\]) ?"
+LOOSE_WEIGHT = 0.1  # of a rewritten base span, against 1 of a proposal that is there
 SAMPLE_DOCS = 20_000
 TREES, DEPTH, STEP = 20, 3, 0.3
-PRECISION = 0.98
+PRECISION, OWN_PRECISION = 0.98, 0.9
 LEAST_PROPOSALS = 20  # held-out proposals of a kind needed to set its threshold
 IP_PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 FEATURES = (*(f"is_{k}" for k in KINDS), "digits", "groups", "length", "plus", "at_sign", "spelled", "first_space",
@@ -110,8 +116,49 @@ def with_base(docs: DataFrame, keep: list[str]) -> DataFrame:
     return df.select("*", F.array_sort(F.concat(*spans)).alias("base"))
 
 
-def proposals(text: Column, digit: Column) -> Column:
-    """``array<struct<start, kind, end, features...>>`` of the generators; features are small whole numbers."""
+def loosely_passes(kind: str, match: Column) -> Column:
+    """Whether a proposal passes the check of its kind once its separators are those of a base span."""
+    if kind == "email":
+        return match.rlike(rf"{DOT}\p{{L}}{{2,}}\z")
+    if kind == "ip":
+        return passes(kind, F.regexp_replace(match, " ", ""))
+    return passes(kind, match)
+
+
+def loose_forms(kind: Column, match: Column) -> Column:
+    """The loose forms of a base span: spelled-out and spaced addresses, spaced parts, dotted numbers, phone numbers
+    without plus and without country."""
+    local, domain = F.substring_index(match, "@", 1), F.substring_index(match, "@", -1)
+
+    def email(at: str, dot: str) -> Column:
+        return F.concat(local, F.lit(at), F.replace(domain, F.lit("."), F.lit(dot)))
+
+    digits = F.regexp_replace(match, "[^0-9]", "")
+    forms = [F.array(email(" (at) ", " (dot) "), email("[at]", "[dot]"), email("(at)", "."), email(" @ ", ".")),
+             F.array(F.replace(match, F.lit("."), F.lit(" . "))),
+             F.array(*(F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", f"$1{gap}") for gap in (".", "\u00a0"))),
+             F.array(F.regexp_replace(match, r"\A\+", ""), F.regexp_replace(match, r"\A\+[0-9]{1,3}[ .-]*+(?=[(0-9])", ""))]
+    return F.array(*forms)[kind]
+
+
+def rewritten(text: Column, base: Column) -> Column:
+    """Base spans in loose forms with the text around them: ``array<struct<kind, start, end, text>>``."""
+    def windows(s: Column) -> Column:
+        width = F.greatest(s["start"] - 2 * CONTEXT_CHARS, F.lit(0))
+        before = F.substring(text, width + 1, s["start"] - width)
+        match = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+        after = F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS))
+        return F.transform(loose_forms(s["kind"], match), lambda f: F.struct(
+            s["kind"].alias("kind"), F.length(before).alias("start"), (F.length(before) + F.length(f)).alias("end"),
+            F.concat(before, f, after).alias("text")))
+
+    return F.flatten(F.transform(base, windows))
+
+
+def proposals(text: Column, digit: Column, checked: bool = False) -> Column:
+    """``array<struct<start, kind, end, features...>>`` of the generators; features are small whole numbers.
+
+    ``checked`` adds ``ok``: whether the proposal passes ``loosely_passes``."""
     at = text.contains("@") | text.contains("(") | text.contains("[")
 
     def of_kind(k: int, kind: str) -> Column:
@@ -132,7 +179,8 @@ def proposals(text: Column, digit: Column) -> Column:
                       F.substring(match, 1, 1).eqNullSafe(F.lit("+")).cast("int"), match.contains("@").cast("int"),
                       match.rlike(r"(?i)[(\[](at|dot)[)\]]").cast("int"), match.contains(" ").cast("int"), side(edge),
                       side(after), before.rlike(HINTS).cast("int")]
-            return F.struct(s["start"], F.lit(k).alias("kind"), s["end"],
+            ok = [loosely_passes(kind, match).alias("ok")] if checked else []
+            return F.struct(s["start"], F.lit(k).alias("kind"), s["end"], *ok,
                             *(v.cast("int").alias(name) for v, name in zip(values, FEATURES)))
 
         return F.transform(found(text, PROPOSED[kind], at if kind == "email" else digit), features)
@@ -171,13 +219,23 @@ class Model:
 
 
 def labelled_cells(docs: DataFrame, name: str) -> DataFrame:
-    """Proposals of the documents (``doc_id, text``) counted by features and label: a small table."""
-    df = with_base(docs, []).select("base", proposals(F.col("pii_text"), F.col("pii_digit")).alias("proposed"))
+    """Proposals of the documents (``doc_id, text``) and of their rewritten base spans, counted by features and label: a
+    small table."""
+    df = with_base(docs, []).select("base", proposals(F.col("pii_text"), F.col("pii_digit"), True).alias("proposed"),
+                                    rewritten(F.col("pii_text"), F.col("base")).alias("rewritten"))
     # the arrays are written, so that no later step computes them again
-    df = written(docs.sparkSession, df, name).select("base", F.explode("proposed").alias("p"))
-    label = F.array_contains("base", F.struct(F.col("p.start"), F.col("p.kind"), F.col("p.end")))
-    return (df.select(label.cast("int").alias("label"), "p.kind", *(F.col(f"p.{f}") for f in FEATURES))
-            .groupBy("label", "kind", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("n")))
+    df = written(docs.sparkSession, df, name)
+    there = df.select("base", F.explode("proposed").alias("p"))
+    is_base = F.array_contains("base", F.struct(F.col("p.start"), F.col("p.kind"), F.col("p.end")))
+    unannounced = (F.col("p.kind") == KINDS.index("phone")) & (F.col("p.hint") == 0)
+    there = there.select("p", F.when(is_base, 1).when(~F.col("p.ok") | unannounced, 0).alias("label"), F.lit(1.0).alias("weight"))
+    loose = df.select(F.explode("rewritten").alias("r")).select(
+        "r", F.explode(proposals(F.col("r.text"), F.lit(True), True)).alias("p"))
+    same = [F.col(f"p.{c}") == F.col(f"r.{c}") for c in ("start", "kind", "end")]
+    loose = loose.where(same[0] & same[1] & same[2]).select("p", F.lit(1).alias("label"), F.lit(LOOSE_WEIGHT).alias("weight"))
+    return (there.where(F.col("label").isNotNull()).unionByName(loose)
+            .select("label", "weight", "p.kind", *(F.col(f"p.{f}") for f in FEATURES))
+            .groupBy("label", "weight", "kind", *FEATURES).agg((F.count(F.lit(1)) * F.col("weight")).alias("n")))
 
 
 def fit(docs: DataFrame) -> Model:
@@ -206,31 +264,57 @@ def fit(docs: DataFrame) -> Model:
         n = hits = 0.0
         for r in sorted((r for r in scores if r["kind"] == kind), key=lambda r: -r["score"]):
             n, hits = n + r["n"], hits + r["hits"]
-            if n >= LEAST_PROPOSALS and hits >= PRECISION * n and not math.isnan(r["score"]):
+            sure = hits >= PRECISION * n and r["hits"] >= OWN_PRECISION * r["n"]
+            if n >= LEAST_PROPOSALS and sure and not math.isnan(r["score"]):
                 model.thresholds[kind] = r["score"] - 1e-12
     return model
 
 
 def without_overlaps(base: Column, extra: Column) -> Column:
-    """The sorted base spans and those of ``extra`` that overlap no base span and no earlier proposal."""
+    """The sorted base spans and those of ``extra`` that overlap no earlier proposal and no base span.
+
+    An email proposal may contain base emails (``jörg.müller@firma.de`` contains ``ller@firma.de``); both stay."""
+    email = KINDS.index("email")
+
     def chosen(both: Column) -> Column:
-        def overlaps(flag: int) -> tuple[Column, Column]:
-            ends = F.transform(both, lambda s: F.when(s["extra"] == flag, s["end"]))
-            starts = F.transform(both, lambda s: F.when(s["extra"] == flag, s["start"]))
-            return shifted(scan(ends, largest), 1), shifted(scan(starts, least, -1), -1)
+        # at a tie a proposal stands before the base span
+        wide = F.transform(both, lambda s: F.when((s["extra"] == 1) & (s["kind"] == email), s["end"]))
+
+        def marked(cover: Column) -> Column:
+            """1 a proposal, 0 a base span, 2 a base email inside a proposed one."""
+            return F.transform(both, lambda s, i: F.when(s["extra"] == 1, F.lit(1)).when(
+                (s["kind"] == email) & F.coalesce(cover[i] >= s["end"], F.lit(False)), F.lit(2)).otherwise(F.lit(0)))
+
+        def before(marks: Column, kept: Callable[[Column], Column]) -> Column:
+            return shifted(scan(F.transform(both, lambda s, i: F.when(kept(marks[i]), s["end"])), largest), 1)
+
+        def after(marks: Column, kept: Callable[[Column], Column]) -> Column:
+            return shifted(scan(F.transform(both, lambda s, i: F.when(kept(marks[i]), s["start"])), least, -1), -1)
+
+        def free(ends: Column, starts: Column) -> Callable[[Column, Column], Column]:
+            return lambda s, i: (F.coalesce(ends[i], F.lit(0)) <= s["start"]) & F.coalesce(starts[i] >= s["end"], F.lit(True))
+
+        def kept(marks: Column) -> Column:
+            def same(s: Column, i: Column) -> Column:  # a proposal that is the base span itself
+                following = F.get(both, i + 1)
+                return F.coalesce((following["extra"] == 0) & (following["start"] == s["start"])
+                                  & (following["kind"] == s["kind"]) & (following["end"] == s["end"]), F.lit(False))
+
+            reaches = F.struct(before(marks, lambda m: m == 1).alias("ee"),
+                               before(marks, lambda m: m != 1).alias("be"), after(marks, lambda m: m != 1).alias("bn"),
+                               before(marks, lambda m: m == 0).alias("ue"), after(marks, lambda m: m == 0).alias("un"))
+            return let(reaches, lambda r: F.filter(both, lambda s, i: (s["extra"] == 0) | (
+                (F.coalesce(r["ee"][i], F.lit(0)) <= s["start"]) & ~same(s, i)
+                & F.when(s["kind"] == email, free(r["ue"], r["un"])(s, i)).otherwise(free(r["be"], r["bn"])(s, i)))))
 
-        (base_end, base_next), (extra_end, _) = overlaps(0), overlaps(1)
-        return let(base_end, lambda be: let(base_next, lambda bn: let(extra_end, lambda ee: F.filter(
-            both, lambda s, i: (s["extra"] == 0) | (
-                (F.coalesce(be[i], F.lit(0)) <= s["start"]) & (F.coalesce(bn[i] >= s["end"], F.lit(True)))
-                & (F.coalesce(ee[i], F.lit(0)) <= s["start"]))))))
+        return let(shifted(scan(wide, largest), 1), lambda cover: let(marked(cover), kept))
 
     def span(flag: int):
-        return lambda s: F.struct(s["start"], s["kind"], s["end"], F.lit(flag).alias("extra"))
+        return lambda s: F.struct(s["start"], s["kind"], F.lit(1 - flag).alias("later"), s["end"], F.lit(flag).alias("extra"))
 
     both = F.array_sort(F.concat(F.transform(base, span(0)), F.transform(extra, span(1))))
-    return F.when(F.size(extra) == 0, base).otherwise(
-        F.transform(let(both, chosen), lambda s: F.struct(s["start"], s["kind"], s["end"])))
+    return F.when(F.size(extra) == 0, base).otherwise(F.array_sort(
+        F.transform(let(both, chosen), lambda s: F.struct(s["start"], s["kind"], s["end"]))))
 
 
 def with_spans(docs: DataFrame, keep: list[str], model: Model) -> DataFrame:
@@ -302,7 +386,8 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def without_pii(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """``docs`` (all columns) with every span in ``text`` replaced by its kind in brackets and ``n_chars``, where there
-    is one, set to the new length. NULL texts stay NULL."""
+    is one, set to the new length. NULL texts stay NULL, a NULL ``doc_id`` stays, repeated rows are redacted alike, an empty
+    table gives no rows."""
     columns = docs.columns
     packed = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in columns)).alias("pii_row"))
     df = with_spans(packed, ["pii_row"], model or fit(docs))

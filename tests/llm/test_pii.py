@@ -142,3 +142,87 @@ def test_thresholds_come_from_all_documents(spark, monkeypatch):
     monkeypatch.setattr(P, "SAMPLE_DOCS", 200)  # its held-out quarter has about 10 documents of a kind
     df = spark.createDataFrame(corpus(), "doc_id long, text string")
     assert {P.KINDS.index("card"), P.KINDS.index("email")} <= set(P.fit(df).thresholds)
+
+
+def loose_corpus(each):
+    """Texts with announced numbers and addresses in base form, and per loose form ``each`` texts with its span."""
+    rng = random.Random(8)
+    rows, want = [], {}
+
+    def luhn(head):
+        return next(head + str(d) for d in range(10) if plain_ok("card", head + str(d)))
+
+    def card(gap):
+        digits = luhn("4" + "".join(str(rng.randint(0, 9)) for _ in range(14)))
+        return gap.join(digits[i:i + 4] for i in range(0, 16, 4))
+
+    def phone(form):
+        return form.format(rng.randint(200, 999), rng.randint(1000, 9999))
+
+    def add(lead, kind, value, tail, loose):
+        if loose:
+            want[len(rows)] = f"{kind}:{len(lead)}:{len(lead) + len(value)}"
+        rows.append((len(rows), lead + value + tail))
+
+    for i in range(1500):
+        add("please call ", "phone", phone("+1 ({}) 555-{}"), " today", False)
+        add("write mail to ", "email", f"us{i}@host{i % 7}.example.com", " soon", False)
+        add("the server ", "ip", f"{i % 250}.7.{i % 9}.{i % 200}", " is down", False)
+        add("pay with card ", "card", card(" "), " now", False)
+        add("it has order ", "none", f"{rng.randint(10 ** 9, 10 ** 10 - 1)}", " in stock", False)
+    for i in range(each):
+        add("please call ", "phone", phone("({}) 555-{}"), " today", True)
+        add("please call ", "phone", phone("1 ({}) 555-{}"), " today", True)
+        add("write mail to ", "email", f"joe{i} (at) host{i % 7} (dot) com", " soon", True)
+        add("write mail to ", "email", f"joe{i}[at]host{i % 7}[dot]org", " soon", True)
+        add("write mail to ", "email", f"joe{i} @ host{i % 7}.example.com", " soon", True)
+        add("write mail to ", "email", f"j\u00f6rg.m\u00fcller{i}@firma.de", " soon", True)
+        add("the server ", "ip", f"{i % 250} . 7 . {i % 9} . {i % 200}", " is down", True)
+        add("pay with card ", "card", card("."), " now", True)
+        add("pay with card ", "card", card("\u00a0"), " now", True)
+    return rows, want
+
+
+def test_loose_forms_are_found_and_orders_left_alone(spark):
+    rows, want = loose_corpus(40)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    model = P.fit(df)
+    got = check(rows, P.find_pii(df, model))
+    for i, span in want.items():
+        assert span in got[i].split(","), (rows[i], got[i])
+    orders = [i for i, t in rows if t.startswith("it has order")]
+    assert all(got[i] == "" for i in orders)
+    clean = {r.doc_id: r.text for r in P.without_pii(df, model).collect()}
+    assert all(clean[i] == "write mail to [EMAIL] soon" for i in want if rows[i][1].startswith("write mail to j\u00f6rg"))
+
+
+def test_overlaps_against_brute_force(spark):
+    rng = random.Random(4)
+
+    def spans(n):
+        out = []
+        for kind in range(4):  # spans of a kind do not overlap
+            at = 0
+            for _ in range(n):
+                start = at + rng.randint(0, 9)
+                at = start + rng.randint(1, 6)
+                out.append((start, kind, at))
+        return sorted(out)
+
+    def brute(base, extra):
+        kept = list(base)
+        for e in extra:
+            earlier = [x for x in extra if (x[0], x[1]) < (e[0], e[1])]
+            if e in base or any(x[2] > e[0] for x in earlier):
+                continue
+            over = [b for b in base if b[0] < e[2] and e[0] < b[2]]
+            if all(e[1] == b[1] == 0 and e[0] <= b[0] and b[2] <= e[2] for b in over):
+                kept.append(e)
+        return sorted(kept)
+
+    rows = [(i, spans(rng.randint(0, 5)), spans(rng.randint(0, 5))) for i in range(400)]
+    span = "array<struct<start:int,kind:int,end:int>>"
+    df = spark.createDataFrame(rows, f"i int, base {span}, extra {span}").repartition(4)
+    got = {r.i: [tuple(s) for s in r.spans] for r in df.select(
+        "i", P.without_overlaps(F.col("base"), F.col("extra")).alias("spans")).collect()}
+    assert got == {i: brute(b, e) for i, b, e in rows}
