@@ -64,3 +64,21 @@ def test_without_labels_or_rows(spark):
 def test_ties_go_to_the_first_name():
     model = L.Model(["aa", "bb"], [b"same content here", b"same content here"])
     assert model.predict("same content")[0] == "aa"
+
+
+def test_dictionaries_hold_words_of_all_rows_and_of_whole_texts(spark):
+    """No alphabetical or leading part: words at the end of long texts and of the last rows by name are learned."""
+    tail = " ".join(f"schluss{chr(97 + i)}wort" for i in range(26))
+    data = [(i, ("zz" if i % 2 else "aa") + " wort" * 4000 + " " + tail, "de") for i in range(60)]
+    data += [(100 + i, "the words of " + "all day " * 30, "en") for i in range(60)]
+    model = L.fit(spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3))
+    assert model.languages == ["de", "en"]
+    assert set(tail.encode().split()) | {b"zz", b"aa"} <= set(model.contents[0].split())
+    assert model.contents[0].split()[-1] != b"zz"  # words of few documents stand first
+
+
+def test_dictionary_bytes_are_filled_by_document_count(spark, monkeypatch):
+    monkeypatch.setattr(L, "DICTIONARY_BYTES", 60)
+    data = [(i, "often " + "".join(chr(97 + int(c)) for c in str(1000 + i)), "de") for i in range(200)]
+    model = L.fit(spark.createDataFrame(data, "doc_id long, text string, lang string"))
+    assert model.contents[0].split()[-1] == b"often" and 50 <= len(model.contents[0]) <= 60
