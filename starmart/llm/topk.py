@@ -4,9 +4,9 @@ Vectors are quantised and gathered into blocks inside the tasks that read them:
 ``BLOCK_ROWS`` rows, which are dealt evenly over shards, and query blocks of at most ``QUERY_ROWS`` rows. Every query
 block is sent to every shard (a copy per shard, not per row), and the join on the shard gives the tiles. A tile is one
 matrix product followed by a partial selection of ``k`` candidates per query. The lists are merged as a tree: first
-those of a group of candidate blocks, then those of the groups.
+those of the tiles of a shard, in the task that made them, then ``FAN`` shards at a time.
 
-Scores are exact integers. Products run in 32-bit or 64-bit floating point only where the norms show that every
+Scores are exact integers. Vectors are kept divided by ``SCALE``, so that no component overflows. Products run in 32-bit or 64-bit floating point only where the norms show that every
 partial sum is an integer that the type holds; otherwise in whole numbers of any size.
 """
 
@@ -51,7 +51,8 @@ def blocks(batches: Iterator, rows: int) -> Iterator:
         ids = np.concatenate([p[0] for p in parts])
         order = np.argsort(ids, kind="stable")
         ids, data = ids[order], np.concatenate([p[1] for p in parts])[order]
-        norm = float(np.sqrt((data * data).sum(1)).max()) if dim else 0.0
+        with np.errstate(over="ignore"):
+            norm = float(np.sqrt((data * data).sum(1)).max()) * SCALE if dim else 0.0
         made += 1
         small = norm < 1 << 24  # whole numbers that a 32-bit float holds
         values = [[dim], [(partition << 32) + made], [len(ids)], [ids.astype("<i8").tobytes()],
@@ -64,7 +65,10 @@ def blocks(batches: Iterator, rows: int) -> Iterator:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         lists = batch.column(1)
         dims = lists.value_lengths().to_numpy(zero_copy_only=False)
-        flat = np.floor(lists.flatten().to_numpy(zero_copy_only=False) * float(SCALE))
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        # beyond 2^45 a double times 256 is whole
+        fine = np.abs(flat) < 1 << 45
+        flat = np.where(fine, np.floor(np.where(fine, flat, 0.0) * SCALE) / SCALE, flat)
         starts = np.concatenate(([0], np.cumsum(dims)))
         for dim in np.unique(dims).tolist():
             at = np.flatnonzero(dims == dim)
@@ -82,14 +86,19 @@ def matrix(data: bytes, rows: int, dim: int) -> np.ndarray:
     return np.frombuffer(data, "<f8" if rows * dim and len(data) == 8 * rows * dim else "<f4").reshape(rows, dim)
 
 
+def whole_numbers(m: np.ndarray) -> np.ndarray:
+    """A matrix of ``SCALE`` times the entries, as whole numbers of any size."""
+    return np.array([[int(x) * SCALE if abs(x) >= 1 << 53 else int(x * SCALE) for x in row] for row in m.tolist()],
+                    dtype=object).reshape(m.shape)
+
+
 def products(a: np.ndarray, b: np.ndarray, bound: float) -> np.ndarray:
-    """Exact integer products of whole-number matrices; ``bound`` is a bound of every sum of absolute terms."""
+    """Exact integer products of the ``SCALE``-fold of matrices; ``bound`` is a bound of every sum of absolute terms."""
     if bound < 1 << 24:
-        return (a.astype(np.float32) @ b.astype(np.float32).T).astype(np.int64)
+        return (a.astype(np.float32) @ b.astype(np.float32).T * np.float32(SCALE * SCALE)).astype(np.int64)
     if bound < 1 << 52:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    whole = [np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape) for m in (a, b)]
-    exact = whole[0] @ whole[1].T
+        return (a.astype(np.float64) @ b.astype(np.float64).T * float(SCALE * SCALE)).astype(np.int64)
+    exact = whole_numbers(a) @ whole_numbers(b).T
     return np.array([[max(-LONG_MAX, min(LONG_MAX, int(x))) for x in row] for row in exact], np.int64).reshape(exact.shape)
 
 
@@ -140,7 +149,7 @@ def top_k(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY) ->
     """The ``k`` highest inner products of every query: ``query_id, rank, vec_id, score``.
 
     Queries are the rows whose ``vec_id`` is divisible by ``query_every``; candidates all rows with another
-    ``vec_id``. Ties go to the smaller ``vec_id``. Vectors that are NULL or hold NULL or non-finite components, and
+    ``vec_id`` (rows that repeat a query's id are taken for its own). Ties go to the smaller ``vec_id``. Vectors that are NULL or hold NULL or non-finite components, and
     rows with a NULL ``vec_id``, take no part. Only vectors of equal length are compared. A repeated candidate row
     counts as often as it occurs, a repeated query row is answered again. Scores beyond the range of a long are the
     nearest long. An empty table gives no rows; extra columns are ignored.
@@ -153,16 +162,16 @@ def top_k(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY) ->
     queries = written(spark, asked.mapInArrow(lambda b: blocks(b, QUERY_ROWS), BLOCKS), "topk-queries")
     made = candidates.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("blocks")).first()
     shards = max(1, -(-(made.rows or 0) // SHARD_ROWS), min(made.blocks, spark.sparkContext.defaultParallelism))
-    parts = max(1, -(-made.blocks // FAN))
+    # a list belongs to its shard: the lists of a shard meet in one task, which cuts them to k before they are shuffled
     right = candidates.withColumn("shard", F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int")).withColumn(
-        "part", F.pmod(F.xxhash64("block", F.lit("part")), F.lit(parts)))
+        "part", F.col("shard").cast("long"))
     left = queries.select("dim", F.col("block").alias("q_block"), F.col("rows").alias("q_rows"),
                           F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("norm").alias("q_norm"),
                           F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     pairs = left.join(right, ["dim", "shard"]).drop("shard", "block")
     lists = pairs.mapInArrow(lambda b: tiles(b, k), "q_block long, q_row long, query_id long, part long, "
                                                     "top array<struct<score:long,vec_id:long>>")
-    query = ["q_block", "q_row"]
+    query, parts = ["q_block", "q_row"], shards
     while parts > 1:
         lists = (merged(lists, [*query, "part"], k).groupBy(*query, "part", "query_id")
                  .agg(F.collect_list(F.struct((-F.col("down")).alias("score"), "vec_id")).alias("top")))  # k entries

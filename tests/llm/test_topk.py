@@ -71,3 +71,35 @@ def test_given_table_against_sql(spark):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
     want = con.sql(f"SELECT query_id, rank, vec_id, score FROM ({T.ORACLE})").fetchall()
     assert sorted(tuple(r) for r in T.op6_topk(spark, sf).select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
+
+
+def test_components_up_to_the_largest_double(spark):
+    big = 1.7976931348623157e308
+    rows = [(0, [1e307, 1.0]), (50, [big, -big]), (1, [1e307, -1e307]), (2, [0.001, 0.5]), (3, [-big, 5e-324]), (4, [2.0 ** 45, -0.3]),
+            (100, [2.0 ** 45 + 0.0078125, 0.3]), (5, [2.0 ** 44 + 0.3, 1e-3]), (150, [0.1, -0.1])]
+    assert got(frame(spark, rows)) == exact(rows)
+
+
+def exact(rows, k=5, every=50):
+    """``brute`` in fractions: ``256 * x`` of a double may be beyond the doubles."""
+    from fractions import Fraction
+
+    good = [(i, [math.floor(256 * Fraction(x)) for x in v]) for i, v in rows]
+    out = []
+    for q, a in good:
+        if q % every == 0:
+            scores = sorted((-max(-T.LONG_MAX, min(T.LONG_MAX, sum(x * y for x, y in zip(a, b)))), i) for i, b in good if i != q)
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+def test_lists_are_cut_before_they_are_shuffled(spark, monkeypatch):
+    """The lists of a shard's tiles are limited to k in the task of the shard, then merged as a tree."""
+    monkeypatch.setattr(T, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(T, "SHARD_ROWS", 64)
+    monkeypatch.setattr(T, "FAN", 3)
+    rng = random.Random(3)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(900)]
+    df = T.top_k(frame(spark, rows, 5))
+    assert "WindowGroupLimit" in df._jdf.queryExecution().toString()
+    assert sorted(tuple(r) for r in df.select("query_id", "rank", "vec_id", "score").collect()) == brute(rows)
