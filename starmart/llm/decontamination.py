@@ -37,6 +37,8 @@ LEAST_TOKENS, LEAST_WORDS = WINDOW // 2, 2  # of an item shorter than a window;
 BROADCAST_WINDOWS = 1_000_000  # up to so many hashes of benchmark windows (8 bytes each) are broadcast,
 BROADCAST_ITEMS = 100_000  # and so many windows with their words and slots (some 200 bytes each)
 TOKEN = r"\p{L}[\p{L}\p{M}]*+|[0-9]++(?:[.,][0-9]++)*+|[.!?\n]"
+#: Words and numbers alone; a number ends with the sentence end that follows it, if one does before any other token.
+SCAN_TOKEN = r"\p{L}[\p{L}\p{M}]*+|[0-9]++(?:[.,][0-9]++)*+(?:[^\p{L}0-9.!?\n]*+[.!?\n])?"
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 IS_WORD, IS_NAME, IS_FIRST, IS_NUMBER, IS_UNIT = range(5)  # IS_FIRST: capitalised at the start of a sentence
 UNITS = ("mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "mile", "miles", "mg", "g", "kg", "lb", "lbs", "ton",
@@ -249,15 +251,16 @@ def is_plain(token: Column) -> Column:
 
 
 def placed_hashes(tokens: Column, lengths: list[int], own: bool = False) -> Column:
-    """``array<struct<pos, hash>>`` of ``text_hashes``; with ``own`` only sequences that are the whole text."""
+    """``array<struct<pos, hash>>`` of ``text_hashes``, repeats included; with ``own`` only sequences that are the whole text."""
     def placed(hashes: Column) -> Column:
         return F.transform(hashes, lambda x, i: F.struct(i.alias("pos"), x.alias("hash")))
 
     none = F.array().cast("array<struct<pos:int,hash:bigint>>")
-    return let(tokens, lambda t: F.array_distinct(F.concat(*(
+    # no array_distinct: on structs it compares every entry with all before it
+    return let(tokens, lambda t: F.concat(*(
         x for h in template_hashes(t, own) for x in (placed(window_hashes(h)), *(
             F.when(F.size(t) == n, placed(sequence_hashes(h, n))).otherwise(none) if own
-            else placed(sequence_hashes(h, n)) for n in lengths))))))
+            else placed(sequence_hashes(h, n)) for n in lengths)))))
 
 
 def benchmark_tokens(benchmark: DataFrame) -> DataFrame:
@@ -285,7 +288,60 @@ def looked_up(items: DataFrame) -> DataFrame:
     """``item_key, item_pos, hash`` of the windows of ``benchmark_tokens``."""
     own = placed_hashes(F.col("tokens"), list(range(LEAST_TOKENS, WINDOW)), own=True)
     return (items.select("item_key", "keyed", F.inline(own)).where(F.array_contains("keyed", F.col("pos")))
-            .select("item_key", F.col("pos").alias("item_pos"), "hash"))
+            .select("item_key", F.col("pos").alias("item_pos"), "hash").distinct())
+
+
+def group_size(width: int) -> tuple[int, int]:
+    """How many tokens a group of the scan has and how far apart groups start, so that any ``width`` tokens hold one whole."""
+    stride = width // 2
+    return width - stride + 1, stride
+
+
+def groups_of(hashes: Column, size: int, stride: int = 1) -> Column:
+    """Hashes of the groups of ``size`` tokens that start at every ``stride``-th token."""
+    return F.when(F.size(hashes) >= size, F.transform(
+        F.sequence(F.lit(0), F.size(hashes) - size, F.lit(stride)),
+        lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(size))))).otherwise(F.array().cast("array<bigint>"))
+
+
+def end_hash(hashes: Column) -> Column:
+    """A hash that texts with the same case-free tokens have in common."""
+    return F.xxhash64(F.lit(0), F.size(hashes), F.get(hashes, F.lit(0)), F.get(hashes, F.size(hashes) - 1))
+
+
+def scan_hashes(text: Column, width: int) -> Column:
+    """What the scan looks up of a document: ``end_hash``, and its groups by both templates of ``template_hashes``."""
+    size, stride = group_size(width)
+    number, unit, name = (F.xxhash64(F.lit(x)) for x in (NUMBER, UNIT, NAME))
+
+    def free(tokens: Column, t: Column, i: Column) -> Column:
+        before, low = F.get(tokens, i - 1), F.lower(t)
+        after_number = F.coalesce(is_number(before) & F.substring(before, -1, 1).between("0", "9"), F.lit(False))
+        return F.when(is_number(t), number).when(low.isin(*UNITS) & after_number, unit).otherwise(F.xxhash64(low))
+
+    def named(t: Column, h: Column) -> Column:
+        upper = (t < "a") | (F.substring(t, 1, 1) != F.substring(F.lower(t), 1, 1))
+        return F.when((t >= "a") & (t < "{"), h).when((h != number) & (h != unit) & upper, name).otherwise(h)
+
+    return let(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SCAN_TOKEN), F.lit(0)), lambda tokens: let(
+        F.transform(tokens, lambda t, i: free(tokens, t, i)), lambda h: F.concat(
+            F.array(end_hash(h)), groups_of(h, size, stride), let(F.zip_with(tokens, h, named), lambda n: groups_of(n, size, stride)))))
+
+
+def scanned_for(items: DataFrame, tokens: DataFrame, width: int) -> DataFrame:
+    """``hash``: what ``scan_hashes`` of a document has where it shares a window with an item (``items``: ``benchmark_windows``,
+    ``tokens``: ``benchmark_tokens``), or is one that no window can stand for."""
+    size, _ = group_size(width)
+
+    def placed(hashes: Column) -> Column:
+        return F.transform(groups_of(hashes, size), lambda x, i: F.struct(i.alias("pos"), x.alias("hash")))
+
+    own = F.concat(*(placed(h) for h in template_hashes(F.col("tokens"), own=True)))
+    looked = (tokens.select("keyed", "width", F.inline(own))
+              .where(F.exists("keyed", lambda k: (F.col("pos") >= k) & (F.col("pos") + size <= k + F.col("width")))))
+    windows_ = items.select(F.explode(groups_of(F.transform("words", lambda w: F.xxhash64(w)), size)).alias("hash"))
+    whole = tokens.where(F.size("keyed") == 0).select(end_hash(F.transform("tokens", lambda t: t["hash"])).alias("hash"))
+    return looked.select("hash").union(windows_).union(whole).distinct()
 
 
 def compared(item: Column, doc: Column, shift: Column) -> Column:
@@ -411,7 +467,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hashes = looked_up(tokens).select("hash").union(tokens.where(F.size("keyed") == 0).select("whole"))
     hashes = written(spark, hashes.union(items.select("hash")).distinct(), "benchmark-hashes")
     wide = hashes.count()
-    suspects = suspected(docs, hashes, wide, lambda t: text_hashes(t, lengths))
+    width = min([*lengths, WINDOW])
+    groups = written(spark, scanned_for(items, tokens, width), "benchmark-groups")
+    scanned = written(spark, suspected(docs, groups, groups.count(), lambda t: scan_hashes(t, width)), "contamination-scanned")
+    suspects = suspected(scanned, hashes, wide, lambda t: text_hashes(t, lengths))
     suspects = written(spark, suspects, "contamination-suspects")
     found = written(spark, template_matches(suspects, items, count), "contamination-found")
     doc_tokens = written(spark, suspects.select(

@@ -142,3 +142,39 @@ def test_kept_rows(spark):
         [(2, None, "x"), (2, "", "x"), (None, "b", "x")], key=str)
     assert D.without_contaminated(docs, items.limit(0)).count() == 6
     assert D.without_contaminated(docs.limit(0), items).count() == 0
+
+
+def test_scan_finds_every_document_with_a_common_window(spark):
+    """A document is looked up by a group of every few tokens, and none that shares a window is lost by that."""
+    from pyspark.sql import functions as F
+    from starmart.llm.common import written
+
+    rng = random.Random(11)
+    words = ["red", "Blue", "PARIS", "Rome", "7", "3.5", "5.", "4 )?", "kg", "KG", "Day", "Éa", "éa", "was", "İx", "of", ".", "\n", "áb"]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, text(rng.randint(1, 30))) for i in range(25)] + [(30, "1 2 3"), (31, None), (32, "")]
+    docs = []
+    for d in range(150):
+        item = rng.choice(items)[1] or ""
+        changed = (item, item.upper(), item.lower(), item.replace("Rome", "Oslo").replace("7", "8"))[d % 4]
+        docs.append((d, changed if d % 5 == 0 else f"{text(rng.randint(0, 9))} {changed} {text(rng.randint(0, 9))}"))
+    docs += [(200, None), (201, ""), (202, "1 2 3")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    own, tokens = D.benchmark_windows(benchmark), D.benchmark_tokens(benchmark)
+    tokens = written(spark, tokens, "test-tokens")
+    lengths = sorted(r["width"] for r in tokens.where((F.col("width") < D.WINDOW) & (F.size("keyed") > 0)).select("width").distinct().collect())
+    every = D.looked_up(tokens).select("hash").union(tokens.where(F.size("keyed") == 0).select("whole")).union(own.select("hash")).distinct()
+    exact = D.suspected(docs, every, 1, lambda t: D.text_hashes(t, lengths))
+    width = min([*lengths, D.WINDOW])
+    scanned = D.suspected(docs, D.scanned_for(own, tokens, width), 1, lambda t: D.scan_hashes(t, width))
+    ids = lambda df: {r.doc_id for r in df.collect()}
+    assert lengths and len(ids(exact)) > 60 and ids(exact) <= ids(scanned)
+    long = spark.createDataFrame([(" ".join(f"w{i}" for i in "abcdefghij" * 40),)], "text string")
+    assert long.select(F.size(D.scan_hashes(F.col("text"), D.WINDOW))).first()[0] <= 400 // 2 + 1
+
+
+def test_places_of_a_long_document_take_linear_time(spark):
+    from pyspark.sql import functions as F
+
+    assert "array_distinct" not in str(D.placed_hashes(D.typed_tokens(F.col("text")), [5]))
