@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.llm import golay
@@ -32,6 +32,7 @@ MAX_BITS = 3
 SEED = 42
 FULL_KEY = 128
 TASK_FINGERPRINTS = 20_000  # keyed by one task: about a million keys
+TASK_CROWDED = 1000  # their visits are made by one task: about two millions
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and length
 
 
@@ -122,13 +123,17 @@ def visited(batches: Iterator) -> Iterator:
 
 
 def crowded_links(fingerprints: DataFrame) -> DataFrame:
-    """Edges that connect exactly the fingerprints within 3 bits of each other; linear in their number."""
-    visits = fingerprints.mapInArrow(visited, "hub long, fingerprint long, close boolean")
-    hubs = (visits.groupBy("hub").agg(F.min("fingerprint").alias("b"), F.max("fingerprint").alias("last"),
-                                      F.max("close").alias("close"))
-            .where("close AND b < last").select("hub", "b"))
-    return (visits.join(hubs, "hub").where("fingerprint <> b")
-            .select(F.col("fingerprint").alias("a"), "b").distinct())
+    """Edges that connect exactly the fingerprints within 3 bits of each other; linear in their number.
+
+    The visitors of a word (2081 at most) meet in a window. A join would be planned by the size of the fingerprints, to
+    Spark also that of their 2081 times as many visits, and would broadcast the visits.
+    """
+    tasks = max(1, -(-fingerprints.count() // TASK_CROWDED))
+    visits = (fingerprints.select("fingerprint").repartition(tasks, "fingerprint")
+              .mapInArrow(visited, "hub long, fingerprint long, close boolean"))
+    hub = Window.partitionBy("hub")
+    return (visits.select("fingerprint", F.min("fingerprint").over(hub).alias("b"), F.max("close").over(hub).alias("close"))
+            .where("close AND fingerprint <> b").select(F.col("fingerprint").alias("a"), "b").distinct())
 
 
 def links(fingerprints: DataFrame, full_key: int = FULL_KEY) -> DataFrame:

@@ -6,6 +6,7 @@ import xxhash
 
 from starmart.llm import golay
 from starmart.llm import simhash as S
+from starmart.llm.common import written
 from starmart.llm.components import connected_components
 
 
@@ -117,6 +118,33 @@ def test_links_have_the_components_of_all_pairs(spark, full_key):
             assert {got[m] for m in members} == {min(members)}
 
 
+def signed_rows(spark, prints):
+    """Written, so that Spark knows their size, as those of ``links`` are."""
+    df = spark.createDataFrame([(x,) for x in np.array(prints, np.uint64).view(np.int64).tolist()], "fingerprint long")
+    return written(spark, df, "test-prints")
+
+
+def test_visits_of_a_crowd_are_not_broadcast(spark):
+    plan = S.crowded_links(signed_rows(spark, rows_of(50, 3)))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow visited" in plan and "Broadcast" not in plan
+
+
+def test_crowds_of_several_tasks_and_partitions(spark, monkeypatch):
+    monkeypatch.setattr(S, "TASK_CROWDED", 7)
+    prints = rows_of(30, 9)
+    got = {frozenset((r.a, r.b)) for r in S.crowded_links(signed_rows(spark, prints)).collect()}
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    near = [{x for x, p in zip(signed, prints) if (p ^ q).bit_count() <= 3} for q in prints]
+    nodes = {x for pair in got for x in pair}
+    assert all(len(pair) == 2 for pair in got) and nodes == {x for x, n in zip(signed, near) if len(n) > 1}
+    links = connected_components(S.crowded_links(signed_rows(spark, prints))).collect()
+    want = brute_components(prints)
+    classes = {}
+    for x, root in zip(signed, want):
+        classes.setdefault(root, []).append(x)
+    assert {(r.node, r.component) for r in links} == {(x, min(c)) for c in classes.values() if len(c) > 1 for x in c}
+
+
 def test_components_of_long_chains_and_stars(spark):
     rng = random.Random(1)
     chain = list(range(100, 180))
