@@ -143,7 +143,8 @@ def links(fingerprints: DataFrame, full_key: int = FULL_KEY) -> DataFrame:
     tasks = max(1, -(-fingerprints.count() // TASK_FINGERPRINTS))  # a small table would be read by few tasks
     table_of_keys = fingerprints.select("fingerprint").repartition(tasks, "fingerprint").mapInArrow(keyed, "key long, fingerprint long")
     sizes = table_of_keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = written(spark, table_of_keys.join(written(spark, sizes, "simhash-keys"), "key"), "simhash-shared")
+    # merged: planned by the size of the fingerprints, their 51 times as many keys would be broadcast
+    shared = written(spark, table_of_keys.join(written(spark, sizes, "simhash-keys").hint("merge"), "key"), "simhash-shared")
     pairs = shared.where(F.col("members") <= full_key)
     left, right = pairs.select("key", F.col("fingerprint").alias("a")), pairs.select("key", F.col("fingerprint").alias("b"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS

@@ -129,6 +129,18 @@ def test_visits_of_a_crowd_are_not_broadcast(spark):
     assert "MapInArrow visited" in plan and "Broadcast" not in plan
 
 
+def test_keys_are_not_broadcast(spark, monkeypatch):
+    plans = {}
+
+    def kept(session, df, name, *args):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(session, df, name, *args)
+
+    monkeypatch.setattr(S, "written", kept)
+    S.links(signed_rows(spark, rows_of(50, 3)), 8)
+    assert "MapInArrow keyed" in plans["simhash-shared"] and "Broadcast" not in plans["simhash-shared"]
+
+
 def test_crowds_of_several_tasks_and_partitions(spark, monkeypatch):
     monkeypatch.setattr(S, "TASK_CROWDED", 7)
     prints = rows_of(30, 9)
